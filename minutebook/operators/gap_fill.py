@@ -9,6 +9,8 @@ into its masks before the shuffle.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -93,10 +95,34 @@ def previous_closes(marks: DataFrame, mode: str = "last_observed", **calendar) -
     ).drop("_back", "_follows", "_open_day", "_run")
 
 
+def with_reference(marks: DataFrame, mode: str = "last_observed", **calendar) -> DataFrame:
+    """Add previous close and ``ref_price`` (first open where there is none)."""
+    return previous_closes(marks, mode, **calendar).withColumn(
+        "ref_price", F.coalesce("prev_close", "first_open")
+    )
+
+
 def reference_prices(bars: DataFrame, mode: str = "last_observed", **calendar) -> DataFrame:
-    """Day marks with previous close and ``ref_price`` (first open where there is none)."""
-    marks = previous_closes(day_marks(bars), mode, **calendar)
-    return marks.withColumn("ref_price", F.coalesce("prev_close", "first_open"))
+    return with_reference(day_marks(bars), mode, **calendar)
+
+
+def stored_day_marks(stored: DataFrame) -> DataFrame:
+    """Marks of days that are already filled and stored, for the closes of the days after.
+
+    The last traded bar counts as last observed; a day without trades ends at its last bar.
+    """
+    ts, close = F.col("timestamp"), F.col("close")
+    rank = time_rank(ts, close)
+    traded = F.max_by(close, F.when(F.col("volume") > 0, rank))
+    return stored.groupBy(*KEY).agg(
+        first_in_day(F.col("open"), ts).alias("first_open"),
+        F.coalesce(traded, F.max_by(close, rank)).alias("last_close"),
+        F.max_by(close, F.when(grid_slot(ts) == LAST_SLOT, rank)).alias("end_close"),
+    )
+
+
+def missing_count() -> Column:
+    return F.lit(SESSION_BARS) - reduce(lambda a, b: a + b, [F.bit_count(h) for h in HOURS])
 
 
 def _slot_missing(slot: Column) -> Column:

@@ -276,26 +276,36 @@ def parse_payloads(payloads: DataFrame) -> DataFrame:
     )
 
 
-def to_bars(parsed: DataFrame) -> DataFrame:
-    """Typed bars of all accepted payloads; the symbol is the requested one."""
+def to_bars(parsed: DataFrame, keep_rejects: bool = False) -> DataFrame:
+    """Typed bars of all accepted payloads; the symbol is the requested one.
+
+    With ``keep_rejects`` a rejected payload stays as one row that has its requested date,
+    its ``reject_reason`` and no bar.
+    """
     r = F.col("r")
-    ts = to_bar_time(r["timestamp"])
-    exploded = parsed.filter(F.col("reject_reason").isNull()).select("symbol", F.explode("records").alias("r"))
-    typed = exploded.select(
+    reason = F.col("reject_reason")
+    if keep_rejects:
+        rows = parsed.select("symbol", "date", "reject_reason", F.explode_outer(F.when(reason.isNull(), F.col("records"))).alias("r"))
+    else:
+        rows = parsed.filter(reason.isNull()).select("symbol", "date", "reject_reason", F.explode("records").alias("r"))
+    typed = rows.select(
         "symbol",
-        ts.alias("timestamp"),
+        F.col("date").alias("_requested"),
+        "reject_reason",
+        to_bar_time(r["timestamp"]).alias("timestamp"),
         *[nan_to_null(_as_double(r[f])).alias(f) for f in NUMERIC],
         F.coalesce(r["count"].try_cast("long"), _as_double(r["count"]).try_cast("long")).alias("count"),
         nan_to_null(_as_double(r["vwap"])).alias("vwap"),
-    )
-    return typed.filter(F.col("timestamp").isNotNull()).select(
-        date_text(F.col("timestamp")).alias("date"),
+    ).filter(F.col("timestamp").isNotNull() | F.col("reject_reason").isNotNull())
+    return typed.select(
+        F.coalesce(date_text(F.col("timestamp")), F.col("_requested")).alias("date"),
         "symbol",
         "timestamp",
         ms_of_day(F.col("timestamp")).alias("ms_of_day"),
         *NUMERIC,
         "count",
         "vwap",
+        *(["reject_reason"] if keep_rejects else []),
     )
 
 

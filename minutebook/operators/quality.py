@@ -187,7 +187,7 @@ def report_rows(issues: DataFrame) -> DataFrame:
         F.col("symbol").alias("Symbol"),
         kind.alias("Issue Type"),
         F.col("details").alias("Details"),
-        F.col("is_special").alias("Is Special Security"),
+        F.when(F.col("is_special"), "True").otherwise("False").alias("Is Special Security"),
     )
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import SparkSession
 
 # SQL settings the operators rely on; all can be changed on a running session.
 SETTINGS = {
+    # files written by pandas carry nanosecond timestamps
+    "spark.sql.legacy.parquet.nanosAsLong": "true",
     # wall-clock timestamps are compared and truncated without a zone shift
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",

@@ -422,11 +422,13 @@ def worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "consolidate",
     q.with_(q.EVENT_BARS, USER_BARS.replace("bars AS", "user_bars AS")) + """
-SELECT symbol, date, timestamp, close, volume, count, NULL::DOUBLE AS vwap FROM bars
+SELECT symbol, date, timestamp, close, volume, CAST(count AS DOUBLE) AS count, NULL::DOUBLE AS vwap FROM bars
 UNION ALL SELECT symbol, date, timestamp, close, volume, NULL, round(vwap, 4) FROM user_bars""",
 )
 def consolidate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Union of two sets of bars with different optional columns."""
     both = union_all(t.bars(spark, sf_dir).drop("vwap"), t.bars(spark, sf_dir, by_user=True).drop("count"))
     assert set(both.columns) == set(BAR_TYPES)
-    return both.select(*KEY, "timestamp", "close", "volume", "count", F.round("vwap", 4).alias("vwap"))
+    return both.select(
+        *KEY, "timestamp", "close", "volume", F.col("count").cast("double").alias("count"), F.round("vwap", 4).alias("vwap")
+    )

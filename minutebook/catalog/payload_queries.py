@@ -83,10 +83,10 @@ def payload_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     "payload_text",
     r"""
 WITH parts AS (
-  SELECT doc_id, list_transform(string_split(text, chr(10)), (line, i) -> struct_pack(k := i % 3, line := line)) AS p FROM documents),
+  SELECT doc_id, list_transform(string_split(text, chr(10)), lambda line, i: struct_pack(k := i % 3, line := line)) AS p FROM documents),
 kept AS (
-  SELECT doc_id, list_filter(p, x -> x.k <> 0 AND length(trim(x.line, E' \t\r\n\f\v')) > 0) AS p FROM parts)
-SELECT doc_id, CASE WHEN len(p) > 0 THEN trim(array_to_string(list_transform(p, x -> x.line), ''), E' \t\r\n\f\v') END AS text
+  SELECT doc_id, list_filter(p, lambda x: x.k <> 0 AND length(trim(x.line, E' \t\r\n\f\v')) > 0) AS p FROM parts)
+SELECT doc_id, CASE WHEN len(p) > 0 THEN trim(array_to_string(list_transform(p, lambda x: x.line), ''), E' \t\r\n\f\v') END AS text
 FROM kept""",
 )
 def payload_text(spark: SparkSession, sf_dir: str) -> DataFrame:

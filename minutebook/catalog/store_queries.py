@@ -26,6 +26,11 @@ def _row(bars: DataFrame) -> DataFrame:
     return bars.withColumn("vwap", F.round("vwap", 4))
 
 
+def _sparse(bars: DataFrame) -> DataFrame:
+    """``count`` has NULLs here; as a double it compares the same everywhere."""
+    return _row(bars).withColumn("count", F.col("count").cast("double"))
+
+
 # --- lake -------------------------------------------------------------------------
 
 @query("write_daily", BARS + f"SELECT {ROW} FROM bars")
@@ -110,12 +115,12 @@ def available_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "scan_fragments",
     BARS + f"""
-SELECT symbol, date, timestamp, ms_of_day, open, high, low, close, volume, CASE WHEN {q.DAY} % 2 = 0 THEN count END AS count,
+SELECT symbol, date, timestamp, ms_of_day, open, high, low, close, volume, CAST(CASE WHEN {q.DAY} % 2 = 0 THEN count END AS DOUBLE) AS count,
        round(vwap, 4) AS vwap FROM bars WHERE {READABLE}""",
 )
 def scan_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All bars of a fragment tree with mixed column types, junk and empty files."""
-    return _row(fragments.scan_fragments(spark, t.fragment_tree(spark, sf_dir)))
+    return _sparse(fragments.scan_fragments(spark, t.fragment_tree(spark, sf_dir)))
 
 
 @query(
@@ -142,7 +147,7 @@ def read_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "consolidate_all",
     BARS + f"""
-SELECT symbol, date, timestamp, ms_of_day, open, high, low, close, volume, CASE WHEN {q.DAY} % 2 = 0 THEN count END AS count,
+SELECT symbol, date, timestamp, ms_of_day, open, high, low, close, volume, CAST(CASE WHEN {q.DAY} % 2 = 0 THEN count END AS DOUBLE) AS count,
        round(vwap, 4) AS vwap FROM bars WHERE {READABLE} AND date BETWEEN '20240103' AND '20240126'""",
 )
 def consolidate_all(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,7 +155,7 @@ def consolidate_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     tree, root = t.fragment_tree(spark, sf_dir), work_folder(spark, "lake")
     for _ in range(2):
         consolidate.consolidate_all(spark, tree, root, "20240103", "20240126")
-    return _row(lake.scan_lake(spark, root))
+    return _sparse(lake.scan_lake(spark, root))
 
 
 @query(

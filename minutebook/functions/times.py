@@ -27,8 +27,7 @@ def ms_of_day(ts: Column) -> Column:
 
 def text_to_date(text: Column) -> Column:
     """YYYYMMDD to DATE; NULL for text that is no calendar date."""
-    iso = F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2))
-    return F.when(text.rlike(r"^\d{8}$"), iso.try_cast("date"))
+    return F.when(text.rlike(r"^\d{8}$"), F.try_to_date(text, "yyyyMMdd"))
 
 
 def session_label(ms: Column) -> Column:

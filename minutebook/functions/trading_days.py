@@ -1,8 +1,9 @@
 """Exchange calendar as column expressions.
 
-The closed dates of 1971-2100 are a constant set of a few bytes each, so testing a date needs
-no join: on a date-partitioned table the test prunes partitions, elsewhere it is one
-set lookup. ``closures`` adds one-off dates, ``holidays=False`` keeps the weekend rule only.
+The rules fill a constant bit set, one bit per day of 1971-2100, that a column looks up by
+day number. Testing a date needs no join: on a date-partitioned table the test prunes
+partitions, elsewhere it is one array access in the generated code. ``closures`` adds
+one-off dates, ``holidays=False`` keeps the weekend rule only.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from minutebook.functions.times import text_to_date
 
 FIRST_YEAR, LAST_YEAR = 1971, 2100
+EPOCH = dt.date(FIRST_YEAR, 1, 1)
 LOOK_BACK_DAYS = 10
 
 # One-off full-day closures of the exchange (mourning, attacks, storms).
@@ -32,19 +34,14 @@ def _nth_weekday(year: int, month: int, weekday: int, n: int) -> dt.date:
     return first + dt.timedelta(days=(weekday - first.weekday()) % 7 + 7 * (n - 1))
 
 
-def _observed(day: dt.date, saturday_counts: bool = True) -> dt.date | None:
-    """Sunday moves to Monday; Saturday to Friday unless the rule drops it."""
-    if day.weekday() == 6:
-        return day + dt.timedelta(days=1)
-    if day.weekday() == 5:
-        return day - dt.timedelta(days=1) if saturday_counts else None
-    return day
+def _observed(day: dt.date) -> dt.date:
+    """Sunday moves to Monday, Saturday to Friday."""
+    return day + dt.timedelta(days={5: -1, 6: 1}.get(day.weekday(), 0))
 
 
-def _year_holidays(year: int) -> dict[str, dt.date | None]:
-    last_may = dt.date(year, 5, 31)
+def _year_holidays(year: int) -> dict[str, dt.date]:
+    new_year, last_may = dt.date(year, 1, 1), dt.date(year, 5, 31)
     days = {
-        "New Year's Day": _observed(dt.date(year, 1, 1), saturday_counts=False),
         "Presidents' Day": _nth_weekday(year, 2, 0, 3),
         "Good Friday": easter(year) - dt.timedelta(days=2),
         "Memorial Day": last_may - dt.timedelta(days=last_may.weekday()),
@@ -53,6 +50,8 @@ def _year_holidays(year: int) -> dict[str, dt.date | None]:
         "Thanksgiving": _nth_weekday(year, 11, 3, 4),
         "Christmas": _observed(dt.date(year, 12, 25)),
     }
+    if new_year.weekday() != 5:  # a Saturday New Year is not made up for
+        days["New Year's Day"] = _observed(new_year)
     if year >= 1998:
         days["Martin Luther King Jr. Day"] = _nth_weekday(year, 1, 0, 3)
     if year >= 2022:
@@ -61,18 +60,33 @@ def _year_holidays(year: int) -> dict[str, dt.date | None]:
 
 
 @lru_cache(maxsize=None)
-def _closed_dates() -> tuple[tuple[str, str], ...]:
-    rows = {d: "one-off closure" for d in ONE_OFF_CLOSURES}
+def _closed_days() -> dict[dt.date, str]:
+    closed = {_parse(d): "one-off closure" for d in ONE_OFF_CLOSURES}
     for year in range(FIRST_YEAR, LAST_YEAR + 1):
-        for name, day in _year_holidays(year).items():
-            if day is not None:
-                rows[day.strftime("%Y%m%d")] = name
-    return tuple(sorted(rows.items()))
+        closed |= {day: name for name, day in _year_holidays(year).items()}
+    return closed
+
+
+def _parse(text: str) -> dt.date:
+    return dt.datetime.strptime(text, "%Y%m%d").date()
+
+
+@lru_cache(maxsize=None)
+def _open_words(closures: tuple[str, ...]) -> str:
+    """The bit set as a SQL array of longs."""
+    closed = set(_closed_days()) | {_parse(d) for d in closures}
+    words: dict[int, int] = {}
+    for n in range((dt.date(LAST_YEAR, 12, 31) - EPOCH).days + 1):
+        day = EPOCH + dt.timedelta(days=n)
+        if day.weekday() < 5 and day not in closed:
+            words[n // 32] = words.get(n // 32, 0) | 1 << (n % 32)
+    return "array(" + ", ".join(f"{words.get(i, 0)}L" for i in range(max(words) + 1)) + ")"
 
 
 def holiday_table(spark: SparkSession) -> DataFrame:
-    """holidays(date, name) for the years of the rule set."""
-    return spark.createDataFrame(list(_closed_dates()), "date string, name string")
+    """holidays(date, name) for the years of the rules."""
+    rows = sorted((day.strftime("%Y%m%d"), name) for day, name in _closed_days().items())
+    return spark.createDataFrame(rows, "date string, name string")
 
 
 def _is_weekday(day: Column) -> Column:
@@ -80,10 +94,11 @@ def _is_weekday(day: Column) -> Column:
 
 
 def _is_open(day: Column, closures: Iterable[str], holidays: bool) -> Column:
-    dates = [dt.datetime.strptime(d, "%Y%m%d").date() for d in closures]
-    if holidays:
-        dates += [dt.datetime.strptime(d, "%Y%m%d").date() for d, _ in _closed_dates()]
-    return _is_weekday(day) & ~day.isin(dates) if dates else _is_weekday(day)
+    if not holidays:
+        return _is_weekday(day)
+    n = F.date_diff(day, F.lit(EPOCH))
+    word = F.get(F.expr(_open_words(tuple(closures))), F.shiftright(n, 5))
+    return F.coalesce(F.getbit(word, F.pmod(n, F.lit(32))) == 1, _is_weekday(day))
 
 
 def is_trading_day(date: Column, closures: Iterable[str] = (), holidays: bool = True) -> Column:

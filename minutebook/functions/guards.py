@@ -9,6 +9,11 @@ TIE_BITS = 26
 DAY_MICROS = 86_400_000_000
 
 
+def bind(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def nan_to_null(col: Column) -> Column:
     """Spark calls NaN equal to itself and larger than any number; bars use NULL only."""
     return F.when(~F.isnan(col), col)

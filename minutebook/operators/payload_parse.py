@@ -7,10 +7,12 @@ are evaluated only on rows whose text does not parse.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from minutebook.functions.guards import nan_to_null
+from minutebook.functions.guards import bind, nan_to_null
 from minutebook.functions.times import date_text, ms_of_day
 
 REQUIRED = ["timestamp", "open", "high", "low", "close", "volume"]
@@ -39,12 +41,14 @@ def _edge_trim(text: Column) -> Column:
 
 def csv_hints(payload: Column) -> Column:
     """How many of nine signs of a CSV header the first line shows."""
-    line = F.lower(_edge_trim(F.substring_index(payload, "\n", 1)))
-    signs = [line.contains(w) for w in REQUIRED] + [
-        line.contains(","), ~line.startswith("["), ~line.startswith("{")
-    ]
-    hints = sum((s.cast("int") for s in signs[1:]), signs[0].cast("int"))
-    return F.when(F.length(_edge_trim(payload)) > 0, hints).otherwise(F.lit(0))
+    return bind(F.lower(_edge_trim(F.substring_index(payload, "\n", 1))), _header_signs)
+
+
+def _header_signs(line: Column) -> Column:
+    signs = [line.contains(w) for w in REQUIRED]
+    signs += [line.contains(","), ~line.startswith("["), ~line.startswith("{")]
+    hints = reduce(lambda a, b: a + b, [s.cast("int") for s in signs])
+    return F.when(F.length(line) > 0, hints).otherwise(F.lit(0))
 
 
 def payload_kind(payload: Column) -> Column:
@@ -52,22 +56,25 @@ def payload_kind(payload: Column) -> Column:
 
     JSON prefixes are tested before the CSV hints, which a one-line JSON array also meets.
     """
-    text = _edge_trim(payload)
-    squeezed = F.when(F.length(text) <= 16, F.regexp_replace(text, r"\s", "")).otherwise(text)
-    header_only = ~text.contains("\n") & (csv_hints(payload) >= 5)
-    return (
-        F.when(payload.isNull() | squeezed.isin("", "[]", "{}", "null"), "empty")
-        .when(text.startswith("["), "json_array")
-        .when(
-            text.startswith("{"),
-            F.when(F.get_json_object(text, "$.error").isNotNull(), "error")
-            .when(F.get_json_object(text, "$.data").isNotNull(), "json_wrapper")
-            .otherwise("json_object"),
+    def kind(text: Column) -> Column:
+        short = F.when(F.length(text) <= 16, F.regexp_replace(text, r"\s", ""))
+        has_header = csv_hints(text) >= 5
+        return (
+            F.when(text.isNull() | F.coalesce(short.isin("", "[]", "{}", "null"), F.lit(False)), "empty")
+            .when(text.startswith("["), "json_array")
+            .when(
+                text.startswith("{"),
+                F.when(F.get_json_object(text, "$.error").isNotNull(), "error")
+                .when(F.get_json_object(text, "$.isError") == "true", "error")
+                .when(F.get_json_object(text, "$.data").isNotNull(), "json_wrapper")
+                .otherwise("json_object"),
+            )
+            .when(has_header & ~text.contains("\n"), "empty")
+            .when(has_header, "csv")
+            .otherwise("other")
         )
-        .when(header_only, "empty")
-        .when(csv_hints(payload) >= 5, "csv")
-        .otherwise("other")
-    )
+
+    return bind(_edge_trim(payload), kind)
 
 
 def classify(payloads: DataFrame) -> DataFrame:
@@ -264,16 +271,21 @@ def bad_types(records: Column) -> Column:
 
 
 def parse_payloads(payloads: DataFrame) -> DataFrame:
-    """Read every payload and add ``reject_reason``; NULL means its bars are usable."""
+    """Read every payload and add ``reject_reason``; NULL means its bars are usable.
+
+    The outcome leaves as the row of a generator: filters on it then stay above the parsing
+    steps, where pushing them down would copy each step into the filter.
+    """
     kind = F.col("kind")
-    return read_records(payloads).withColumn(
-        "reject_reason",
+    reason = (
         F.when(kind == "error", error_message(F.col("payload")))
         .when(kind == "empty", "empty payload")
         .when(F.coalesce(F.size("records"), F.lit(0)) <= 0, "unreadable payload")
         .when(F.size("missing") > 0, F.concat(F.lit("Missing columns: "), F.array_join("missing", ", ")))
-        .when(bad_types(F.col("records")), "type_error"),
+        .when(bad_types(F.col("records")), "type_error")
     )
+    outcome = F.struct("kind", "records", "parse_status", reason.alias("reject_reason"))
+    return read_records(payloads).select(*payloads.columns, F.inline(F.array(outcome)))
 
 
 def to_bars(parsed: DataFrame, keep_rejects: bool = False) -> DataFrame:
@@ -284,10 +296,8 @@ def to_bars(parsed: DataFrame, keep_rejects: bool = False) -> DataFrame:
     """
     r = F.col("r")
     reason = F.col("reject_reason")
-    if keep_rejects:
-        rows = parsed.select("symbol", "date", "reject_reason", F.explode_outer(F.when(reason.isNull(), F.col("records"))).alias("r"))
-    else:
-        rows = parsed.filter(reason.isNull()).select("symbol", "date", "reject_reason", F.explode("records").alias("r"))
+    usable = F.when(reason.isNull(), F.col("records"))
+    rows = parsed.select("symbol", "date", "reject_reason", F.explode_outer(usable).alias("r"))
     typed = rows.select(
         "symbol",
         F.col("date").alias("_requested"),
@@ -296,7 +306,11 @@ def to_bars(parsed: DataFrame, keep_rejects: bool = False) -> DataFrame:
         *[nan_to_null(_as_double(r[f])).alias(f) for f in NUMERIC],
         F.coalesce(r["count"].try_cast("long"), _as_double(r["count"]).try_cast("long")).alias("count"),
         nan_to_null(_as_double(r["vwap"])).alias("vwap"),
-    ).filter(F.col("timestamp").isNotNull() | F.col("reject_reason").isNotNull())
+    )
+    typed = typed.filter(
+        F.col("timestamp").isNotNull() | F.col("reject_reason").isNotNull() if keep_rejects
+        else F.col("timestamp").isNotNull()
+    )
     return typed.select(
         F.coalesce(date_text(F.col("timestamp")), F.col("_requested")).alias("date"),
         "symbol",

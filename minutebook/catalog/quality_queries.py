@@ -145,8 +145,8 @@ def purge_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "purge_summary",
     q.with_(*FACTS, PLAN) + """
-SELECT is_special, symbol, count(*) AS files, CAST(sum(size_bytes) AS BIGINT) AS bytes
-FROM plan GROUP BY ROLLUP (is_special, symbol)""",
+SELECT kind, symbol, count(*) AS files, CAST(sum(size_bytes) AS BIGINT) AS bytes
+FROM (SELECT *, CASE WHEN is_special THEN 'special' ELSE 'regular' END AS kind FROM plan) GROUP BY ROLLUP (kind, symbol)""",
 )
 def purge_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Purged symbol-days and bytes per symbol, kind of security and in total."""

@@ -73,14 +73,14 @@ def _parse(text: str) -> dt.date:
 
 @lru_cache(maxsize=None)
 def _open_words(closures: tuple[str, ...]) -> str:
-    """The bit set as a SQL array of longs."""
+    """The bit set as signed 64-bit words, comma-separated."""
     closed = set(_closed_days()) | {_parse(d) for d in closures}
-    words: dict[int, int] = {}
+    words = [0] * ((dt.date(LAST_YEAR, 12, 31) - EPOCH).days // 64 + 1)
     for n in range((dt.date(LAST_YEAR, 12, 31) - EPOCH).days + 1):
         day = EPOCH + dt.timedelta(days=n)
         if day.weekday() < 5 and day not in closed:
-            words[n // 32] = words.get(n // 32, 0) | 1 << (n % 32)
-    return "array(" + ", ".join(f"{words.get(i, 0)}L" for i in range(max(words) + 1)) + ")"
+            words[n // 64] |= 1 << (n % 64)
+    return ",".join(str(w - (1 << 64) if w >> 63 else w) for w in words)
 
 
 def holiday_table(spark: SparkSession) -> DataFrame:
@@ -97,8 +97,9 @@ def _is_open(day: Column, closures: Iterable[str], holidays: bool) -> Column:
     if not holidays:
         return _is_weekday(day)
     n = F.date_diff(day, F.lit(EPOCH))
-    word = F.get(F.expr(_open_words(tuple(closures))), F.shiftright(n, 5))
-    return F.coalesce(F.getbit(word, F.pmod(n, F.lit(32))) == 1, _is_weekday(day))
+    # one text literal in the plan; the optimizer folds it into a constant array
+    words = F.split(F.lit(_open_words(tuple(closures))), ",").cast("array<bigint>")
+    return F.coalesce(F.getbit(F.get(words, F.shiftright(n, 6)), F.pmod(n, F.lit(64))) == 1, _is_weekday(day))
 
 
 def is_trading_day(date: Column, closures: Iterable[str] = (), holidays: bool = True) -> Column:

@@ -35,10 +35,9 @@ def on_grid(bars: DataFrame) -> DataFrame:
     return bars.filter(grid_slot(F.col("timestamp")).isNotNull())
 
 
-def _hour_mask(slot: Column, hour: int) -> Column:
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(slot, F.lit(60)))
-    in_hour = slot.between(60 * hour, 60 * hour + 59)
-    return F.bit_or(F.when(in_hour, bit).otherwise(F.lit(0).cast("long")))
+def _hour_mask(slot: str, hour: int) -> Column:
+    in_hour = f"{slot} BETWEEN {60 * hour} AND {60 * hour + 59}"
+    return F.expr(f"bit_or(if({in_hour}, shiftleft(1L, {slot} % 60), 0L))")
 
 
 def day_marks(bars: DataFrame, *more: Column) -> DataFrame:
@@ -50,7 +49,7 @@ def day_marks(bars: DataFrame, *more: Column) -> DataFrame:
         bars.withColumn("_slot", grid_slot(ts))
         .groupBy(*KEY)
         .agg(
-            *[_hour_mask(slot, k).alias(name) for k, name in enumerate(HOURS)],
+            *[_hour_mask("_slot", k).alias(name) for k, name in enumerate(HOURS)],
             first_in_day(F.col("open"), ts).alias("first_open"),
             F.max_by(close, F.when(slot.isNotNull(), rank)).alias("last_close"),
             F.max_by(close, F.when(slot == LAST_SLOT, rank)).alias("end_close"),
@@ -125,19 +124,27 @@ def missing_count() -> Column:
     return F.lit(SESSION_BARS) - reduce(lambda a, b: a + b, [F.bit_count(h) for h in HOURS])
 
 
-def _slot_missing(slot: Column) -> Column:
-    mask = F.get(F.array(*HOURS), F.floor(slot / 60).cast("int"))
-    return F.getbit(mask, F.pmod(slot, F.lit(60))) == 0
-
-
 def missing_minutes(marks: DataFrame) -> DataFrame:
-    """One row per missing grid minute of every symbol-day, with its reference price."""
-    slots = F.filter(F.sequence(F.lit(0), F.lit(LAST_SLOT)), _slot_missing)
-    minute = F.col("slot") + SESSION_START_MINUTE
-    midnight = F.to_date("date", "yyyyMMdd").cast("timestamp_ntz")
-    return marks.select(*KEY, "ref_price", F.explode(slots).alias("slot")).select(
+    """One row per missing grid minute of every symbol-day, with its reference price.
+
+    Hours, then minutes are unrolled, and present minutes dropped by a bit test: plain
+    generators and a filter, which stay in generated code. A mark is small but yields up to
+    961 rows, so marks are first spread over all shuffle partitions; left alone, adaptive
+    execution would pack them into a few tasks by their own size.
+    """
+    spread = int(marks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    minute = F.col("_hour") * 60 + F.col("_minute")
+    midnight = F.unix_micros(F.to_date("date", "yyyyMMdd").cast("timestamp"))
+    hours = marks.repartition(spread, *KEY).select(
+        *KEY, "ref_price", midnight.alias("_midnight"), F.posexplode(F.array(*HOURS)).alias("_hour", "_mask")
+    )
+    minutes = hours.select("*", F.explode(F.expr("sequence(0, 59)")).alias("_minute"))
+    absent = minutes.filter((F.getbit("_mask", F.col("_minute")) == 0) & (minute <= LAST_SLOT))
+    of_day = (minute + SESSION_START_MINUTE).cast("long")
+    return absent.select(
         *KEY,
-        F.timestamp_add("MINUTE", minute, midnight).alias("timestamp"),
+        F.timestamp_micros(F.col("_midnight") + of_day * MINUTE_MICROS).cast("timestamp_ntz").alias("timestamp"),
+        (of_day * 60_000).alias("ms_of_day"),
         "ref_price",
     )
 
@@ -146,8 +153,7 @@ def _filler_rows(gaps: DataFrame, price: str, columns: list[str]) -> DataFrame:
     values = {c: F.col(price) for c in [*OHLC, "vwap"]}
     values["volume"] = F.lit(0.0)
     values["count"] = F.lit(0).cast("long")
-    values["ms_of_day"] = ms_of_day(F.col("timestamp"))
-    plain = [*KEY, "timestamp"]
+    plain = [*KEY, "timestamp", "ms_of_day"]
     return gaps.select(
         *[F.col(c) if c in plain else values[c].alias(c) for c in columns],
         F.lit(True).alias("is_filled"),
@@ -186,7 +192,9 @@ def _carry_forward(bars: DataFrame, gaps: DataFrame) -> DataFrame:
     seen = (
         on_grid(bars).filter(close.isNotNull())
         .groupBy(*KEY, "timestamp").agg(F.max_by(close, time_rank(ts, close)).alias("seen"))
-        .withColumns({"ref_price": F.lit(None).cast("double"), "gap": F.lit(False)})
+        .withColumns(
+            {"ms_of_day": F.lit(None).cast("long"), "ref_price": F.lit(None).cast("double"), "gap": F.lit(False)}
+        )
     )
     holes = gaps.withColumns({"seen": F.lit(None).cast("double"), "gap": F.lit(True)})
     day = Window.partitionBy(*KEY).orderBy("timestamp")
@@ -194,7 +202,7 @@ def _carry_forward(bars: DataFrame, gaps: DataFrame) -> DataFrame:
         seen.unionByName(holes)
         .withColumn("carried", F.last("seen", ignorenulls=True).over(day))
         .filter("gap")
-        .select(*KEY, "timestamp", F.coalesce("carried", "ref_price").alias("ref_price"))
+        .select(*KEY, "timestamp", "ms_of_day", F.coalesce("carried", "ref_price").alias("ref_price"))
     )
 
 

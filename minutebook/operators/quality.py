@@ -245,8 +245,9 @@ def purge_log_rows(plan: DataFrame) -> DataFrame:
 
 
 def purge_summary(plan: DataFrame) -> DataFrame:
-    """Symbol-days and bytes per symbol, per kind of security and in total (NULL keys)."""
-    return plan.rollup("is_special", "symbol").agg(
+    """Symbol-days and bytes per symbol, per kind of security (symbol NULL) and in all (both NULL)."""
+    kind = F.when(F.col("is_special"), "special").otherwise("regular")
+    return plan.withColumn("kind", kind).rollup("kind", "symbol").agg(
         F.count("*").alias("files"), F.coalesce(F.sum("size_bytes"), F.lit(0)).cast("long").alias("bytes")
     )
 

@@ -54,7 +54,7 @@ def marks_with_facts(bars: DataFrame) -> DataFrame:
 
 
 def filled_facts(marks: DataFrame) -> DataFrame:
-    """Facts of the filled days, from marks that carry observed facts and ``ref_price``."""
+    """Marks (with observed facts and ``ref_price``) plus the facts of the filled days."""
     ref = F.col("ref_price")
     no_gap = F.col("gaps") == 0
     ref_is = lambda pred: no_gap | F.coalesce(pred, F.lit(False))
@@ -71,8 +71,4 @@ def filled_facts(marks: DataFrame) -> DataFrame:
         "violation": F.col("o_violation"),
         "first_close": F.when(starts_with_gap, ref).otherwise(F.col("o_first_close")),
     }
-    return with_summary_flags(
-        marks.withColumn("gaps", missing_count().cast("long")).select(
-            *KEY, *[v.alias(k) for k, v in facts.items()]
-        )
-    )
+    return with_summary_flags(marks.withColumn("gaps", missing_count().cast("long")).withColumns(facts))

@@ -40,17 +40,22 @@ def build_days(
     bars: DataFrame, lake_root: str, fill: str = "day_ref", previous: str = "last_observed", **calendar
 ) -> tuple[DataFrame, DataFrame]:
     """Filled and accepted bars, and the rejects, of staged bars."""
+    spark = bars.sparkSession
     marks = marks_with_facts(bars).unionByName(_closes_before(bars, lake_root, **calendar), allowMissingColumns=True)
     marks = with_reference(marks, previous, **calendar).filter(F.col("_stored").isNull()).drop("_stored")
+    if fill == "day_ref":
+        marks = filled_facts(marks).withColumn("reason", gate_reason()).select(*marks.columns, "reason")
+    # one row per symbol-day, kept as a table: it feeds the filler rows, the gate and the rejects
+    kept_marks = work_folder(spark, "marks")
+    marks.write.parquet(kept_marks)
+    marks = spark.read.parquet(kept_marks)
     if fill != "day_ref":
         filled = fill_with(bars, marks, fill)
         facts = quality_facts(filled)
         return quality_gate(filled, facts), quality_rejects(facts)
-    verdicts = filled_facts(marks).select(*KEY, gate_reason().alias("reason"))
-    rejects = verdicts.filter("reason is not null").select("date", "symbol", "reason")
-    passed = marks.join(rejects.select(*KEY), KEY, "left_anti")
+    rejects = marks.filter("reason is not null").select("date", "symbol", "reason")
     kept = bars.join(rejects.select(*KEY), KEY, "left_anti")
-    return fill_with(kept, passed), rejects
+    return fill_with(kept, marks.filter("reason is null")), rejects
 
 
 def daily_build(

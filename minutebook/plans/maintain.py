@@ -10,9 +10,10 @@ from minutebook.functions.times import text_to_date
 from minutebook.functions.trading_days import is_trading_day
 from minutebook.operators.quality import purge_apply, quality_facts, quality_scan
 from minutebook.schema import BAR_SCHEMA, LAKE_SCHEMA
-from minutebook.sources.files import file_inventory, with_names
+from minutebook.sources.files import file_inventory, remove_folder, with_names
 from minutebook.sources.fragments import empty_files, fragment_files, read_errors, scan_fragments
-from minutebook.sources.lake import PARTITIONS, with_partitions, write_daily
+from minutebook.session import work_folder
+from minutebook.sources.lake import PARTITIONS, scan_lake, stored_dates, with_partitions, write_daily
 from minutebook.sources.versions import read_current, write_next
 
 # --- layout -----------------------------------------------------------------------
@@ -116,5 +117,25 @@ def purge_to_new_version(spark: SparkSession, bars: DataFrame, plan: DataFrame,
     return write_next(kept.sortWithinPartitions(*PARTITIONS, "symbol", "timestamp"), root, PARTITIONS)
 
 
+def purge_lake(spark: SparkSession, lake_root: str, plan: DataFrame) -> list[str]:
+    """Remove the planned symbol-days from a lake, rewriting only the days they are in.
+
+    The rows that stay are staged first, then replace their days; a day that keeps nothing
+    loses its folder. Running it again after a failure gives the same lake. Returns the
+    emptied dates.
+    """
+    days = [r["date"] for r in plan.select("date").distinct().collect()]  # one text per day
+    stage = work_folder(spark, "purge")
+    touched = scan_lake(spark, lake_root).filter(F.col("date").isin(days))
+    write_daily(purge_apply(touched, plan), stage)
+    kept = {r["date"] for r in stored_dates(spark, stage).collect()}
+    if kept:
+        write_daily(scan_lake(spark, stage), lake_root, existing="overwrite")
+    emptied = sorted(set(days) - kept)
+    for d in emptied:
+        remove_folder(spark, f"{lake_root}/year={d[:4]}/month={d[4:6]}/date={d}")
+    return emptied
+
+
 def read_purged(spark: SparkSession, root: str) -> DataFrame:
     return read_current(spark, root, LAKE_SCHEMA).select(*BAR_SCHEMA.names)

@@ -28,6 +28,11 @@ def matching_folders(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(f.getPath().toString() for f in found or [] if f.isDirectory())
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
+
+
 def file_inventory(spark: SparkSession, root: str, recursive: bool = True, pattern: str = "*.parquet") -> DataFrame:
     """(path, length) of the files below a folder; contents are not read."""
     if not path_exists(spark, root):

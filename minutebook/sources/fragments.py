@@ -58,7 +58,9 @@ def fragment_files(
     named = with_names(file_inventory(spark, root)).filter(
         F.col("symbol").isNotNull() & in_date_range(F.col("date"), start, end)
     )
-    spread = named.select("path", "length", "symbol", "date").repartition("path")
+    # a fixed number of partitions: by their own size the short rows would end up in one task
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spread = named.select("path", "length", "symbol", "date").repartition(tasks, "path")
     return spread.mapInPandas(_footers, FOOTER_SCHEMA)
 
 

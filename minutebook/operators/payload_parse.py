@@ -247,7 +247,8 @@ def read_records(payloads: DataFrame) -> DataFrame:
 # --- checks and typing ------------------------------------------------------------
 
 def _as_double(text: Column) -> Column:
-    return text.try_cast("double")
+    # a bare NaN or Infinity token of JSON reaches us in quotes
+    return F.coalesce(text.try_cast("double"), F.btrim(text, F.lit('"')).try_cast("double"))
 
 
 def to_bar_time(text: Column) -> Column:

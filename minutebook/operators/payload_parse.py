@@ -18,8 +18,9 @@ from minutebook.functions.times import date_text, ms_of_day
 REQUIRED = ["timestamp", "open", "high", "low", "close", "volume"]
 NUMERIC = ["open", "high", "low", "close", "volume"]
 FIELDS = [*REQUIRED, "count", "vwap"]
-RECORD = "struct<" + ", ".join(f"{f}: string" for f in FIELDS) + ">"
-RECORDS = f"array<{RECORD}>"
+TYPED = ", ".join(f"{f}: {'timestamp_ntz' if f == 'timestamp' else 'double'}" for f in FIELDS)
+TYPED_RECORDS = f"array<struct<{TYPED}>>"
+TEXT_RECORDS = "array<struct<" + ", ".join(f"{f}: string" for f in FIELDS) + ">>"
 EXCHANGE_ZONE = "America/New_York"
 
 # Fixed value: shape of one whole record as the data service writes it.
@@ -127,8 +128,20 @@ def _lower_keys(text: Column) -> Column:
     return text
 
 
-def _records(text: Column) -> Column:
-    return F.from_json(text, RECORDS, {"allowSingleQuotes": "false"})
+def _typed_records(text: Column) -> Column:
+    """Records in their final types; a value that does not convert is NULL here."""
+    return F.from_json(text, TYPED_RECORDS, {"allowSingleQuotes": "false"})
+
+
+def _text_records(text: Column) -> Column:
+    """Records as text, to tell a wrong value from a missing one."""
+    return F.from_json(text, TEXT_RECORDS, {"allowSingleQuotes": "false"})
+
+
+def _whole(records: str) -> Column:
+    """There are records, and every required field of each has a value."""
+    lacking = lambda r: reduce(lambda a, b: a | b, [r[f].isNull() for f in REQUIRED])
+    return F.coalesce((F.size(records) > 0) & ~F.exists(records, lacking), F.lit(False))
 
 
 def repair_json(payload: Column) -> Column:
@@ -175,15 +188,28 @@ def _lacks_value(records: Column) -> Column:
 
 # --- CSV --------------------------------------------------------------------------
 
-def _csv_records(lines: Column, header: Column) -> Column:
+def _data_lines(payload: Column) -> Column:
+    lines = F.split(_edge_trim(payload), "\n")
+    return F.filter(F.slice(lines, F.lit(2), F.size(lines)), lambda line: F.length(F.btrim(line)) > 0)
+
+
+def _csv_header(payload: Column) -> Column:
+    return F.lower(_edge_trim(F.substring_index(_edge_trim(payload), "\n", 1)))
+
+
+def _typed_csv(payload: Column) -> Column:
+    return F.transform(_data_lines(payload), lambda line: F.from_csv(line, TYPED.replace(":", "")))
+
+
+def _text_csv(payload: Column, header: Column) -> Column:
+    """Cells looked up by header name, in any order and case."""
     def cell(cells: Column, name: str) -> Column:
         at = F.array_position(header, name)
-        value = F.trim(F.get(cells, (at - 1).cast("int")))
+        value = _edge_trim(F.get(cells, (at - 1).cast("int")))
         return F.when((at > 0) & ~F.upper(value).isin(CSV_NULLS), value).alias(name)
 
-    rows = F.filter(F.slice(lines, F.lit(2), F.size(lines)), lambda line: F.length(F.trim(line)) > 0)
     return F.transform(
-        F.transform(rows, lambda line: F.split(line, ",")),
+        F.transform(_data_lines(payload), lambda line: F.split(line, ",")),
         lambda cells: F.struct(*[cell(cells, f) for f in FIELDS]),
     )
 
@@ -191,56 +217,66 @@ def _csv_records(lines: Column, header: Column) -> Column:
 # --- reading ----------------------------------------------------------------------
 
 def read_records(payloads: DataFrame) -> DataFrame:
-    """Add ``kind``, ``records`` (array of text structs), ``parse_status`` and ``missing``.
+    """Add ``kind``, ``records`` (array of typed structs), ``parse_status``, ``missing`` and ``bad_types``.
 
     Status: intact, repaired, salvaged or unreadable; NULL for payloads without bars by kind.
-    Each later attempt is evaluated only where the one before failed.
+    Whole payloads are read straight into their types. Only those with gaps, odd values or
+    broken text are read again, as text; each attempt is evaluated only where the one before failed.
     """
     p, kind = F.col("payload"), F.col("kind")
-    target = (
+    text = (
         F.when(kind == "json_array", p)
         .when(kind == "json_wrapper", F.get_json_object(p, "$.data"))
         .when(kind == "json_object", F.concat(F.lit("["), p, F.lit("]")))
     )
-    is_json = kind.isin("json_array", "json_wrapper", "json_object")
+    is_json, is_csv = kind.isin("json_array", "json_wrapper", "json_object"), kind == "csv"
     usable = lambda name: F.coalesce(F.size(name) > 0, F.lit(False))
-    plain_failed = is_json & F.col("_plain").isNull()
+    whole, again = F.col("_whole"), ~F.col("_whole")
 
     step = payloads.withColumn("kind", payload_kind(p))
-    step = step.withColumn("_plain", _records(target))
+    step = step.withColumn("_text", text)
+    plain_order = is_csv & (_csv_header(p) == ",".join(FIELDS))
+    step = step.withColumn("_typed", F.when(plain_order, _typed_csv(p)).otherwise(_typed_records(F.col("_text"))))
+    step = step.withColumn("_repaired", F.when(is_json & F.col("_typed").isNull(), _lower_keys(repair_json(p))))
+    step = step.withColumn("_retyped", _typed_records(F.col("_repaired")))
+    step = step.withColumns({"_first": _whole("_typed"), "_second": _whole("_retyped")})
+    step = step.withColumn("_whole", F.col("_first") | F.col("_second"))
     step = step.withColumns(
         {
-            "_lowered": F.when(usable("_plain") & _lacks_value(F.col("_plain")), _records(_lower_keys(target))),
-            "_fixed": F.when(plain_failed, _records(_lower_keys(repair_json(p)))),
-            "_lines": F.when(kind == "csv", F.split(_edge_trim(p), r"\r?\n")),
+            "_plain": F.when(again & is_json, _text_records(F.col("_text"))),
+            "_header": F.when(again & is_csv, F.transform(F.split(_csv_header(p), ","), F.trim)),
         }
     )
+    plain_failed = again & is_json & F.col("_plain").isNull()
     step = step.withColumns(
         {
-            "_found": F.when(plain_failed & ~usable("_fixed"), _records(salvage_json(p))),
-            "_header": F.transform(F.split(F.lower(F.get("_lines", F.lit(0))), ","), F.trim),
+            "_lowered": F.when(
+                usable("_plain") & _lacks_value(F.col("_plain")), _text_records(_lower_keys(F.col("_text")))
+            ),
+            "_fixed": F.when(plain_failed, _text_records(F.col("_repaired"))),
+            "_cells": F.when(F.col("_header").isNotNull(), _text_csv(p, F.col("_header"))),
         }
     )
-    step = step.select(
+    step = step.withColumn("_found", F.when(plain_failed & ~usable("_fixed"), _text_records(salvage_json(p))))
+    texts = F.coalesce(
+        "_cells", "_lowered", "_plain", F.when(usable("_fixed"), F.col("_fixed")), F.col("_found")
+    )
+    step = step.withColumn("_texts", F.when(again, texts))
+    named = F.array(*map(F.lit, REQUIRED))
+    return step.select(
         *payloads.columns,
         "kind",
-        F.when(kind == "csv", _csv_records(F.col("_lines"), F.col("_header")))
-        .otherwise(
-            F.coalesce("_lowered", "_plain", F.when(usable("_fixed"), F.col("_fixed")), F.col("_found"))
-        ).alias("records"),
-        F.when((kind == "csv") | F.col("_plain").isNotNull(), "intact")
-        .when(usable("_fixed"), "repaired")
+        F.when(F.col("_first"), F.col("_typed")).when(F.col("_second"), F.col("_retyped"))
+        .otherwise(F.transform("_texts", _convert)).alias("records"),
+        F.when(is_csv | F.col("_first") | F.col("_plain").isNotNull(), "intact")
+        .when(F.col("_second") | usable("_fixed"), "repaired")
         .when(usable("_found"), "salvaged")
         .when(is_json, "unreadable")
         .alias("parse_status"),
-        "_header",
-    )
-    named = F.array(*map(F.lit, REQUIRED))
-    return step.select(
-        *payloads.columns, "kind", "records", "parse_status",
-        F.when(kind == "csv", F.array_except(named, F.col("_header")))
-        .when(F.size("records") > 0, missing_fields(F.col("records"), p))
+        F.when(again & is_csv, F.array_except(named, F.col("_header")))
+        .when(usable("_texts"), missing_fields(F.col("_texts"), p))
         .alias("missing"),
+        F.when(again, bad_types(F.col("_texts"))).otherwise(F.lit(False)).alias("bad_types"),
     )
 
 
@@ -260,6 +296,11 @@ def to_bar_time(text: Column) -> Column:
     return F.when(zoned, local).otherwise(text.try_cast("timestamp_ntz"))
 
 
+def _convert(r: Column) -> Column:
+    """A text record in its final types."""
+    return F.struct(*[(to_bar_time(r[f]) if f == "timestamp" else _as_double(r[f])).alias(f) for f in FIELDS])
+
+
 def bad_types(records: Column) -> Column:
     """Some non-null number or timestamp of the payload does not convert."""
     def bad(r: Column) -> Column:
@@ -283,7 +324,7 @@ def parse_payloads(payloads: DataFrame) -> DataFrame:
         .when(kind == "empty", "empty payload")
         .when(F.coalesce(F.size("records"), F.lit(0)) <= 0, "unreadable payload")
         .when(F.size("missing") > 0, F.concat(F.lit("Missing columns: "), F.array_join("missing", ", ")))
-        .when(bad_types(F.col("records")), "type_error")
+        .when(F.col("bad_types"), "type_error")
     )
     outcome = F.struct("kind", "records", "parse_status", reason.alias("reject_reason"))
     return read_records(payloads).select(*payloads.columns, F.inline(F.array(outcome)))
@@ -303,10 +344,10 @@ def to_bars(parsed: DataFrame, keep_rejects: bool = False) -> DataFrame:
         "symbol",
         F.col("date").alias("_requested"),
         "reject_reason",
-        to_bar_time(r["timestamp"]).alias("timestamp"),
-        *[nan_to_null(_as_double(r[f])).alias(f) for f in NUMERIC],
-        F.coalesce(r["count"].try_cast("long"), _as_double(r["count"]).try_cast("long")).alias("count"),
-        nan_to_null(_as_double(r["vwap"])).alias("vwap"),
+        r["timestamp"].alias("timestamp"),
+        *[nan_to_null(r[f]).alias(f) for f in NUMERIC],
+        nan_to_null(r["count"]).try_cast("long").alias("count"),
+        nan_to_null(r["vwap"]).alias("vwap"),
     )
     typed = typed.filter(
         F.col("timestamp").isNotNull() | F.col("reject_reason").isNotNull() if keep_rejects

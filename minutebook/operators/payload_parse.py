@@ -190,7 +190,7 @@ def _lacks_value(records: Column) -> Column:
 
 def _data_lines(payload: Column) -> Column:
     lines = F.split(_edge_trim(payload), "\n")
-    return F.filter(F.slice(lines, F.lit(2), F.size(lines)), lambda line: F.length(F.btrim(line)) > 0)
+    return F.filter(lines, lambda line, i: (i > 0) & (F.length(F.btrim(line)) > 0))
 
 
 def _csv_header(payload: Column) -> Column:

@@ -193,7 +193,8 @@ def write_named_fragments(made: DataFrame, root: str) -> None:
         from pyarrow import fs, parquet
 
         name, number = day["name"].iloc[0], int(day["date"].iloc[0][6:])
-        system, base = fs.FileSystem.from_uri(root) if "://" in root else (fs.LocalFileSystem(), root)
+        plain = root.removeprefix("file://").removeprefix("file:")
+        system, base = fs.FileSystem.from_uri(root) if "://" in plain else (fs.LocalFileSystem(), plain)
         path = f"{base}/{name}"
         system.create_dir(path.rsplit("/", 1)[0])
         frame = day.drop(columns=["name"]).sort_values("timestamp")

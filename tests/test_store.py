@@ -140,7 +140,7 @@ def test_organise_a_flat_dump(spark, tree, tmp_path):
 
 
 def test_symbol_list(spark, tmp_path):
-    path = tmp_path / "symbols.csv"
+    path = tmp_path / "tickers.csv"
     path.write_text("Rank,Symbol\n1,nic\n2,ACHC\n3,NIC \n4,\n5,NA\n6,bad one\n")
     raw = landing.read_symbol_csv(spark, str(path))
     assert [r.symbol for r in landing.symbol_universe(raw).collect()] == ["NIC", "ACHC", "NA"]

@@ -5,7 +5,8 @@ from pathlib import Path
 import compare
 import pytest
 
-import __spark_entry__ as entry
+from minutebook.catalog import bar_queries, payload_queries, quality_queries, store_queries  # noqa: F401
+from minutebook.catalog.registry import QUERIES, SQL
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -18,11 +19,11 @@ def con():
 
 
 def test_every_query_has_a_twin():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(SQL)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    got = entry.queries()[name](spark, SF_DIR).toPandas()
-    want = con.execute(entry.oracle_sql()[name]).df()
+    got = QUERIES[name](spark, SF_DIR).toPandas()
+    want = con.execute(SQL[name]).df()
     assert compare.difference(got, want) is None

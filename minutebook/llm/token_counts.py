@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from minutebook.llm.common import staged
 from minutebook.llm.encoding import Encoder
 
-SPAN = 1024
+SPAN = 128
 
 
 def token_lengths(docs: DataFrame, path: str | None = None) -> DataFrame:

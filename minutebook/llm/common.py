@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,3 +41,24 @@ def ascii_lower(text: Column) -> Column:
 def held_out(doc_id: Column) -> Column:
     """Whether a document belongs to the third that no model learns from."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+def bounded_sample(rows: DataFrame, key: str, most: int) -> DataFrame:
+    """At most ``most`` of the rows, picked by a hash of the key, so the same rows each time.
+
+    Rows are counted first and thinned by their hash; only about as many as asked for are then ordered.
+    """
+    total = rows.count()
+    order = F.pmod(F.xxhash64(F.col(key)), F.lit(1 << 30))
+    if total > most:
+        rows = rows.where(order < int((1 << 30) * min(1.0, 1.2 * most / total + 100 / total)))
+    return rows.orderBy(order, key).limit(most)
+
+
+def keep_rows(docs: DataFrame, decide: Callable[[pa.Array], np.ndarray]) -> DataFrame:
+    """The rows, with all their columns, for whose texts ``decide`` answers true. It gets and gives whole batches."""
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(decide(batch.column("text"))))
+
+    return docs.mapInArrow(kept, docs.schema)

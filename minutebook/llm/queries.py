@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minutebook.llm import packing, token_counts, topk, url_filter, warc
+from minutebook.llm import decontaminate, html_text, jaccard_join, language_gru, packing, token_counts, topk, toxicity, url_filter, warc
 from minutebook.llm.common import ready, staged
 from minutebook.session import work_folder
 
@@ -33,12 +33,31 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_toxicity")
+def op1_toxicity(read) -> DataFrame:
+    """A toxicity score for every document."""
+    docs = read("documents")
+    return toxicity.predict(docs, toxicity.fit(docs, read("labels")))
+
+
+@query("op2_html_text")
+def op2_html_text(read) -> DataFrame:
+    """The main text of every page."""
+    return html_text.extract_text(read("pages"))
+
+
 @query("op3_token_counts")
 def op3_token_counts(read) -> DataFrame:
     """Totals, quantiles and truncated totals of all documents for every context limit."""
     return token_counts.token_counts(read("documents"))
 
 
+@query("op4_jaccard_join")
+def op4_jaccard_join(read) -> DataFrame:
+    """The near-duplicate component of every document."""
+    return jaccard_join.near_duplicates(read("documents"))
+
+
 URL_RULES = [
     ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
     ("net", "/es/", "block"), ("net", "/fr/", "block"),
@@ -69,6 +88,31 @@ def op5_url_filters(read) -> DataFrame:
     return url_filter.judge_urls(pages, rules)
 
 
+LEAK_SQL = r"""
+WITH doc AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+item AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+cut AS (SELECT item_id, w, least(10, len(w)) AS size, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM item WHERE len(w) > 0),
+keys AS (SELECT DISTINCT item_id, size, array_to_string(list_slice(w, i, i + size - 1), ' ') AS k FROM cut),
+spots AS (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM doc, (SELECT DISTINCT size FROM keys) WHERE len(w) >= size),
+texts AS (SELECT doc_id, i, size, array_to_string(list_slice(w, i, i + size - 1), ' ') AS k FROM spots),
+hits AS (SELECT doc_id, i, size, item_id FROM texts JOIN keys USING (size, k)),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM hits) GROUP BY doc_id),
+of AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM hits) GROUP BY doc_id)
+SELECT doc.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN of USING (doc_id)
+"""
+
+
+@query("op6_decontamination", LEAK_SQL)
+def op6_decontamination(read) -> DataFrame:
+    """How much of every document repeats benchmark items."""
+    return decontaminate.decontaminate(read("documents"), read("benchmark"))
+
+
 @query("op7_packing")
 def op7_packing(read) -> DataFrame:
     """All documents packed into sequences of 2048 tokens, with a checksum of each piece's ids."""
@@ -119,3 +163,10 @@ def op9_topk_search(read) -> DataFrame:
     """The five best other vectors of every vector whose id is divisible by 50."""
     vectors = read("embeddings").select("vec_id", topk.whole_components(F.col("embedding")).alias("components"))
     return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+@query("op10_language_id")
+def op10_language_id(read) -> DataFrame:
+    """The language of every document."""
+    docs = read("documents")
+    return language_gru.predict(docs, language_gru.fit(docs))

@@ -141,8 +141,9 @@ def signatures(tokens: np.ndarray, percent: int, sets: int, plans: dict[int, tup
 
 
 def sketch(tokens: np.ndarray) -> bytes:
-    """One bit of parity for each of 1,024 classes of tokens."""
-    bits = np.bincount((_mixed(tokens ^ np.uint64(MIX[3])) >> np.uint64(54)).astype(np.int64), minlength=64 * SKETCH_WORDS) & 1
+    """One bit of parity for each class of tokens."""
+    classes = (_mixed(tokens ^ np.uint64(MIX[3])) >> np.uint64(32)) % np.uint64(64 * SKETCH_WORDS)
+    bits = np.bincount(classes.astype(np.int64), minlength=64 * SKETCH_WORDS) & 1
     return np.packbits(bits.astype(np.uint8)).tobytes()
 
 

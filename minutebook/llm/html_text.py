@@ -4,7 +4,7 @@ A page is cut into blocks at its block-level tags. First pass: each block is cla
 article text (nav, page header, footer, aside, form, or an element whose class, id or role says menu, advert, comments, notice
 and the like) and blocks that are mostly links are dropped; long blocks with enough stop words are kept; long blocks without are kept only
 inside an article; short blocks stay undecided. Second pass: undecided blocks take the label of the nearest decided neighbours; where those
-differ, headings look ahead and others side with the nearer. Borders of an article or main element are never crossed, and what lies outside of it is dropped
+differ, headings look ahead and others side with the nearer (of equally near ones with the one before). Borders of an article or main element are never crossed, and what lies outside of it is dropped
 if the page has one.
 
 White space inside a block becomes one space (a single br too, two in a row end the block); scripts, styles, comments of the
@@ -97,7 +97,8 @@ class _Page:
         # boilerplate: 1 if only marked so, which an article inside overrules; 2 if nothing does
         self.boilerplate, self.region, self.regions = 0, 0, 0
         self.parts: list[str] = []
-        self.linked, self.in_link, self.breaks, self.heading = 0, False, 0, False
+        self.linked, self.in_link, self.breaks = 0, False, 0
+        self.heading = self.marked = False  # of the block at hand
 
     def add(self, text: str) -> None:
         text = html.unescape(text) if "&" in text else text
@@ -111,7 +112,7 @@ class _Page:
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                self.blocks.append(Block(text, self.linked, self.region, self.boilerplate > 0, self.heading))
+                self.blocks.append(Block(text, self.linked, self.region, self.boilerplate > 0 or self.marked, self.heading))
         self.parts, self.linked, self.breaks = [], 0, 0
 
     def open(self, name: str, rest: str) -> None:
@@ -125,11 +126,11 @@ class _Page:
         elif name in BREAKS:
             self.finish()
             self.in_link = False
-            self.heading = name in HEADINGS
+            self.heading, mark = name in HEADINGS, _mark(rest)
+            self.marked = mark > 0 and name not in CONTAINERS
             if name not in CONTAINERS or rest.endswith("/"):
                 return
             self.stack.append((name, self.boilerplate, self.region))
-            mark = _mark(rest)
             if name in CONTENT and self.boilerplate < 2 and not mark and not self.region:
                 self.regions += 1
                 self.boilerplate, self.region = 0, self.regions
@@ -143,7 +144,7 @@ class _Page:
             self.in_link = False
         elif name in BREAKS:
             self.finish()
-            self.in_link = self.heading = False
+            self.in_link = self.heading = self.marked = False
             for depth in range(len(self.stack) - 1, -1, -1):
                 if self.stack[depth][0] == name:
                     _, self.boilerplate, self.region = self.stack[depth]

@@ -73,7 +73,7 @@ def context_curve(histogram: DataFrame) -> DataFrame:
 
 def totals_at(histogram: DataFrame, limits: list[int]) -> DataFrame:
     """docs_over, tokens_over and tokens_truncated for the limits given, whether or not a document has that length."""
-    limit = F.explode(F.array(*map(F.lit, limits))).cast("long").alias("context_limit")
+    limit = F.explode(F.array(*map(F.lit, limits)).cast("array<long>")).alias("context_limit")
     over, size = F.col("n_tokens") > F.col("context_limit"), F.col("n_tokens") * F.col("n_docs")
     return histogram.select("n_tokens", "n_docs", limit).groupBy("context_limit").agg(
         F.sum(F.when(over, F.col("n_docs")).otherwise(0)).alias("docs_over"),

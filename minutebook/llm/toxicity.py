@@ -1,7 +1,8 @@
 """Toxicity scores from FTRL-proximal logistic regression over hashed word features.
 
 Features of a text: its words, their beginnings (so that endings not met in training still count), word pairs, and pairs
-that skip one word, each hashed to one of 2**20 coordinates and counted as present or absent. Every coordinate has its own learning rate, and the
+that skip one word, each hashed to one of 2**20 coordinates and taken as present or absent; what a text has more than once sets a
+second coordinate. Every coordinate has its own learning rate, and the
 L1 term leaves all but a few at exactly zero; only those weights travel with the job that scores. Hashing works on whole
 batches of bytes in numpy; a text's features are looked up first and only those with a weight are made unique.
 
@@ -106,13 +107,26 @@ class Hasher:
             yield int(a), int(b), index, owner
 
 
+def _repeated(index: np.ndarray) -> np.ndarray:
+    """The coordinates that say a feature occurs more than once."""
+    return (index * 0x2545F491 + 0x1B873) & ((1 << BITS) - 1)
+
+
+def _distinct(owner: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Texts, ascending, and the coordinates each has, also those of what repeats."""
+    pairs, counts = np.unique(owner << BITS | index, return_counts=True)
+    again = pairs[counts > 1]
+    again = (again >> BITS) << BITS | _repeated(again & ((1 << BITS) - 1))
+    pairs = np.union1d(pairs, again)
+    return pairs >> BITS, pairs & ((1 << BITS) - 1)
+
+
 def train(texts: pa.Array, labels: np.ndarray) -> Model:
     """FTRL-proximal over the texts in a fixed mixed order, several passes."""
     hasher, docs = Hasher(), []
     for a, b, index, owner in hasher.batches(texts):
-        pairs = np.unique(owner << BITS | index)
-        owner, index = pairs >> BITS, (pairs & ((1 << BITS) - 1)).astype(np.int32)
-        docs += np.split(index, np.searchsorted(owner, np.arange(1, b - a)))
+        owner, index = _distinct(owner, index)
+        docs += np.split(index.astype(np.int32), np.searchsorted(owner, np.arange(1, b - a)))
     z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
     bias_z = bias_n = 0.0
     order = np.random.default_rng(5).permutation(len(docs))
@@ -142,9 +156,9 @@ def scorer(model: Model | None) -> Callable[[pa.Array], np.ndarray]:
     def scores(texts: pa.Array) -> np.ndarray:
         sums = np.full(len(texts), model.bias)
         for a, b, index, owner in hasher.batches(texts):
-            weighted = table[index] != 0
-            pairs = np.unique(owner[weighted] << BITS | index[weighted])
-            sums[a:b] += np.bincount(pairs >> BITS, table[pairs & ((1 << BITS) - 1)], b - a)
+            weighted = (table[index] != 0) | (table[_repeated(index)] != 0)
+            owner, index = _distinct(owner[weighted], index[weighted])
+            sums[a:b] += np.bincount(owner, table[index], b - a)
         return 1 / (1 + np.exp(-np.clip(sums, -35, 35)))
 
     return scores

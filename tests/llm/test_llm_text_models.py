@@ -24,7 +24,7 @@ def odd_rows(spark):
 
 
 def trained():
-    return language_gru.train([GERMAN * 3] * 20 + [ENGLISH * 3] * 20, ["de"] * 20 + ["en"] * 20, steps=60)
+    return language_gru.train([(GERMAN + ' ') * 3] * 20 + [(ENGLISH + ' ') * 3] * 20, ["de"] * 20 + ["en"] * 20, steps=200)
 
 
 def test_gradients_follow_the_loss():

@@ -63,7 +63,8 @@ def previous_closes(marks: DataFrame, mode: str = "last_observed", **calendar) -
 
     ``last_observed`` takes that day's last bar on the grid. ``stored`` takes what the filled
     day ends with: its 20:00 bar, which is its own reference price unless 20:00 traded.
-    ``none`` never looks back. The windows run over symbol-days, a few thousand per symbol.
+    ``none`` never looks back. Marks with a false ``_accepted`` column lend no price to the days after them. The windows run
+    over symbol-days, a few thousand per symbol.
     """
     date = F.col("date")
     step = marks.withColumn("prev_date", previous_trading_day(date, **calendar))
@@ -73,6 +74,8 @@ def previous_closes(marks: DataFrame, mode: str = "last_observed", **calendar) -
         raise ValueError(f"unknown mode {mode!r}")
     earlier = Window.partitionBy("symbol").orderBy("date").rowsBetween(Window.unboundedPreceding, -1)
     is_open = is_trading_day(date, **calendar)
+    if "_accepted" in marks.columns:
+        is_open = is_open & F.col("_accepted")
     last_open_day = F.last(F.when(is_open, F.struct("date", "last_close")), ignorenulls=True).over(earlier)
     step = step.withColumn("_back", last_open_day)
     follows = F.coalesce(F.col("_back.date") == F.col("prev_date"), F.lit(False))
@@ -108,11 +111,13 @@ def reference_prices(bars: DataFrame, mode: str = "last_observed", **calendar) -
 def stored_day_marks(stored: DataFrame) -> DataFrame:
     """Marks of days that are already filled and stored, for the closes of the days after.
 
-    The last traded bar counts as last observed; a day without trades ends at its last bar.
+    The lake knows which bars were observed; for days of older builds that do not, bars with a volume count as observed. A
+    day without any ends at its last bar.
     """
     ts, close = F.col("timestamp"), F.col("close")
     rank = time_rank(ts, close)
-    traded = F.max_by(close, F.when(F.col("volume") > 0, rank))
+    observed = F.coalesce(~F.col("is_filled"), F.col("volume") > 0) if "is_filled" in stored.columns else F.col("volume") > 0
+    traded = F.max_by(close, F.when(observed, rank))
     return stored.groupBy(*KEY).agg(
         first_in_day(F.col("open"), ts).alias("first_open"),
         F.coalesce(traded, F.max_by(close, rank)).alias("last_close"),

@@ -32,23 +32,46 @@ def _closes_before(bars: DataFrame, lake_root: str, **calendar) -> DataFrame:
     incoming = bars.select("date").distinct()
     before = incoming.select(previous_trading_day(F.col("date"), **calendar).alias("date")).distinct()
     wanted = [r["date"] for r in before.join(incoming, "date", "left_anti").collect()]  # one text per day
-    stored = scan_lake(bars.sparkSession, lake_root).filter(F.col("date").isin(wanted))
+    stored = scan_lake(bars.sparkSession, lake_root, filled=True).filter(F.col("date").isin(wanted))
     return stored_day_marks(stored).withColumn("_stored", F.lit(True))
 
 
+def _kept(df: DataFrame, label: str) -> DataFrame:
+    folder = work_folder(df.sparkSession, label)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def settled_marks(marks: DataFrame, previous: str = "last_observed", **calendar) -> DataFrame:
+    """Marks with ``ref_price`` and ``reason``, where only accepted days lend their close to the day after.
+
+    Whether a day is accepted can hang on its reference price, so on the day before. The gate is therefore passed again with
+    the rejected days withheld, until no verdict changes: days whose predecessors are settled stay settled, so each pass
+    settles at least one more day of every chain, and mostly all. A pass is a window over one row per symbol-day.
+    """
+    columns = marks.columns
+    accepted = F.lit(True)
+    while True:
+        judged = filled_facts(with_reference(marks.withColumn("_accepted", accepted), previous, **calendar))
+        reason = F.when(F.coalesce("_stored", F.lit(False)), None).otherwise(gate_reason()).alias("reason")
+        judged = _kept(judged.select(*columns, "ref_price", "_accepted", reason), "marks")
+        if not judged.where(F.col("reason").isNull() != F.col("_accepted")).take(1):
+            return judged.drop("_accepted")
+        marks, accepted = judged, F.col("reason").isNull()
+
+
 def build_days(
     bars: DataFrame, lake_root: str, fill: str = "day_ref", previous: str = "last_observed", **calendar
 ) -> tuple[DataFrame, DataFrame]:
-    """Filled and accepted bars, and the rejects, of staged bars."""
-    spark = bars.sparkSession
-    marks = marks_with_facts(bars).unionByName(_closes_before(bars, lake_root, **calendar), allowMissingColumns=True)
-    marks = with_reference(marks, previous, **calendar).filter(F.col("_stored").isNull()).drop("_stored")
-    if fill == "day_ref":
-        marks = filled_facts(marks).withColumn("reason", gate_reason()).select(*marks.columns, "reason")
+    """Filled and accepted bars, and the rejects, of staged bars.
+
+    The result is the same for one batch of days and for several in order: references come from accepted days only.
+    With ``fill='ffill'`` too, verdicts about the days before are those of the day's reference price.
+    """
+    before = _closes_before(bars, lake_root, **calendar)
+    marks = settled_marks(marks_with_facts(bars).unionByName(before, allowMissingColumns=True), previous, **calendar)
     # one row per symbol-day, kept as a table: it feeds the filler rows, the gate and the rejects
-    kept_marks = work_folder(spark, "marks")
-    marks.write.parquet(kept_marks)
-    marks = spark.read.parquet(kept_marks)
+    marks = marks.filter(F.col("_stored").isNull()).drop("_stored")
     if fill != "day_ref":
         filled = fill_with(bars, marks, fill)
         facts = quality_facts(filled)
@@ -75,7 +98,7 @@ def daily_build(
     bars = staged.filter(F.col("reject_reason").isNull()).drop("reject_reason")
     bars = bars.filter(is_trading_day(F.col("date"), **calendar))
     filled, gated = build_days(bars, lake_root, fill, previous, **calendar)
-    write_daily(filled.drop("is_filled"), lake_root, "overwrite" if overwrite else "skip", files_per_day)
+    write_daily(filled, lake_root, "overwrite" if overwrite else "skip", files_per_day)
     unread = staged.filter(F.col("reject_reason").isNotNull()).select(
         "date", "symbol", F.col("reject_reason").alias("reason")
     )

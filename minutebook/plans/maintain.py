@@ -126,11 +126,11 @@ def purge_lake(spark: SparkSession, lake_root: str, plan: DataFrame) -> list[str
     """
     days = [r["date"] for r in plan.select("date").distinct().collect()]  # one text per day
     stage = work_folder(spark, "purge")
-    touched = scan_lake(spark, lake_root).filter(F.col("date").isin(days))
+    touched = scan_lake(spark, lake_root, filled=True).filter(F.col("date").isin(days))
     write_daily(purge_apply(touched, plan), stage)
     kept = {r["date"] for r in stored_dates(spark, stage).collect()}
     if kept:
-        write_daily(scan_lake(spark, stage), lake_root, existing="overwrite")
+        write_daily(scan_lake(spark, stage, filled=True), lake_root, existing="overwrite")
     emptied = sorted(set(days) - kept)
     for d in emptied:
         remove_folder(spark, f"{lake_root}/year={d[:4]}/month={d[4:6]}/date={d}")

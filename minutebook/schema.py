@@ -30,9 +30,9 @@ BAR_TYPES = {
 
 BAR_SCHEMA = T.StructType([T.StructField(n, t) for n, t in BAR_TYPES.items()])
 
-# The stored daily table adds its two outer partition columns.
+# The stored daily table adds which rows were filled in (NULL in tables of older builds) and its two outer partition columns.
 LAKE_SCHEMA = T.StructType(
-    [*BAR_SCHEMA.fields, T.StructField("year", T.StringType()), T.StructField("month", T.StringType())]
+    [*BAR_SCHEMA.fields, T.StructField("is_filled", T.BooleanType()), T.StructField("year", T.StringType()), T.StructField("month", T.StringType())]
 )
 
 PAYLOAD_SCHEMA = T.StructType(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from minutebook.functions.times import in_date_range
@@ -24,14 +24,20 @@ def stored_dates(spark: SparkSession, root: str) -> DataFrame:
     return spark.createDataFrame([(d,) for d in names], "date string")
 
 
-def scan_lake(spark: SparkSession, root: str, start: str | None = None, end: str | None = None) -> DataFrame:
-    """Bars of a date range. The bounds act on partition folders; a missing lake is empty."""
+def scan_lake(
+    spark: SparkSession, root: str, start: str | None = None, end: str | None = None, filled: bool = False
+) -> DataFrame:
+    """Bars of a date range. The bounds act on partition folders; a missing lake is empty.
+
+    ``filled`` adds the column ``is_filled``.
+    """
+    columns = [*BAR_SCHEMA.names, *(["is_filled"] if filled else [])]
     if not path_exists(spark, root):
-        return spark.createDataFrame([], BAR_SCHEMA)
+        return spark.createDataFrame([], LAKE_SCHEMA).select(*columns)
     bars = spark.read.schema(LAKE_SCHEMA).parquet(root)
     if start or end:
         bars = bars.filter(in_date_range(F.col("date"), start, end))
-    return bars.select(*BAR_SCHEMA.names)
+    return bars.select(*columns)
 
 
 def scan_day(spark: SparkSession, root: str, date: str) -> DataFrame:
@@ -46,7 +52,7 @@ def scan_day_file(spark: SparkSession, root: str, date: str) -> DataFrame:
     path = f"{root}/{date[:4]}/{date[4:6]}/{date}.parquet"
     if not path_exists(spark, path):
         return spark.createDataFrame([], BAR_SCHEMA)
-    return conform(spark.read.parquet(path), by_name=False)
+    return conform(spark.read.parquet(path))
 
 
 def symbol_day(bars: DataFrame, symbol: str, date: str) -> DataFrame:
@@ -62,19 +68,20 @@ def write_daily(
 
     ``existing='skip'`` leaves stored days alone, ``'overwrite'`` replaces exactly the days
     that come in. Without ``files_per_day`` rows are rebalanced by date, so small days share
-    a task and a huge day is split by size; with it, each day gets that many files, split
-    by symbol.
+    a task and a huge day is split by size; with it, each day gets exactly that many files (fewer only if it has fewer
+    symbols), each a range of symbols.
     """
     spark = bars.sparkSession
     if existing not in ("skip", "overwrite"):
         raise ValueError(f"unknown policy {existing!r}")
-    out = with_partitions(bars.select(*checked_columns(bars)))
+    known = [*checked_columns(bars), *(["is_filled"] if "is_filled" in bars.columns else [])]
+    out = with_partitions(bars.select(*known))
     if existing == "skip":
         out = out.join(F.broadcast(stored_dates(spark, root)), "date", "left_anti")
     if files_per_day is None:
         out = out.hint("rebalance", "date")
     else:
-        out = out.repartition("date", F.pmod(F.xxhash64("symbol"), F.lit(files_per_day)))
+        out = _one_file_a_task(out, files_per_day)
     writer = (
         out.sortWithinPartitions(*PARTITIONS, "symbol", "timestamp")
         .write.partitionBy(*PARTITIONS)
@@ -88,6 +95,16 @@ def write_daily(
         writer.mode("append").parquet(root)
 
 
+def _one_file_a_task(bars: DataFrame, files_per_day: int) -> DataFrame:
+    """Deal each day's symbols, in order, to as many tasks as it shall have files; a task holds one day's share."""
+    symbols = bars.select("date", "symbol").distinct()
+    by_day = Window.partitionBy("date").orderBy("symbol")  # at most as many rows as symbols exist
+    days = [r["date"] for r in symbols.select("date").distinct().orderBy("date").collect()]  # one text per day
+    first_task = F.create_map(*[F.lit(x) for k, d in enumerate(days) for x in (d, k * files_per_day)]) if days else F.create_map()
+    tasks = symbols.withColumn("_task", first_task[F.col("date")] + F.ntile(files_per_day).over(by_day) - 1)
+    return bars.join(tasks, ["date", "symbol"]).repartitionById(max(1, len(days) * files_per_day), "_task").drop("_task")
+
+
 def write_fragments(bars: DataFrame, root: str) -> None:
     """One folder per symbol-day. Kept for old readers; many small files, not the default."""
     out = bars.select(*checked_columns(bars))

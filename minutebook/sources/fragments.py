@@ -1,67 +1,99 @@
-"""Symbol-day fragment files: footers, schema drift, unreadable and empty files."""
+"""Symbol-day fragment files: any layout, unreadable and empty files."""
 
 from __future__ import annotations
 
-from functools import reduce
-from urllib.parse import unquote
-
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyarrow import parquet
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from minutebook.functions.guards import nan_to_null
 from minutebook.functions.times import date_text, in_date_range, ms_of_day
 from minutebook.schema import BAR_OPTIONAL, BAR_REQUIRED, BAR_SCHEMA, BAR_TYPES
-from minutebook.sources.files import file_inventory, with_names
+from minutebook.sources.files import path_exists, with_names
 
 FRAGMENT_GLOB = "*_*.parquet"
-FOOTER_SCHEMA = (
+FILES_SCHEMA = (
     "path string, length long, symbol string, date string, rows long, columns string, error string"
 )
+ARROW_TYPES = {
+    "timestamp": pa.timestamp("us"), "date": pa.string(), "symbol": pa.string(), "ms_of_day": pa.int64(), "count": pa.int64(),
+}
 
 
-def _open_footer(path: str):
-    from pyarrow import fs, parquet
-
-    if path.startswith("file:"):
-        return parquet.ParquetFile("/" + unquote(path[len("file:"):]).lstrip("/"))
-    system, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://"))
-    return parquet.ParquetFile(system.open_input_file(inner))
+def _bar_column(table: pa.Table, name: str) -> pa.ChunkedArray:
+    """A column in its bar type, whatever number type the file was written with; NULL if absent."""
+    found = {c.lower(): c for c in table.column_names}
+    kind = ARROW_TYPES.get(name, pa.float64())
+    if name not in found:
+        return pa.chunked_array([pa.nulls(len(table), kind)])
+    column = table[found[name]]
+    if pa.types.is_floating(column.type):
+        column = pc.if_else(pc.is_nan(column), pa.scalar(None, column.type), column)
+    if name == "timestamp" and pa.types.is_integer(column.type):  # nanoseconds since the epoch
+        column = column.cast(pa.timestamp("ns"))
+    return column.cast(kind, safe=False)
+
+
+def _read_bars(content: bytes) -> tuple[pa.Table, str]:
+    """All bars of one file in the bar layout, and its columns as stored."""
+    table = parquet.read_table(pa.BufferReader(content))
+    columns = ",".join(sorted(f"{f.name}:{f.type}" for f in table.schema))
+    return pa.table({c: _bar_column(table, c) for c in BAR_TYPES}), columns
+
+
+def _checked(batches):
+    for batch in batches:
+        files, found = batch.to_pydict(), {"rows": [], "columns": [], "error": []}
+        for content in files.pop("content"):
+            rows, columns, error = None, None, None
+            try:
+                bars, columns = _read_bars(content)
+                rows = len(bars)
+            except Exception as e:  # any unreadable file becomes a row, the scan goes on
+                error = str(e).split("\n")[0]
+            for name, value in (("rows", rows), ("columns", columns), ("error", error)):
+                found[name].append(value)
+        kinds = {"length": pa.int64(), "rows": pa.int64()}
+        yield pa.RecordBatch.from_pydict({k: pa.array(v, kinds.get(k, pa.string())) for k, v in (files | found).items()})
 
 
-def _footers(batches):
-    for files in batches:
-        rows, columns, errors = [], [], []
-        for path in files["path"]:
+def _bars(batches):
+    for batch in batches:
+        for path, content in zip(batch.column("path"), batch.column("content"), strict=True):
             try:
-                footer = _open_footer(path)
-                rows.append(footer.metadata.num_rows)
-                columns.append(",".join(sorted(f"{f.name}:{f.type}" for f in footer.schema_arrow)))
-                errors.append(None)
-            except Exception as e:  # any unreadable file becomes a row, the scan goes on
-                rows.append(None)
-                columns.append(None)
-                errors.append(str(e).split("\n")[0])
-        yield files.assign(rows=pd.array(rows, dtype="Int64"), columns=columns, error=errors)[
-            ["path", "length", "symbol", "date", "rows", "columns", "error"]
-        ]
+                bars, _ = _read_bars(content.as_py())
+            except Exception:  # reported by fragment_files, which reads files the same way
+                continue
+            bars = bars.append_column("path", pa.array([path.as_py()] * len(bars), pa.string()))
+            yield from bars.combine_chunks().to_batches()
+
+
+def _file_contents(spark: SparkSession, root: str, keep: Column | None = None) -> DataFrame:
+    """Fragments as path, length, symbol, date and content.
+
+    The files go through Spark's own file system, each whole (a fragment holds one symbol-day), in tasks sized by their bytes.
+    ``keep`` is a condition on the file name's ``symbol`` and ``date``, which leaves files out before they are opened.
+    """
+    if not path_exists(spark, root):
+        return spark.createDataFrame([], "path string, length long, symbol string, date string, content binary")
+    files = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", FRAGMENT_GLOB).load(root)
+    )
+    named = with_names(files.withColumn("path", F.col("_metadata.file_path"))).filter(F.col("symbol").isNotNull())
+    named = named if keep is None else named.filter(keep)
+    return named.select("path", "length", "symbol", "date", "content")
 
 
 def fragment_files(
     spark: SparkSession, root: str, start: str | None = None, end: str | None = None
 ) -> DataFrame:
-    """One row per SYMBOL_YYYYMMDD.parquet: row count and column types from its footer, or the error.
+    """One row per SYMBOL_YYYYMMDD.parquet: row count and column types, or why it cannot be read.
 
-    Files outside the date range are left out by name, before any is opened. Only footers are
-    read, spread over the executors.
+    Files outside the date range are left out by name. A file counts as readable only if all its pages decode.
     """
-    named = with_names(file_inventory(spark, root)).filter(
-        F.col("symbol").isNotNull() & in_date_range(F.col("date"), start, end)
-    )
-    # a fixed number of partitions: by their own size the short rows would end up in one task
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spread = named.select("path", "length", "symbol", "date").repartition(tasks, "path")
-    return spread.mapInPandas(_footers, FOOTER_SCHEMA)
+    return _file_contents(spark, root, in_date_range(F.col("date"), start, end)).mapInArrow(_checked, FILES_SCHEMA)
 
 
 def read_errors(files: DataFrame) -> DataFrame:
@@ -89,46 +121,32 @@ def _to_bar_column(df: DataFrame, name: str) -> Column:
     return col.cast(BAR_TYPES[name])
 
 
-def conform(df: DataFrame, by_name: bool = True) -> DataFrame:
-    """Cast any fragment layout to the bar schema; keys missing in a row come from the file name."""
-    bars = df.select(
-        *[_to_bar_column(df, c).alias(c) for c in BAR_TYPES],
-        *([F.col("_metadata.file_name").alias("_name")] if by_name else []),
-    )
+def conform(df: DataFrame) -> DataFrame:
+    """Cast a stored layout to the bar schema; keys missing in a row come from its timestamp."""
+    bars = df.select(*[_to_bar_column(df, c).alias(c) for c in BAR_TYPES])
     ts = F.col("timestamp")
     keyed = {"ms_of_day": F.coalesce("ms_of_day", ms_of_day(ts)), "date": F.coalesce("date", date_text(ts))}
-    if by_name:
-        name = F.col("_name")
-        keyed["symbol"] = F.coalesce("symbol", F.regexp_extract(name, r"^(.+)_\d{8}\.parquet$", 1))
     return bars.withColumns(keyed).select(*BAR_TYPES)
 
 
 def scan_fragments(spark: SparkSession, root: str, files: DataFrame | None = None) -> DataFrame:
-    """All bars of a fragment tree, whatever numeric types each file was written with.
+    """All bars of a fragment tree, whatever columns and numeric types each file was written with.
 
-    Where every file has the same columns the folder is read as one source, pruned by file
-    name. Otherwise the readable files are read per column layout and united; the path lists
-    then held on the driver are the ones Spark's own file index holds.
+    With ``files`` (rows with a ``date``) only the fragments of those days are opened. Every file is brought to the bar
+    layout by itself, so no file's layout bears on another's; keys missing in a row come from the file name.
+    Files that cannot be read give no bars here and a row in ``read_errors``.
     """
-    files = fragment_files(spark, root) if files is None else files
-    found = files.groupBy("columns", "date").agg(F.sum("rows").alias("rows")).collect()  # layouts x days
-    layouts = {r["columns"] for r in found if r["rows"]}
-    if not layouts:
-        return spark.createDataFrame([], BAR_SCHEMA)
-    if len(layouts) == 1:
-        damaged = any(r["columns"] is None for r in found)
-        dates = sorted({r["date"] for r in found})
-        whole = (
-            spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", FRAGMENT_GLOB)
-            .option("ignoreCorruptFiles", str(damaged).lower()).parquet(root)
-        )
-        file_date = F.regexp_extract(F.col("_metadata.file_name"), r"^.+_(\d{8})\.parquet$", 1)
-        return conform(whole.filter(file_date.isin(dates)))
-    parts = []
-    for layout in sorted(layouts):
-        same = files.filter((F.col("columns") == layout) & (F.col("rows") > 0))
-        parts.append(conform(spark.read.parquet(*[r["path"] for r in same.select("path").collect()])))
-    return reduce(DataFrame.unionByName, parts)
+    keep = None
+    if files is not None:
+        keep = F.col("date").isin([r["date"] for r in files.select("date").distinct().collect()])  # one text per day
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in BAR_SCHEMA.fields)
+    bars = _file_contents(spark, root, keep).mapInArrow(_bars, f"{kinds}, path string")
+    ts, name = F.col("timestamp"), F.element_at(F.split("path", "/"), -1)
+    keyed = {
+        "ms_of_day": F.coalesce("ms_of_day", ms_of_day(ts)), "date": F.coalesce("date", date_text(ts)),
+        "symbol": F.coalesce("symbol", F.regexp_extract(name, r"^(.+)_\d{8}\.parquet$", 1)),
+    }
+    return bars.withColumns(keyed).select(*BAR_TYPES)
 
 
 def checked_columns(bars: DataFrame) -> list[str]:

@@ -24,10 +24,7 @@ TEXT_RECORDS = "array<struct<" + ", ".join(f"{f}: string" for f in FIELDS) + ">>
 EXCHANGE_ZONE = "America/New_York"
 
 # Fixed value: shape of one whole record as the data service writes it.
-RECORD_PATTERN = (
-    r'\{"volume":\d+,"high":[\d.]+,"low":[\d.]+,"vwap":[\d.]+,"count":\d+,'
-    r'"close":[\d.]+,"open":[\d.]+,"timestamp":"[^"]+"\}'
-)
+RECORD_PATTERN = r'\{"volume":\d+,"high":[\d.]+,"low":[\d.]+,"vwap":[\d.]+,"count":\d+,"close":[\d.]+,"open":[\d.]+,"timestamp":"[^"]+"\}'
 
 
 # CSV cells that mean "no value".
@@ -58,10 +55,10 @@ def payload_kind(payload: Column) -> Column:
     JSON prefixes are tested before the CSV hints, which a one-line JSON array also meets.
     """
     def kind(text: Column) -> Column:
-        short = F.when(F.length(text) <= 16, F.regexp_replace(text, r"\s", ""))
+        blank = text.rlike(r"^(?:\[\s*\]|\{\s*\}|null)?$")
         has_header = csv_hints(text) >= 5
         return (
-            F.when(text.isNull() | F.coalesce(short.isin("", "[]", "{}", "null"), F.lit(False)), "empty")
+            F.when(text.isNull() | blank, "empty")
             .when(text.startswith("["), "json_array")
             .when(
                 text.startswith("{"),
@@ -122,6 +119,10 @@ def joined_text(parts: Column) -> Column:
 
 # --- JSON -------------------------------------------------------------------------
 
+# A field name that is not in lower case, in any record.
+ODD_CASE = rf'"(?!(?:{"|".join(FIELDS)})")(?i:{"|".join(FIELDS)})"\s*:'
+
+
 def _lower_keys(text: Column) -> Column:
     for f in FIELDS:
         text = F.regexp_replace(text, rf'(?i)"{f}"(\s*:)', f'"{f}"$1')
@@ -178,14 +179,6 @@ def missing_fields(records: Column, payload: Column) -> Column:
     return F.array_compact(F.array(*[absent(f) for f in REQUIRED]))
 
 
-def _lacks_value(records: Column) -> Column:
-    """Some required field has no value in any record (perhaps its key is in another case)."""
-    lacks = F.lit(False)
-    for f in REQUIRED:
-        lacks = lacks | ~F.exists(records, lambda r: r[f].isNotNull())
-    return F.coalesce(lacks, F.lit(False))
-
-
 # --- CSV --------------------------------------------------------------------------
 
 def _data_lines(payload: Column) -> Column:
@@ -235,6 +228,7 @@ def read_records(payloads: DataFrame) -> DataFrame:
 
     step = payloads.withColumn("kind", payload_kind(p))
     step = step.withColumn("_text", text)
+    step = step.withColumn("_text", F.when(F.col("_text").rlike(ODD_CASE), _lower_keys(F.col("_text"))).otherwise(F.col("_text")))
     plain_order = is_csv & (_csv_header(p) == ",".join(FIELDS))
     step = step.withColumn("_typed", F.when(plain_order, _typed_csv(p)).otherwise(_typed_records(F.col("_text"))))
     step = step.withColumn("_repaired", F.when(is_json & F.col("_typed").isNull(), _lower_keys(repair_json(p))))
@@ -250,16 +244,13 @@ def read_records(payloads: DataFrame) -> DataFrame:
     plain_failed = again & is_json & F.col("_plain").isNull()
     step = step.withColumns(
         {
-            "_lowered": F.when(
-                usable("_plain") & _lacks_value(F.col("_plain")), _text_records(_lower_keys(F.col("_text")))
-            ),
             "_fixed": F.when(plain_failed, _text_records(F.col("_repaired"))),
             "_cells": F.when(F.col("_header").isNotNull(), _text_csv(p, F.col("_header"))),
         }
     )
     step = step.withColumn("_found", F.when(plain_failed & ~usable("_fixed"), _text_records(salvage_json(p))))
     texts = F.coalesce(
-        "_cells", "_lowered", "_plain", F.when(usable("_fixed"), F.col("_fixed")), F.col("_found")
+        "_cells", "_plain", F.when(usable("_fixed"), F.col("_fixed")), F.col("_found")
     )
     step = step.withColumn("_texts", F.when(again, texts))
     named = F.array(*map(F.lit, REQUIRED))

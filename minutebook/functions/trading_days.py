@@ -3,7 +3,8 @@
 The rules fill a constant bit set, one bit per day of 1971-2100, that a column looks up by
 day number. Testing a date needs no join: on a date-partitioned table the test prunes
 partitions, elsewhere it is one array access in the generated code. ``closures`` adds
-one-off dates, ``holidays=False`` keeps the weekend rule only.
+one-off dates, ``holidays=False`` keeps the weekend rule only, for any year; with holidays a date outside
+1971-2100 is an error.
 """
 
 from __future__ import annotations
@@ -22,9 +23,9 @@ FIRST_YEAR, LAST_YEAR = 1971, 2100
 EPOCH = dt.date(FIRST_YEAR, 1, 1)
 LOOK_BACK_DAYS = 10
 
-# One-off full-day closures of the exchange (mourning, attacks, storms).
+# One-off full-day closures of the exchange (elections, mourning, attacks, storms).
 ONE_OFF_CLOSURES = [
-    "19721228", "19730125", "19770714", "19850927", "19940427", "20010911", "20010912", "20010913",
+    "19721107", "19721228", "19730125", "19761102", "19770714", "19801104", "19850927", "19940427", "20010911", "20010912", "20010913",
     "20010914", "20040611", "20070102", "20121029", "20121030", "20181205", "20250109",
 ]
 
@@ -99,7 +100,11 @@ def _is_open(day: Column, closures: Iterable[str], holidays: bool) -> Column:
     n = F.date_diff(day, F.lit(EPOCH))
     # one text literal in the plan; the optimizer folds it into a constant array
     words = F.split(F.lit(_open_words(tuple(closures))), ",").cast("array<bigint>")
-    return F.coalesce(F.getbit(F.get(words, F.shiftright(n, 6)), F.pmod(n, F.lit(64))) == 1, _is_weekday(day))
+    known = F.year(day).between(FIRST_YEAR, LAST_YEAR)
+    outside = F.raise_error(F.lit(f"the calendar's rules cover {FIRST_YEAR} to {LAST_YEAR}; use holidays=False for other years"))
+    return F.when(known, F.getbit(F.get(words, F.shiftright(n, 6)), F.pmod(n, F.lit(64))) == 1).when(
+        day.isNotNull(), outside.cast("boolean")
+    )
 
 
 def is_trading_day(date: Column, closures: Iterable[str] = (), holidays: bool = True) -> Column:

@@ -18,7 +18,8 @@ def column(spark, values, expr):
         ("20220620", "market holiday", "20220617"), ("20210618", None, "20210617"), ("20151225", "market holiday", "20151224"),
         ("20200703", "market holiday", "20200702"), ("20211224", "market holiday", "20211223"), ("20010917", None, "20010910"),
         ("20250109", "market holiday", "20250108"), ("20251127", "market holiday", "20251126"), ("19970120", None, "19970117"),
-        ("20230102", "market holiday", "20221230"), ("20000421", "market holiday", "20000420"), ("19600704", None, "19600701"),
+        ("20230102", "market holiday", "20221230"), ("20000421", "market holiday", "20000420"), ("19721107", "market holiday", "19721106"),
+        ("19801104", "market holiday", "19801103"),
     ],
 )
 def test_known_days(spark, date, reason, previous):
@@ -26,6 +27,14 @@ def test_known_days(spark, date, reason, previous):
     assert (row.is_trading_day, row.reason, row.prev_trading_day) == (reason is None, reason, previous)
 
 
+def test_years_without_rules(spark):
+    early = spark.createDataFrame([("19600704",)], "date string")
+    with pytest.raises(Exception, match="cover 1971 to 2100"):
+        early.select(cal.is_trading_day(F.col("date"))).collect()
+    row = cal.with_calendar(early, holidays=False).first()
+    assert (row.is_trading_day, row.prev_trading_day) == (True, "19600701")
+
+
 def test_default_range_has_19_trading_days(spark):
     assert cal.trading_days(spark, "20251121", "20251218").count() == 19
     assert cal.skipped_days(spark, "20251121", "20251218").count() == 9

@@ -103,10 +103,13 @@ def payload_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("parse_json_bars", BAR_SQL + q.parsed_bar())
 def parse_json_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bars of JSON array payloads; half of them name their fields in upper case."""
-    text = t.json_text()
-    shouted = F.regexp_replace(F.upper(text), "T(?=\\d\\d:)", "T")
-    return parse.parse_bars(payloads_of(spark, sf_dir, F.when(F.col("rule") % 2 == 0, shouted).otherwise(text)))
+    """Bars of JSON array payloads; some name fields in capitals: all, ``Count`` and ``VWAP`` only, or in every other record."""
+    text, rule = t.json_text(), F.col("rule") % 4
+    capitals = F.regexp_replace(F.regexp_replace(text, '"count":', '"Count":'), '"vwap":', '"VWAP":')
+    others = F.transform("records", lambda r, i: F.when(i % 2 == 1, F.upper(r)).otherwise(r))
+    mixed = F.concat(F.lit("["), F.array_join(others, ","), F.lit("]"))
+    text = F.when(rule == 0, F.upper(text)).when(rule == 1, capitals).when(rule == 2, mixed).otherwise(text)
+    return parse.parse_bars(payloads_of(spark, sf_dir, text))
 
 
 @query(
@@ -218,17 +221,61 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_ledger(spark, ledger).select(*KEY, "kind", "parse_status", "records")
 
 
-GATED = q.with_(
-    REPAIRED, q.HOLIDAYS, q.GRID, "filled AS (" + _filled_sql("g.ref_price") + ")",
-    q.FACTS.replace("FROM bars)", "FROM filled)"),
-) + f"""
-SELECT f.symbol, f.date, f.timestamp, f.ms_of_day, f.open, f.high, f.low, f.close, f.volume, f.count, f.vwap FROM filled f
-WHERE (f.symbol, f.date) NOT IN (SELECT (symbol, date) FROM facts WHERE {q.GATE_REASON} IS NOT NULL)"""
+TURNED = REPAIRED.replace("bars AS (", "good_bars AS (").replace("all_good_bars", "all_bars").rstrip() + f""",
+bars AS (
+  SELECT * REPLACE (CASE WHEN {q.DAY} % 5 = 3 THEN -open ELSE open END AS open, CASE WHEN {q.DAY} % 5 = 3 THEN -high ELSE high END AS high,
+    CASE WHEN {q.DAY} % 5 = 3 THEN -low ELSE low END AS low, CASE WHEN {q.DAY} % 5 = 3 THEN -close ELSE close END AS close) FROM good_bars)
+"""
+
+
+def _verdicts(name: str, price: str) -> str:
+    """The gate's verdict on every day, were its gaps filled with ``price``."""
+    facts = q.FACTS.replace("FROM bars)", f"FROM filled_{name})")
+    for part in ("ordered", "sums", "facts"):
+        facts = facts.replace(f"{part} AS", f"{part}_{name} AS").replace(f"FROM {part}", f"FROM {part}_{name}")
+    return (
+        f"filled_{name} AS (" + _filled_sql(price) + "),\n" + facts.strip()
+        + f",\nverdict_{name} AS (SELECT symbol, date, {q.GATE_REASON} AS reason FROM facts_{name})"
+    )
+
+
+# A day takes the close of the day before only if that day was accepted, which is known in the order of the days.
+GATED = "WITH RECURSIVE " + q.with_(
+    TURNED, q.HOLIDAYS, q.GRID.replace("SELECT r.symbol, r.date, r.ref_price,", "SELECT r.symbol, r.date, r.ref_price, f.first_open,")
+    .replace("FROM refs r, range(961) m", "FROM refs r JOIN firsts_of_day f USING (symbol, date), range(961) m"),
+    _verdicts("after", "g.ref_price"), _verdicts("alone", "g.first_open"),
+    """
+days AS (
+  SELECT r.symbol, r.date, r.prev_date, r.ref_price, f.first_open, a.reason AS after_reason, o.reason AS alone_reason
+  FROM refs r JOIN firsts_of_day f USING (symbol, date) JOIN verdict_after a USING (symbol, date) JOIN verdict_alone o USING (symbol, date)),
+chain AS (
+  SELECT d.symbol, d.date, d.first_open AS price, d.alone_reason IS NULL AS accepted
+  FROM days d WHERE NOT EXISTS (SELECT 1 FROM days p WHERE p.symbol = d.symbol AND p.date = d.prev_date)
+  UNION ALL
+  SELECT d.symbol, d.date, CASE WHEN c.accepted THEN d.ref_price ELSE d.first_open END,
+         CASE WHEN c.accepted THEN d.after_reason ELSE d.alone_reason END IS NULL
+  FROM chain c JOIN days d ON d.symbol = c.symbol AND d.prev_date = c.date),
+kept_grid AS (SELECT g.*, c.price FROM grid g JOIN chain c USING (symbol, date) WHERE c.accepted)""",
+).removeprefix("WITH ") + (
+    "SELECT * EXCLUDE (is_filled) FROM (" + _filled_sql("g.price").replace("FROM grid g", "FROM kept_grid g") + ")"
+)
 
 
 @query("daily_lake", GATED)
 def daily_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The lake a build from damaged payloads leaves: parsed, filled, gated, written, read back."""
+    """The lake a build from damaged payloads leaves: parsed, filled, gated, written, read back; some days are rejected."""
+    root = work_folder(spark, "lake")
+    daily_build(spark, t.partly_negative(t.damaged_payloads(spark, sf_dir)), root)
+    return scan_lake(spark, root).withColumn("vwap", F.round("vwap", 4))
+
+
+@query("daily_lake_batches", GATED)
+def daily_lake_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same lake, built in three batches of days."""
     root = work_folder(spark, "lake")
-    daily_build(spark, t.damaged_payloads(spark, sf_dir), root)
+    landed = work_folder(spark, "landed")
+    t.partly_negative(t.damaged_payloads(spark, sf_dir)).write.parquet(landed)
+    payloads = spark.read.parquet(landed)
+    for end in ("20240109", "20240118", "20240131"):
+        daily_build(spark, payloads.filter(F.col("date") <= end), root)
     return scan_lake(spark, root).withColumn("vwap", F.round("vwap", 4))

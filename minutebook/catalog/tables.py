@@ -154,6 +154,13 @@ def damaged_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def partly_negative(payloads: DataFrame) -> DataFrame:
+    """The same payloads; on every fifth day of a month all prices are negative, which the gate rejects."""
+    turned = F.regexp_replace("payload", r'"(open|high|low|close)":', '"$1":-')
+    bad = F.substring("date", 7, 2).cast("int") % 5 == 3
+    return payloads.withColumn("payload", F.when(bad, turned).otherwise(F.col("payload")))
+
+
 def mixed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payloads of every kind: intact, wrapped, single object, CSV, error, empty shapes, plain text."""
     rule = F.col("rule") % 11
@@ -166,7 +173,7 @@ def mixed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(rule == 3, csv_text())
         .when(rule == 4, F.concat(F.lit('{"error":{"code":472,"message":"no data for '), F.col("symbol"), F.lit('"}}')))
         .when(rule == 5, F.lit('{"error":"session closed"}'))
-        .when(rule == 6, F.lit("[]"))
+        .when(rule == 6, F.when(F.col("day") % 2 == 0, "[]").otherwise("[" + " " * 20 + "]"))
         .when(rule == 7, F.lit(" \n\t"))
         .when(rule == 8, F.lit("timestamp,open,high,low,close,volume\n"))
         .when(rule == 9, F.lit("service restarted"))

@@ -147,6 +147,13 @@ def sketch(tokens: np.ndarray) -> bytes:
     return np.packbits(bits.astype(np.uint8)).tobytes()
 
 
+def node_of(tokens: np.ndarray) -> int | None:
+    """The number of a set; equal sets have the same."""
+    if not len(tokens):
+        return None
+    return int(_mixed(_mixed(tokens).sum(dtype=np.uint64, keepdims=True) + np.uint64(len(tokens))).astype(np.int64)[0])
+
+
 SETS = "doc_id long, n_shingles long, node long, sketch binary, signatures array<long>"
 
 
@@ -161,7 +168,7 @@ def document_sets(docs: DataFrame, percent: int, sets: int) -> DataFrame:
             out: list[list] = [[], [], [], [], []]
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 tokens = hashed_shingles(split_words(text.as_py() or ""), kept)
-                node = int(_mixed(np.array([_mixed(tokens).sum(dtype=np.uint64) + np.uint64(len(tokens))]))[0].astype(np.int64)) if len(tokens) else None
+                node = node_of(tokens)
                 first = node is not None and node not in met
                 if first:
                     met.add(node)
@@ -325,7 +332,7 @@ def components(edges: DataFrame) -> DataFrame:
             break
         before = state
     roots = pairs.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    return roots.union(roots.select(F.col("root").alias("node"), "root").distinct())
+    return staged(roots.union(roots.select(F.col("root").alias("node"), "root").distinct()), "roots")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -337,37 +344,34 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
     members = staged(shared_signatures(sets), "members")
     known = staged(nodes.join(members.select("node").distinct(), "node", "left_semi"), "nodes")
-    texts, links, apart = None, None, None
-    work = members
+    stars, apart, work = None, None, members
     while True:
         state = known.select("node", "n_shingles", "sketch")
+        if stars is None:
+            state = state.withColumn("joined", F.col("node"))
+        else:
+            state = state.join(stars, "node", "left").withColumn("joined", F.coalesce("root", "node")).drop("root")
         if apart is None:
-            state = state.withColumn("joined", F.col("node")).withColumn("apart", F.lit(None).cast("array<long>"))
+            state = state.withColumn("apart", F.lit(None).cast("array<long>"))
         else:
-            root = components(links)
-            no = apart.groupBy(F.col("a").alias("node")).agg(F.collect_set("b").alias("apart"))
-            state = state.join(root, "node", "left").join(no, "node", "left").select(
-                "node", "n_shingles", "sketch", F.coalesce("root", "node").alias("joined"),
-                "apart",
-            )
+            state = state.join(apart.groupBy(F.col("a").alias("node")).agg(F.collect_set("b").alias("apart")), "node", "left")
         edges = staged(candidate_edges(work, state, percent), "edges")
-        if not edges.take(1):
-            break
         pairs = edges.select("a", "b").distinct()
         ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         texts = _texts_of(docs, known.join(ends, "node", "left_semi").select("node", F.col("first_id").alias("doc_id")))
         judged = staged(verified(pairs, texts, percent), "judged")
         good, bad = judged.where("linked").select("a", "b"), judged.where("not linked").select("a", "b")
-        links = good if links is None else links.union(good)
-        apart = bad if apart is None else apart.union(bad)
+        if good.take(1):
+            stars = components(good if stars is None else good.union(stars.select(F.col("root").alias("a"), F.col("node").alias("b"))))
         # Only buckets with a pair that failed have more to find.
+        if not bad.take(1):
+            break
+        apart = bad if apart is None else apart.union(bad)
         again = edges.join(bad, ["a", "b"], "left_semi").select("signature").distinct()
         work = staged(work.join(again, "signature", "left_semi"), "members")
-        if not work.take(1):
-            break
     named = nodes.select("node", "first_id")
-    if links is not None:
-        named = named.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    if stars is not None:
+        named = named.join(stars, "node", "left").withColumn("root", F.coalesce("root", "node"))
         lowest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
         named = named.join(lowest, "root").select("node", "component_id")
     else:
@@ -378,8 +382,18 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """node and text of the documents wanted (node, doc_id), stored."""
-    wanted = staged(wanted, "wanted")
-    if wanted.count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
-    return staged(docs.join(wanted, "doc_id").dropDuplicates(["node"]).select("node", "text"), "texts")
+    """node and text of the documents wanted (node, doc_id), stored. A doc_id may name several texts: the node tells which is meant."""
+    wanted = staged(wanted.select("node", F.col("doc_id").alias("named")), "wanted")
+    small = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
+    rows = docs.where("text is not null").join(small, F.col("doc_id").eqNullSafe(F.col("named"))).select("node", "text")
+
+    def meant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[bytes, int] = {}
+        for batch in batches:
+            same = [
+                node_of(hashed_shingles(split_words(text.as_py()), kept)) == node
+                for node, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True)
+            ]
+            yield batch.filter(pa.array(same, pa.bool_()))
+
+    return staged(rows.mapInArrow(meant, "node long, text string").dropDuplicates(["node"]), "texts")

@@ -93,6 +93,12 @@ def test_components_of_odd_rows(spark):
     assert sorted(map(str, jaccard_join.near_duplicates(nameless).collect()))[0].endswith("component_id=4)")
 
 
+def test_components_of_shared_ids(spark):
+    rows = [(doc_id // 3 % 50, text) for doc_id, text in families(8, 2, 60, 80, 5)]
+    got = jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got)) == brute_components(rows)
+
+
 def test_many_copies_stay_one_node(spark):
     docs = spark.range(20_000).selectExpr("id + 5 AS doc_id", "concat_ws(' ', 'a', 'b', 'c', 'd', 'e', CASE WHEN id % 1000 = 0 THEN id END) AS text")
     got = {tuple(r) for r in jaccard_join.near_duplicates(docs).groupBy("component_id").count().collect()}

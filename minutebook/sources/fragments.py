@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from minutebook.functions.guards import nan_to_null
+from minutebook.functions.symbols import date_of_file, symbol_of_file
 from minutebook.functions.times import date_text, in_date_range, ms_of_day
 from minutebook.schema import BAR_OPTIONAL, BAR_REQUIRED, BAR_SCHEMA, BAR_TYPES
-from minutebook.sources.files import path_exists, with_names
+from minutebook.sources.files import path_exists
 
 FRAGMENT_GLOB = "*_*.parquet"
 FILES_SCHEMA = (
@@ -70,18 +71,17 @@ def _bars(batches):
             yield from bars.combine_chunks().to_batches()
 
 
-def _file_contents(spark: SparkSession, root: str, keep: Column | None = None) -> DataFrame:
-    """Fragments as path, length, symbol, date and content.
+def _file_contents(spark: SparkSession, root: str, keep: Column | None = None, pattern: str = FRAGMENT_GLOB) -> DataFrame:
+    """Files below a folder as path, length, symbol, date and content.
 
     The files go through Spark's own file system, each whole (a fragment holds one symbol-day), in tasks sized by their bytes.
-    ``keep`` is a condition on the file name's ``symbol`` and ``date``, which leaves files out before they are opened.
+    ``keep`` is a condition on the file name's ``symbol`` and ``date``; it leaves files out before they are opened.
     """
     if not path_exists(spark, root):
         return spark.createDataFrame([], "path string, length long, symbol string, date string, content binary")
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", FRAGMENT_GLOB).load(root)
-    )
-    named = with_names(files.withColumn("path", F.col("_metadata.file_path"))).filter(F.col("symbol").isNotNull())
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
+    name = F.col("_metadata.file_name")
+    named = files.withColumns({"symbol": symbol_of_file(name), "date": date_of_file(name)})
     named = named if keep is None else named.filter(keep)
     return named.select("path", "length", "symbol", "date", "content")
 
@@ -93,7 +93,8 @@ def fragment_files(
 
     Files outside the date range are left out by name. A file counts as readable only if all its pages decode.
     """
-    return _file_contents(spark, root, in_date_range(F.col("date"), start, end)).mapInArrow(_checked, FILES_SCHEMA)
+    keep = F.col("symbol").isNotNull() & in_date_range(F.col("date"), start, end)
+    return _file_contents(spark, root, keep).mapInArrow(_checked, FILES_SCHEMA)
 
 
 def read_errors(files: DataFrame) -> DataFrame:
@@ -136,17 +137,22 @@ def scan_fragments(spark: SparkSession, root: str, files: DataFrame | None = Non
     layout by itself, so no file's layout bears on another's; keys missing in a row come from the file name.
     Files that cannot be read give no bars here and a row in ``read_errors``.
     """
-    keep = None
+    keep = F.col("symbol").isNotNull()
     if files is not None:
-        keep = F.col("date").isin([r["date"] for r in files.select("date").distinct().collect()])  # one text per day
+        keep &= F.col("date").isin([r["date"] for r in files.select("date").distinct().collect()])  # one text per day
+    return bars_by_file(spark, root, keep).drop("path")
+
+
+def bars_by_file(spark: SparkSession, root: str, keep: Column, pattern: str = FRAGMENT_GLOB) -> DataFrame:
+    """The bars of all files that ``keep`` (on a file name's ``symbol`` and ``date``) lets in, with the ``path`` they come from."""
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in BAR_SCHEMA.fields)
-    bars = _file_contents(spark, root, keep).mapInArrow(_bars, f"{kinds}, path string")
+    bars = _file_contents(spark, root, keep, pattern).mapInArrow(_bars, f"{kinds}, path string")
     ts, name = F.col("timestamp"), F.element_at(F.split("path", "/"), -1)
     keyed = {
         "ms_of_day": F.coalesce("ms_of_day", ms_of_day(ts)), "date": F.coalesce("date", date_text(ts)),
-        "symbol": F.coalesce("symbol", F.regexp_extract(name, r"^(.+)_\d{8}\.parquet$", 1)),
+        "symbol": F.coalesce("symbol", symbol_of_file(name)),
     }
-    return bars.withColumns(keyed).select(*BAR_TYPES)
+    return bars.withColumns(keyed).select(*BAR_TYPES, "path")
 
 
 def checked_columns(bars: DataFrame) -> list[str]:

@@ -67,12 +67,12 @@ def write_daily(
     """Write bars into the lake, each day sorted by (symbol, timestamp).
 
     ``existing='skip'`` leaves stored days alone, ``'overwrite'`` replaces exactly the days
-    that come in. Without ``files_per_day`` rows are rebalanced by date, so small days share
+    that come in, ``'add'`` adds to stored days (of symbols they do not hold yet, which is the caller's care). Without ``files_per_day`` rows are rebalanced by date, so small days share
     a task and a huge day is split by size; with it, each day gets exactly that many files (fewer only if it has fewer
     symbols), each a range of symbols.
     """
     spark = bars.sparkSession
-    if existing not in ("skip", "overwrite"):
+    if existing not in ("skip", "overwrite", "add"):
         raise ValueError(f"unknown policy {existing!r}")
     known = [*checked_columns(bars), *(["is_filled"] if "is_filled" in bars.columns else [])]
     out = with_partitions(bars.select(*known))

@@ -1,7 +1,11 @@
 """Incremental ingest of a payload landing folder.
 
-Each run takes the files that arrived since the last one and stops. Finished symbol-days are
-skipped by a join with the ledger, so the stream itself keeps no growing state.
+Each run takes the files that arrived since the last one and stops. Finished symbol-days are skipped by a join with the
+ledger, of which only the batch's dates are read, so the stream itself keeps no growing state.
+
+Of several payloads for a symbol-day the first landed that is usable counts, in one batch or over many; the result does
+not depend on how files fall into batches. A payload that is empty, an error or unreadable is entered in the ledger and tried again
+with whatever lands next. Usable bars are stored as observed; ``daily_build`` fills and screens whole days.
 """
 
 from __future__ import annotations
@@ -9,50 +13,74 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from minutebook.operators.payload_parse import parse_payloads
-from minutebook.schema import KEY, PAYLOAD_SCHEMA
+from minutebook.operators.payload_parse import parse_payloads, to_bars
+from minutebook.schema import BAR_SCHEMA, KEY, PAYLOAD_SCHEMA
+from minutebook.session import work_folder
 from minutebook.sources.files import path_exists
 
-LEDGER_SCHEMA = "symbol string, batch long, kind string, parse_status string, reject_reason string, records int, date string"
+LEDGER_SCHEMA = "symbol string, kind string, parse_status string, reject_reason string, records int, date string, batch long"
 
 
 def read_ledger(spark: SparkSession, root: str) -> DataFrame:
-    """Symbol-days taken in so far, with the outcome of their payload."""
+    """Payloads taken in so far, with their outcome: per symbol-day one that is usable, and those rejected before it."""
     if not path_exists(spark, root):
         return spark.createDataFrame([], LEDGER_SCHEMA)
     ledger = spark.read.schema(LEDGER_SCHEMA).parquet(root)
     return ledger.select("symbol", "date", "batch", "kind", "parse_status", "reject_reason", "records")
 
 
-def latest_per_key(payloads: DataFrame) -> DataFrame:
-    """One payload per symbol-day, the last landed; the limit also acts before the shuffle."""
-    newest = Window.partitionBy(*KEY).orderBy(F.desc("landed"), F.desc("source"), F.xxhash64("payload"))
-    return payloads.withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1").drop("_rank")
+def read_ingested(spark: SparkSession, root: str) -> DataFrame:
+    """Bars stored so far."""
+    if not path_exists(spark, root):
+        return spark.createDataFrame([], BAR_SCHEMA)
+    stored = spark.read.schema(f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in BAR_SCHEMA.fields)}, batch long").parquet(root)
+    return stored.select(*BAR_SCHEMA.names)
 
 
-def _take(batch: DataFrame, batch_id: int, ledger_root: str) -> None:
-    spark = batch.sparkSession
-    # a batch that is run again after a failure replaces its own rows
-    done = read_ledger(spark, ledger_root).filter(F.col("batch") != batch_id)
-    fresh = latest_per_key(batch.join(done.select(*KEY), KEY, "left_anti"))
-    parsed = parse_payloads(fresh).select(
-        "symbol", F.lit(batch_id).cast("long").alias("batch"), "kind", "parse_status", "reject_reason",
-        F.coalesce(F.size("records"), F.lit(0)).alias("records"), "date",
-    )
+def first_usable(parsed: DataFrame) -> DataFrame:
+    """One payload per symbol-day: the first landed that is usable, else the first; the limit also acts before the shuffle."""
+    order = Window.partitionBy(*KEY).orderBy(F.col("reject_reason").isNotNull(), "landed", "source", "digest")
+    return parsed.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1").drop("_rank")
+
+
+def _write(rows: DataFrame, root: str) -> None:
+    """Replace the rows of a batch: one that is run again after a failure leaves the same table."""
     (
-        parsed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch").parquet(ledger_root)
+        rows.hint("rebalance", "date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("date", "batch").parquet(root)
+    )
+
+
+def _take(batch: DataFrame, batch_id: int, ledger_root: str, bars_root: str | None) -> None:
+    spark = batch.sparkSession
+    dates = [r["date"] for r in batch.select("date").distinct().collect()]  # one text per day
+    done = read_ledger(spark, ledger_root).filter(
+        F.col("date").isin(dates) & (F.col("batch") != batch_id) & F.col("reject_reason").isNull()
     )
+    fresh = batch.join(done.select(*KEY), KEY, "left_anti").withColumn("digest", F.xxhash64("payload"))
+    stage = work_folder(spark, "parsed")
+    first_usable(parse_payloads(fresh).drop("payload")).write.parquet(stage)
+    parsed = spark.read.parquet(stage)
+    number = F.lit(batch_id).cast("long").alias("batch")
+    if bars_root:
+        _write(to_bars(parsed.filter(F.col("reject_reason").isNull())).select(*BAR_SCHEMA.names, number), bars_root)
+    # last, so that a symbol-day counts as done only when its bars are stored
+    _write(parsed.select(
+        "symbol", "kind", "parse_status", "reject_reason", F.coalesce(F.size("records"), F.lit(0)).alias("records"), "date", number,
+    ), ledger_root)
 
 
-def ingest_landing(spark: SparkSession, landing: str, ledger_root: str, checkpoint: str, files_per_batch: int = 1000) -> None:
-    """Take in everything new below ``landing``, then return."""
+def ingest_landing(
+    spark: SparkSession, landing: str, ledger_root: str, checkpoint: str, files_per_batch: int = 1000,
+    bars_root: str | None = None,
+) -> None:
+    """Take in everything new below ``landing``, then return; with ``bars_root`` the bars are stored there."""
     stream = (
         spark.readStream.schema(PAYLOAD_SCHEMA).option("maxFilesPerTrigger", str(files_per_batch)).json(landing)
         .select("*", F.col("_metadata.file_modification_time").alias("landed"), F.col("_metadata.file_path").alias("source"))
     )
     query = (
-        stream.writeStream.foreachBatch(lambda batch, batch_id: _take(batch, batch_id, ledger_root))
+        stream.writeStream.foreachBatch(lambda batch, batch_id: _take(batch, batch_id, ledger_root, bars_root))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -1,4 +1,5 @@
 import datetime as dt
+import time
 
 import pandas as pd
 import pytest
@@ -12,7 +13,7 @@ from minutebook.plans.daily_build import daily_build
 from minutebook.plans.maintain import organize_apply, organize_counts, purge_lake, scan_tree
 from minutebook.schema import INDEX_SCHEMA
 from minutebook.sources import files, fragments, lake, landing, versions
-from minutebook.streaming.ingest import ingest_landing, read_ledger
+from minutebook.streaming.ingest import ingest_landing, read_ingested, read_ledger
 
 
 def day_frame(symbol, day, n=3, volume=float, stamp="us", **extra):
@@ -192,3 +193,20 @@ def test_ingest_takes_each_symbol_day_once(spark, tmp_path):
     got = {(r.symbol, r.date): (r.kind, r.records) for r in read_ledger(spark, ledger).collect()}
     assert read_ledger(spark, ledger).count() == 3
     assert got == {("A", "20240102"): ("json_array", 1), ("B", "20240102"): ("json_array", 1), ("C", "20240102"): ("other", 0)}
+
+
+@pytest.mark.parametrize("files_per_batch", [1, 1000])
+def test_ingest_stores_the_same_bars_however_files_fall(spark, tmp_path, files_per_batch):
+    landed, ledger, mark, stored = (str(tmp_path / n) for n in ("landing", "ledger", "mark", "bars"))
+    frame = lambda *r: spark.createDataFrame(list(r), "symbol string, date string, payload string").coalesce(1)
+    for rows in (
+        [("A", "20240102", "oops"), payload("B", "2024-01-02", 3.0)],
+        [payload("A", "2024-01-02", 1.0), payload("B", "2024-01-02", 4.0)],
+        [payload("A", "2024-01-02", 2.0), ("B", "20240102", "[]"), ("C", "20240102", "[]")],
+    ):
+        landing.land_payloads(frame(*rows), landed)
+        time.sleep(1.1)  # landing times of files tell which came first
+    ingest_landing(spark, landed, ledger, mark, files_per_batch, stored)
+    assert sorted((r.symbol, r.open) for r in read_ingested(spark, stored).collect()) == [("A", 1.0), ("B", 3.0)]
+    usable = read_ledger(spark, ledger).filter("reject_reason is null")
+    assert sorted((r.symbol, r.records) for r in usable.collect()) == [("A", 1), ("B", 1)]

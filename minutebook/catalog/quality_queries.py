@@ -14,6 +14,7 @@ from minutebook.plans import maintain
 from minutebook.schema import KEY, REJECT_SCHEMA
 from minutebook.session import work_folder
 from minutebook.sources import landing, versions
+from minutebook.sources.lake import scan_lake
 
 FACTS = (q.DIRTY_BARS, q.FACTS)
 REGISTRY_DATE = "20240110"
@@ -166,6 +167,58 @@ def purge_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maintain.read_purged(spark, root).select(*KEY, "timestamp", "close", "volume")
 
 
+@query(
+    "purge_lake",
+    q.with_(*FACTS, PLAN) + """
+SELECT b.symbol, b.date, b.timestamp, b.close, b.volume FROM bars b
+WHERE NOT EXISTS (SELECT 1 FROM plan p WHERE p.symbol = b.symbol AND p.date = b.date)""",
+)
+def purge_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a lake holds after a purge that rewrites only the days concerned."""
+    root = t.stored_lake(spark, t.dirty_bars(spark, sf_dir))
+    maintain.purge_lake(spark, root, quality.purge_plan(quality.quality_facts(scan_lake(spark, root))))
+    return scan_lake(spark, root).select(*KEY, "timestamp", "close", "volume")
+
+
+# Junk, empty and column-less files of the fragment tree, by day of the month.
+TREE_DAYS = f"""
+day_files AS (SELECT DISTINCT symbol, date, {q.DAY} % 7 AS k, {q.FILE_OF} AS file, regexp_full_match(symbol, '[A-Z]+[UWRZ]') AS is_special FROM bars)"""
+
+
+def _tree_facts(kept: str) -> str:
+    return q.FACTS.replace("FROM bars)", f"FROM bars WHERE {q.DAY} % 7 IN ({kept}))")
+
+
+@query(
+    "scan_tree",
+    q.with_(q.EVENT_BARS, TREE_DAYS, _tree_facts("4, 5, 6"), q.ISSUES) + """
+SELECT file, symbol, date, issue_type, details, is_special, routed_special FROM issues
+UNION ALL SELECT file, symbol, date, 'read_errors', NULL, false, false FROM day_files WHERE k = 0
+UNION ALL SELECT file, symbol, date, 'all_nulls', 'File is empty (0 rows)', is_special, false FROM day_files WHERE k = 1
+UNION ALL SELECT file, symbol, date, 'other_issues', 'Missing columns: volume', is_special, false FROM day_files WHERE k = 2
+UNION ALL SELECT file, symbol, date, 'other_issues', 'Missing columns: high, low', is_special, false FROM day_files WHERE k = 3""",
+)
+def scan_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All issues of a fragment tree with unreadable, empty and column-less files; the reader's own words are left out."""
+    found = maintain.scan_tree(spark, t.fragment_tree(spark, sf_dir, narrow=True))
+    words = F.when(F.col("issue_type") != "read_errors", F.col("details"))
+    return found.select("file", *KEY, "issue_type", words.alias("details"), "is_special", "routed_special")
+
+
+@query(
+    "purge_tree",
+    q.with_(q.EVENT_BARS, TREE_DAYS, _tree_facts("2, 4, 5, 6").replace("vz = n OR vc = 0 AS zero_volume", f"{q.DAY} % 7 <> 2 AND (vz = n OR vc = 0) AS zero_volume"))
+    + f"""
+SELECT {q.FILE_OF} AS file, symbol, date, {q.PURGE_REASON} AS reason, is_special, true AS has_size FROM facts WHERE {q.PURGE_REASON} IS NOT NULL
+UNION ALL SELECT file, symbol, date, 'Empty file (0 rows)', is_special, true FROM day_files WHERE k = 1
+UNION ALL SELECT file, symbol, date, 'Missing columns: high, low', is_special, true FROM day_files WHERE k = 3""",
+)
+def purge_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fragments that a purge would remove from a tree with empty and column-less files."""
+    plan = maintain.purge_tree_plan(spark, t.fragment_tree(spark, sf_dir, narrow=True))
+    return plan.select("file", *KEY, "reason", "is_special", (F.col("size_bytes") > 0).alias("has_size"))
+
+
 # --- reject registry --------------------------------------------------------------
 
 @query("reject_registry", REJECTS + "SELECT * FROM rejects")

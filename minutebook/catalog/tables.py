@@ -189,11 +189,12 @@ def stored_lake(spark: SparkSession, made: DataFrame) -> str:
     return root
 
 
-def write_named_fragments(made: DataFrame, root: str) -> None:
+def write_named_fragments(made: DataFrame, root: str, narrow: bool = False) -> None:
     """Write each symbol-day as YYYY/MM/SYMBOL_YYYYMMDD.parquet, as an older collector would.
 
     Every seventh day is junk and the day after it an empty file; even days keep ``volume``
-    as integers and odd days have no ``count``.
+    as integers and odd days have no ``count``. ``narrow`` drops ``volume`` two days after the junk, ``high`` and
+    ``low`` three days after it.
     """
     def write(day):
         import pyarrow as pa
@@ -211,6 +212,8 @@ def write_named_fragments(made: DataFrame, root: str) -> None:
             frame = frame.drop(columns=["count"])
         if number % 7 == 1:
             frame = frame.iloc[:0]
+        if narrow:
+            frame = frame.drop(columns={2: ["volume"], 3: ["high", "low"]}.get(number % 7, []))
         with system.open_output_stream(path) as out:
             if number % 7 == 0:
                 out.write(b"not a parquet file")
@@ -222,7 +225,7 @@ def write_named_fragments(made: DataFrame, root: str) -> None:
     named.groupBy("symbol", "date").applyInPandas(write, "name string").write.format("noop").mode("overwrite").save()
 
 
-def fragment_tree(spark: SparkSession, sf_dir: str) -> str:
+def fragment_tree(spark: SparkSession, sf_dir: str, narrow: bool = False) -> str:
     root = work_folder(spark, "fragments")
-    write_named_fragments(bars(spark, sf_dir), root)
+    write_named_fragments(bars(spark, sf_dir), root, narrow)
     return root

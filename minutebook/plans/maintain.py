@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from minutebook.functions.symbols import fragment_name, is_special
 from minutebook.functions.times import text_to_date
 from minutebook.functions.trading_days import is_trading_day
-from minutebook.operators.quality import purge_apply, quality_facts, quality_scan
-from minutebook.schema import BAR_SCHEMA, KEY, LAKE_SCHEMA
+from minutebook.operators.quality import purge_apply, purge_plan, quality_facts, quality_scan
+from minutebook.schema import BAR_SCHEMA, KEY, LAKE_SCHEMA, OHLC
 from minutebook.sources.files import file_inventory, remove_folder, with_names
 from minutebook.sources.fragments import bars_by_file, empty_files, fragment_files, read_errors, scan_fragments
 from minutebook.session import work_folder
@@ -102,20 +102,66 @@ def organize_apply(spark: SparkSession, source_root: str, lake_root: str, **cale
 
 # --- scans of file trees ----------------------------------------------------------
 
+def _lacking(files: DataFrame, required: list[str]) -> DataFrame:
+    """Readable files with rows that lack columns, and which."""
+    present = F.transform(F.split("columns", ","), lambda c: F.lower(F.substring_index(c, ":", 1)))
+    lacks = F.array_except(F.array(*map(F.lit, required)), present)
+    return files.filter("rows > 0").select("symbol", "date", "length", lacks.alias("lacks")).filter(F.size("lacks") > 0)
+
+
+def _missing_text() -> Column:
+    return F.concat(F.lit("Missing columns: "), F.array_join("lacks", ", "))
+
+
 def scan_tree(
     spark: SparkSession, root: str, min_bars: int = 961, split_specials: bool = True,
     start: str | None = None, end: str | None = None,
 ) -> DataFrame:
-    """All quality issues of a fragment tree, unreadable and empty files included."""
+    """All quality issues of a fragment tree, unreadable, empty and column-less files included.
+
+    Of a file without a required column only that is reported, as its bars cannot be judged.
+    """
     files = fragment_files(spark, root, start, end)
-    issues = quality_scan(quality_facts(scan_fragments(spark, root, files)), min_bars, split_specials)
-    blank = empty_files(files).select(
-        fragment_name(F.col("symbol"), F.col("date")).alias("file"), "symbol", "date",
-        F.lit("all_nulls").alias("issue_type"), F.lit("File is empty (0 rows)").alias("details"),
-        is_special(F.col("symbol")).alias("is_special"), F.lit(False).alias("routed_special"),
-    )
+    lacking = _lacking(files, [*OHLC, "volume"])
+    facts = quality_facts(scan_fragments(spark, root, files)).join(lacking.select(*KEY), KEY, "left_anti")
+    issues = quality_scan(facts, min_bars, split_specials)
+
+    def of_file(rows: DataFrame, kind: str, details: Column) -> DataFrame:
+        return rows.select(
+            fragment_name(F.col("symbol"), F.col("date")).alias("file"), "symbol", "date",
+            F.lit(kind).alias("issue_type"), details.alias("details"),
+            is_special(F.col("symbol")).alias("is_special"), F.lit(False).alias("routed_special"),
+        )
+
+    blank = of_file(empty_files(files), "all_nulls", F.lit("File is empty (0 rows)"))
+    narrow = of_file(lacking, "other_issues", _missing_text())
     broken = read_errors(files).withColumn("file", fragment_name(F.col("symbol"), F.col("date")))
-    return issues.unionByName(blank).unionByName(broken)
+    return issues.unionByName(blank).unionByName(narrow).unionByName(broken)
+
+
+def purge_tree_plan(spark: SparkSession, root: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Fragments of a tree that hold nothing usable, with reason and stored bytes.
+
+    Empty files and files without a price column count; a missing ``volume`` alone does not, and says nothing about
+    volumes. Unreadable files are left for a repair.
+    """
+    files = fragment_files(spark, root, start, end)
+    narrow = _lacking(files, OHLC)
+    silent = _lacking(files, ["volume"]).select(*KEY, F.lit(True).alias("silent"))
+    facts = quality_facts(scan_fragments(spark, root, files)).join(narrow.select(*KEY), KEY, "left_anti")
+    facts = facts.join(silent, KEY, "left").withColumn("zero_volume", F.col("zero_volume") & F.col("silent").isNull()).drop("silent")
+    sizes = files.select(*KEY, F.col("length").alias("size_bytes"))
+
+    def of_file(rows: DataFrame, reason: Column) -> DataFrame:
+        return rows.select(
+            fragment_name(F.col("symbol"), F.col("date")).alias("file"), *KEY, reason.alias("reason"),
+            F.col("length").alias("size_bytes"), is_special(F.col("symbol")).alias("is_special"),
+        )
+
+    return (
+        purge_plan(facts, sizes).unionByName(of_file(empty_files(files), F.lit("Empty file (0 rows)")))
+        .unionByName(of_file(narrow, _missing_text()))
+    )
 
 
 # --- purge ------------------------------------------------------------------------

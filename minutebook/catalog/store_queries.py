@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from minutebook.catalog import sql as q
@@ -158,6 +158,13 @@ def consolidate_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sparse(lake.scan_lake(spark, root))
 
 
+def _sizes_hold(prefix: str, stored: Column) -> Column:
+    """Both sizes are there where something was stored, and the ratio times the output is the input; else the ratio is 1."""
+    size_in, size_out = F.col(f"{prefix}input_mb"), F.col(f"{prefix}output_mb")
+    ratio_holds = F.abs(F.col("compression_ratio") * size_out - size_in) < 1e-9
+    return F.when(stored, (size_in > 0) & (size_out > 0) & ratio_holds).otherwise((size_out == 0) & (F.col("compression_ratio") == 1))
+
+
 @query(
     "run_summary",
     BARS + f"""
@@ -165,12 +172,12 @@ SELECT date, CAST(count(DISTINCT symbol) FILTER (WHERE {READABLE}) AS BIGINT) AS
        CAST(count(DISTINCT symbol) FILTER (WHERE {q.DAY} % 7 = 0) AS BIGINT) AS files_failed,
        count(*) FILTER (WHERE {READABLE}) AS input_rows,
        count(DISTINCT symbol) FILTER (WHERE {READABLE}) AS symbols_found,
-       count(*) FILTER (WHERE {READABLE}) AS total_rows, {READABLE} AS success FROM bars GROUP BY date""",
+       count(*) FILTER (WHERE {READABLE}) AS total_rows, {READABLE} AS success, true AS sizes_hold FROM bars GROUP BY date""",
 )
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per-day result of a consolidation run."""
+    """Per-day result of a consolidation run. Sizes depend on the writer; that they agree with the ratio is checked."""
     per_date = consolidate.consolidate_all(spark, t.fragment_tree(spark, sf_dir), work_folder(spark, "lake"))
-    return per_date.drop("input_mb", "output_mb", "compression_ratio")
+    return per_date.withColumn("sizes_hold", _sizes_hold("", F.col("success"))).drop("input_mb", "output_mb", "compression_ratio")
 
 
 @query(
@@ -182,12 +189,14 @@ SELECT count(*) AS dates_processed, count(*) FILTER (WHERE ok) AS dates_successf
        CAST(sum(symbols) FILTER (WHERE ok) AS BIGINT) AS total_symbols, CAST(sum(symbols) FILTER (WHERE ok) AS BIGINT) AS total_files_read,
        CAST(coalesce(sum(symbols) FILTER (WHERE junk), 0) AS BIGINT) AS total_files_failed,
        CAST(sum(n) FILTER (WHERE ok) AS BIGINT) AS total_rows,
-       round(CAST(sum(symbols) FILTER (WHERE ok) AS DOUBLE) / count(*) FILTER (WHERE ok), 4) AS avg_symbols_per_day FROM per_date""",
+       round(CAST(sum(symbols) FILTER (WHERE ok) AS DOUBLE) / count(*) FILTER (WHERE ok), 4) AS avg_symbols_per_day,
+       true AS sizes_hold FROM per_date""",
 )
 def run_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals of a consolidation run."""
     per_date = consolidate.consolidate_all(spark, t.fragment_tree(spark, sf_dir), work_folder(spark, "lake"))
-    return consolidate.overall_stats(per_date).drop("total_input_mb", "total_output_mb", "compression_ratio").withColumn(
+    totals = consolidate.overall_stats(per_date).withColumn("sizes_hold", _sizes_hold("total_", F.lit(True)))
+    return totals.drop("total_input_mb", "total_output_mb", "compression_ratio").withColumn(
         "avg_symbols_per_day", F.round("avg_symbols_per_day", 4)
     )
 

@@ -129,15 +129,18 @@ def missing_count() -> Column:
     return F.lit(SESSION_BARS) - reduce(lambda a, b: a + b, [F.bit_count(h) for h in HOURS])
 
 
-def missing_minutes(marks: DataFrame) -> DataFrame:
+MARKS_A_TASK = 2_000  # up to 961 rows each
+
+
+def missing_minutes(marks: DataFrame, n_marks: int = 0) -> DataFrame:
     """One row per missing grid minute of every symbol-day, with its reference price.
 
     Hours, then minutes are unrolled, and present minutes dropped by a bit test: plain
     generators and a filter, which stay in generated code. A mark is small but yields up to
-    961 rows, so marks are first spread over all shuffle partitions; left alone, adaptive
-    execution would pack them into a few tasks by their own size.
+    961 rows, so marks are first spread over all shuffle partitions, or more where their number is given and asks
+    for it; left alone, adaptive execution would pack them into a few tasks by their own size.
     """
-    spread = int(marks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = max(int(marks.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_marks // MARKS_A_TASK)
     minute = F.col("_hour") * 60 + F.col("_minute")
     midnight = F.unix_micros(F.to_date("date", "yyyyMMdd").cast("timestamp"))
     hours = marks.repartition(spread, *KEY).select(
@@ -177,10 +180,10 @@ def _observed(bars: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def fill_with(bars: DataFrame, marks: DataFrame, fill: str = "day_ref") -> DataFrame:
-    """Observed grid bars plus filler rows for the symbol-days in ``marks``."""
+def fill_with(bars: DataFrame, marks: DataFrame, fill: str = "day_ref", n_marks: int = 0) -> DataFrame:
+    """Observed grid bars plus filler rows for the symbol-days in ``marks``, of which there are ``n_marks`` if that is known."""
     columns = _columns(bars)
-    gaps = missing_minutes(marks)
+    gaps = missing_minutes(marks, n_marks)
     if fill == "ffill":
         gaps = _carry_forward(bars, gaps)
     elif fill != "day_ref":

@@ -72,13 +72,14 @@ def build_days(
     marks = settled_marks(marks_with_facts(bars).unionByName(before, allowMissingColumns=True), previous, **calendar)
     # one row per symbol-day, kept as a table: it feeds the filler rows, the gate and the rejects
     marks = marks.filter(F.col("_stored").isNull()).drop("_stored")
+    n_marks = marks.count()  # cheap, as they are stored
     if fill != "day_ref":
-        filled = fill_with(bars, marks, fill)
+        filled = fill_with(bars, marks, fill, n_marks)
         facts = quality_facts(filled)
         return quality_gate(filled, facts), quality_rejects(facts)
     rejects = marks.filter("reason is not null").select("date", "symbol", "reason")
     kept = bars.join(rejects.select(*KEY), KEY, "left_anti")
-    return fill_with(kept, marks.filter("reason is null")), rejects
+    return fill_with(kept, marks.filter("reason is null"), n_marks=n_marks), rejects
 
 
 def daily_build(

@@ -85,7 +85,7 @@ SELECT (SELECT count(*) FROM facts) AS groups,
 def scan_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Symbol-days scanned, clean and with issues."""
     found = facts(spark, sf_dir)
-    return quality.scan_totals(found, quality.quality_scan(found))
+    return quality.scan_totals(found)
 
 
 @query(

@@ -136,6 +136,24 @@ def _issue(cond: Column, kind: str, details: Column) -> Column:
     return F.when(cond, F.struct(F.lit(kind).alias("issue_type"), details.alias("details")))
 
 
+def _found(min_bars: int, missing: list[str] | None) -> Column:
+    """All issues of a symbol-day as an array."""
+    # The texts of the report.
+    if missing:
+        return F.array(_issue(F.lit(True), "other_issues", F.lit("Missing columns: " + ", ".join(missing))))
+    n, usable, some_rows = F.col("n").cast("string"), ~F.col("all_zeros"), F.col("n") > 0
+    constant = F.format_string(" bars, constant at $%.2f", F.col("first_close"))
+    return F.array_compact(F.array(
+        _issue(~some_rows, "all_nulls", F.lit("File is empty (0 rows)")),
+        _issue(some_rows & ~usable, "all_zeros", F.concat(n, F.lit(" bars, all zero"))),
+        _issue(some_rows & F.col("zero_volume"), "zero_volume", F.concat(n, F.lit(" bars, zero volume"))),
+        _issue(some_rows & usable & F.col("flat"), "constant_price", F.concat(n, constant)),
+        _issue(some_rows & usable & (F.col("n") < min_bars), "insufficient_bars", F.concat(n, F.lit(f"/{min_bars} bars"))),
+        _issue(some_rows & usable & F.col("negative"), "other_issues", F.lit("Negative prices detected")),
+        _issue(some_rows & usable & F.col("violation"), "other_issues", F.lit("OHLC violations (high<low, etc.)")),
+    ))
+
+
 def quality_scan(
     facts: DataFrame, min_bars: int = MIN_BARS, split_specials: bool = True,
     missing: list[str] | None = None,
@@ -144,36 +162,10 @@ def quality_scan(
 
     ``routed_special`` marks the issues expected of warrants, units and rights.
     """
-    n = F.col("n").cast("string")
-    usable = ~F.col("all_zeros")
-    if missing:
-        issues = [_issue(F.lit(True), "other_issues", F.lit("Missing columns: " + ", ".join(missing)))]
-    else:
-        constant = F.format_string(" bars, constant at $%.2f", F.col("first_close"))
-        some_rows = F.col("n") > 0
-        issues = [
-            _issue(~some_rows, "all_nulls", F.lit("File is empty (0 rows)")),
-            _issue(some_rows & ~usable, "all_zeros", F.concat(n, F.lit(" bars, all zero"))),
-            _issue(some_rows & F.col("zero_volume"), "zero_volume", F.concat(n, F.lit(" bars, zero volume"))),
-            _issue(some_rows & usable & F.col("flat"), "constant_price", F.concat(n, constant)),
-            _issue(
-                some_rows & usable & (F.col("n") < min_bars),
-                "insufficient_bars",
-                F.concat(n, F.lit(f"/{min_bars} bars")),
-            ),
-            _issue(some_rows & usable & F.col("negative"), "other_issues", F.lit("Negative prices detected")),
-            _issue(
-                some_rows & usable & F.col("violation"),
-                "other_issues",
-                F.lit("OHLC violations (high<low, etc.)"),
-            ),
-        ]
     special = is_special(F.col("symbol"))
     routed = special & F.col("i.issue_type").isin(SPECIAL_ISSUES) if split_specials else F.lit(False)
     file = F.col("file") if "file" in facts.columns else fragment_name(F.col("symbol"), F.col("date"))
-    return facts.select(
-        "symbol", "date", file.alias("file"), F.explode(F.array_compact(F.array(*issues))).alias("i")
-    ).select(
+    return facts.select("symbol", "date", file.alias("file"), F.explode(_found(min_bars, missing)).alias("i")).select(
         "file", "symbol", "date", "i.issue_type", "i.details",
         special.alias("is_special"), routed.alias("routed_special"),
     )
@@ -202,14 +194,12 @@ def issue_counts(issues: DataFrame) -> DataFrame:
     )
 
 
-def scan_totals(facts: DataFrame, issues: DataFrame) -> DataFrame:
-    """One row: symbol-days scanned, clean, with issues, and issue rows (the two differ)."""
-    per_group = issues.groupBy(*KEY).agg(F.count("*").alias("rows"))
-    return facts.select(*KEY).join(per_group, KEY, "left").agg(
-        F.count("*").alias("groups"),
-        F.count_if(F.col("rows").isNull()).alias("valid_groups"),
-        F.count("rows").alias("groups_with_issues"),
-        F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias("issue_rows"),
+def scan_totals(facts: DataFrame, min_bars: int = MIN_BARS) -> DataFrame:
+    """One row: symbol-days scanned, clean, with issues, and issue rows (the two differ). The facts are read once."""
+    n = F.col("issues")
+    return facts.select(F.size(_found(min_bars, None)).alias("issues")).agg(
+        F.count("*").alias("groups"), F.count_if(n == 0).alias("valid_groups"), F.count_if(n > 0).alias("groups_with_issues"),
+        F.coalesce(F.sum("issues"), F.lit(0)).cast("long").alias("issue_rows"),
     )
 
 

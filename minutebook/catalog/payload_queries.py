@@ -112,16 +112,12 @@ def parse_json_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse.parse_bars(payloads_of(spark, sf_dir, text))
 
 
-@query(
-    "parse_json_wrapped",
-    BAR_SQL + q.parsed_bar(
-        f"(SELECT *, row_number() OVER (PARTITION BY symbol, date ORDER BY timestamp) AS pos FROM bars) WHERE {q.DAY} % 2 = 0 OR pos = 1"
-    ),
-)
+@query("parse_json_wrapped", BAR_SQL + q.parsed_bar())
 def parse_json_wrapped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bars of wrapped payloads (even days) and single-object payloads (odd days)."""
-    text = F.when(F.col("day") % 2 == 0, t.wrapped_text()).otherwise(F.get("records", F.lit(0)))
-    return parse.parse_bars(payloads_of(spark, sf_dir, text))
+    """Bars of wrapped payloads (even days) and of single-object payloads, one for each record (odd days)."""
+    days, even = t.day_texts(spark, sf_dir), F.col("day") % 2 == 0
+    wrapped = days.filter(even).select(*KEY, t.wrapped_text().alias("payload"))
+    return parse.parse_bars(wrapped.unionByName(days.filter(~even).select(*KEY, F.explode("records").alias("payload"))))
 
 
 REPAIRED = q.EVENT_BARS.replace("bars AS (", "all_bars AS (") .rstrip() + f""",

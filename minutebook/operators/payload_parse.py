@@ -155,6 +155,7 @@ def repair_json(payload: Column) -> Column:
         .when(~text.endswith("]") & text.contains("}"), cut)
         .otherwise(text)
     )
+    # The four patterns say which damage is mended, in this order.
     fixed = F.regexp_replace(closed, r"\}(\s+)\{", r"},$1{")
     fixed = F.regexp_replace(fixed, r",\s*,", ",")
     fixed = F.regexp_replace(fixed, r",(\s*\])", "$1")

@@ -97,6 +97,7 @@ def quality_facts(bars: DataFrame, keys: list[str] = KEY) -> DataFrame:
 
 def purge_reason() -> Column:
     """Why a symbol-day holds nothing usable, NULL if it does."""
+    # The texts of the reasons.
     bars = F.concat(F.lit(" ("), F.col("n").cast("string"), F.lit(" bars)"))
     flat_zero = F.col("flat") & F.coalesce(F.col("first_close") == 0, F.lit(False))
     flat_idle = F.col("flat") & F.col("zero_volume")

@@ -47,6 +47,7 @@ def input_stats(files: DataFrame) -> DataFrame:
 
 def date_stats(inputs: DataFrame, summary: DataFrame, sizes: DataFrame) -> DataFrame:
     """Per-day consolidation result."""
+    # The names of the result's fields.
     out_mb = F.coalesce(F.col("bytes") / F.lit(1024.0 * 1024.0), F.lit(0.0))
     joined = inputs.join(summary, "date", "left").join(sizes.select("date", "bytes"), "date", "left")
     return joined.select(

@@ -183,35 +183,41 @@ def _observed(bars: DataFrame, columns: list[str]) -> DataFrame:
 def fill_with(bars: DataFrame, marks: DataFrame, fill: str = "day_ref", n_marks: int = 0) -> DataFrame:
     """Observed grid bars plus filler rows for the symbol-days in ``marks``, of which there are ``n_marks`` if that is known."""
     columns = _columns(bars)
-    gaps = missing_minutes(marks, n_marks)
-    if fill == "ffill":
-        gaps = _carry_forward(bars, gaps)
-    elif fill != "day_ref":
+    if fill not in ("day_ref", "ffill"):
         raise ValueError(f"unknown fill {fill!r}")
+    gaps = _carried_gaps(bars, marks, n_marks) if fill == "ffill" else missing_minutes(marks, n_marks)
     return _observed(bars, columns).unionByName(_filler_rows(gaps, "ref_price", columns))
 
 
-def _carry_forward(bars: DataFrame, gaps: DataFrame) -> DataFrame:
-    """Replace the reference price of a gap by the last close seen earlier that day.
+def _slot_times(slot: Column) -> dict[str, Column]:
+    """Timestamp and ms_of_day of a grid minute of ``date``."""
+    of_day = (slot + SESSION_START_MINUTE).cast("long")
+    midnight = F.unix_micros(F.to_date("date", "yyyyMMdd").cast("timestamp"))
+    return {"timestamp": F.timestamp_micros(midnight + of_day * MINUTE_MICROS).cast("timestamp_ntz"), "ms_of_day": of_day * 60_000}
+
+
+def _carried_gaps(bars: DataFrame, marks: DataFrame, n_marks: int) -> DataFrame:
+    """One row per missing grid minute with the last close seen earlier that day, else the reference price.
 
-    Copies of a minute are folded first, so a window group holds at most 961 rows.
+    Only observed minutes are shuffled: copies are folded first, so a window group holds at most 961 rows, and each row yields the
+    gap that follows it (the first of a day also the one before it). Days without a bar on the grid come from their marks.
     """
-    ts, close = F.col("timestamp"), F.col("close")
-    seen = (
-        on_grid(bars).filter(close.isNotNull())
-        .groupBy(*KEY, "timestamp").agg(F.max_by(close, time_rank(ts, close)).alias("seen"))
-        .withColumns(
-            {"ms_of_day": F.lit(None).cast("long"), "ref_price": F.lit(None).cast("double"), "gap": F.lit(False)}
-        )
+    ts, close, slot = F.col("timestamp"), F.col("close"), F.col("slot")
+    minutes = on_grid(bars).withColumn("slot", grid_slot(ts)).groupBy(*KEY, "slot").agg(
+        F.max_by(close, F.when(close.isNotNull(), time_rank(ts, close))).alias("seen")
     )
-    holes = gaps.withColumns({"seen": F.lit(None).cast("double"), "gap": F.lit(True)})
-    day = Window.partitionBy(*KEY).orderBy("timestamp")
-    return (
-        seen.unionByName(holes)
-        .withColumn("carried", F.last("seen", ignorenulls=True).over(day))
-        .filter("gap")
-        .select(*KEY, "timestamp", "ms_of_day", F.coalesce("carried", "ref_price").alias("ref_price"))
+    day = Window.partitionBy(*KEY).orderBy("slot")
+    rows = minutes.withColumns({
+        "carried": F.last("seen", ignorenulls=True).over(day),
+        "following": F.lead("slot", 1, LAST_SLOT + 1).over(day), "first": F.lag("slot").over(day).isNull(),
+    }).join(marks.select(*KEY, "ref_price"), KEY)
+    after = rows.filter(F.col("following") > slot + 1).select(
+        *KEY, F.coalesce("carried", "ref_price").alias("ref_price"), F.explode(F.sequence(slot + 1, F.col("following") - 1)).alias("slot")
     )
+    before = rows.filter(F.col("first") & (slot > 0)).select(*KEY, "ref_price", F.explode(F.sequence(F.lit(0), slot - 1)).alias("slot"))
+    gaps = after.unionByName(before).select(*KEY, *[c.alias(n) for n, c in _slot_times(slot).items()], "ref_price")
+    off_grid = marks.filter(reduce(lambda x, y: x & y, [F.col(h) == 0 for h in HOURS]))
+    return gaps.unionByName(missing_minutes(off_grid, n_marks))
 
 
 def gap_fill(

@@ -3,8 +3,8 @@
 Vectors are cut into blocks. Inside a block every dimension has a list of the vectors sorted by that component. A query walks
 all lists from its favourable end (the top where its own component is positive, the bottom where it is negative), scores each vector that
 turns up, and stops when no unseen vector can reach the kth score: at depth t an unseen vector scores at most the sum of the
-query's components times the lists' values at t. Depth doubles from step to step, so a query costs a few array operations. Queries
-meet the blocks in groups of bounded size; the best k of each block are merged by a ranked window. Components are whole
+query's components times the lists' values at t. Depth doubles from step to step, so a query costs a few array operations; where the
+next stretch of the lists would cost more than scoring what is left, that is scored instead. Queries meet the blocks in groups of bounded size; the best k of each block are merged by a ranked window. Components are whole
 numbers, so scores are exact.
 
 Defined results: vectors that are NULL, empty, of another length than asked for, or hold NULL or non-finite components take no part; equal vectors are each
@@ -26,6 +26,7 @@ from minutebook.llm.common import staged
 BLOCK_ROWS = 8_192
 QUERY_ROWS = 2_048
 FIRST_DEPTH = 16
+LISTED_COST = 16  # of looking a vector up in a list, in components of a product
 RESULT = "query_id long, vec_id long, score long"
 
 
@@ -52,9 +53,9 @@ class ThresholdIndex:
         fresh = np.ones(n, bool)
         fresh[np.searchsorted(self.ids, query_id):np.searchsorted(self.ids, query_id, side="right")] = False
         best, scores = np.empty(0, np.int64), np.empty(0, query.dtype)
-        depth, walked = FIRST_DEPTH, 0
+        depth, walked, left = FIRST_DEPTH, 0, int(fresh.sum())
         while True:
-            if depth >= n or not len(dims):
+            if depth >= n or not len(dims) or (depth - walked) * LISTED_COST >= left:
                 found, bound = np.flatnonzero(fresh), None
             else:
                 span = np.arange(walked, depth)
@@ -66,8 +67,11 @@ class ThresholdIndex:
                 seen[listed.ravel()] = True
                 found = np.flatnonzero(seen & fresh)
             fresh[found] = False
+            left -= len(found)
             best = np.concatenate([best, found])
-            scores = np.concatenate([scores, self.vectors[found] @ query])
+            # many rows are scored in place, few are picked out first
+            more = (self.vectors @ query)[found] if 4 * len(found) > n else self.vectors[found] @ query
+            scores = np.concatenate([scores, more])
             if len(scores) > k:
                 kth = np.partition(scores, len(scores) - k)[len(scores) - k]
                 keep = scores >= kth

@@ -6,6 +6,10 @@ one-deletion neighbours (worth two). If the worths add up to more than H, two si
 of either kind a band gets is a matter of cost: signatures to store against chance meetings of (nearly) empty segments.
 A set also probes the band below, as far as sets there can be similar to it.
 
+Below PERCENT so many tokens may differ that segments hold few of them, and nearly all signatures would be neighbours. There a set is
+indexed by its first tokens in one order of all tokens, those that a sample finds common last: of two similar sets, the
+first token they share is among the first (100 - percent) % of either (and one). Any order is exact; the sample only keeps buckets small.
+
 Sets that meet are compared in buckets by parity sketches: the number of differing bits never exceeds the number of differing
 tokens, so the comparison loses nothing. Of a bucket only a spanning forest of the pairs that pass is emitted, never all
 pairs. The forest's edges are verified on the texts' word sets themselves. Where an edge fails, its buckets are taken up again without it, until
@@ -29,13 +33,17 @@ from pyspark.sql import functions as F
 
 from minutebook.llm.common import staged
 
-WORDS = 3  # words in a shingle
+WORDS = 3  # words in a shingle, unless the caller asks for another length
 PERCENT = 90  # 100 * intersection >= PERCENT * union
 SKETCH_WORDS = 16  # 64-bit words of a parity sketch
 BAND_RATIO = 1.25
 BAND_SHARE = 1 / 16  # share of all sets supposed in one band when costs are weighed
 MEETING_COST = 3.0  # of a chance meeting, in signatures
 TILE = 4_096  # members compared in one group; larger buckets are compared tile by tile
+CLOSE = 64  # members of a bucket compared pair by pair from the second round on, if under PERCENT
+SAMPLE_DOCS = 4_000  # about as many documents tell which tokens are common
+COMMON_DOCS = 3  # of the sample, that a common token is in
+COMMON_TOKENS = 100_000  # most tokens kept as common
 BROADCAST_IDS = 1_000_000  # ids (8 bytes each) that may be broadcast
 
 MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)
@@ -140,6 +148,41 @@ def signatures(tokens: np.ndarray, percent: int, sets: int, plans: dict[int, tup
     return np.unique(np.concatenate(found)).astype(np.int64)
 
 
+def first_tokens(tokens: np.ndarray, percent: int, common: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+    """Signatures of a set: its first tokens, of which any two similar sets share one.
+
+    ``common`` (ascending) come last, by their ``ranks``; before them tokens are ordered as they are.
+    """
+    size = len(tokens)
+    if not size:
+        return np.empty(0, np.int64)
+    least = -(-size * percent // 100)  # tokens that a similar set has at least
+    rank = np.zeros(size, np.int64)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, tokens), len(common) - 1)
+        rank = np.where(common[at] == tokens, ranks[at], 0)
+    return tokens[np.argsort(rank, kind="stable")[:size - least + 1]].view(np.int64)
+
+
+def common_tokens(docs: DataFrame, n_docs: int, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens that are common in a sample, ascending, and their ranks from 1, the most common last."""
+    share = min(1.0, SAMPLE_DOCS / max(1, n_docs))
+    sample = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < int((1 << 30) * share))
+
+    def tokens_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[bytes, int] = {}
+        for batch in batches:
+            for text in batch.column(0):
+                tokens = hashed_shingles(split_words(text.as_py() or ""), kept, words)
+                yield pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64))], ["token"])
+
+    counts = sample.select("text").mapInArrow(tokens_of, "token long").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    rows = counts.where(F.col("n") >= COMMON_DOCS).orderBy(F.desc("n"), "token").limit(COMMON_TOKENS).collect()
+    tokens = np.array([r["token"] for r in rows], np.int64).view(np.uint64)
+    order = np.argsort(tokens)
+    return tokens[order], (len(rows) - np.arange(len(rows)))[order]
+
+
 def sketch(tokens: np.ndarray) -> bytes:
     """One bit of parity for each class of tokens."""
     classes = (_mixed(tokens ^ np.uint64(MIX[3])) >> np.uint64(32)) % np.uint64(64 * SKETCH_WORDS)
@@ -157,8 +200,10 @@ def node_of(tokens: np.ndarray) -> int | None:
 SETS = "doc_id long, n_shingles long, node long, sketch binary, signatures array<long>"
 
 
-def document_sets(docs: DataFrame, percent: int, sets: int) -> DataFrame:
+def document_sets(docs: DataFrame, percent: int, sets: int, words: int = WORDS) -> DataFrame:
     """A row per document; signatures and sketch only with the first of equal sets that a task meets."""
+    common = common_tokens(docs, sets, words) if percent < PERCENT else None
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[bytes, int] = {}
         met: set[int] = set()
@@ -167,12 +212,15 @@ def document_sets(docs: DataFrame, percent: int, sets: int) -> DataFrame:
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                tokens = hashed_shingles(split_words(text.as_py() or ""), kept)
+                tokens = hashed_shingles(split_words(text.as_py() or ""), kept, words)
                 node = node_of(tokens)
                 first = node is not None and node not in met
                 if first:
                     met.add(node)
-                values = (doc_id, len(tokens), node, sketch(tokens) if first else None, signatures(tokens, percent, sets, plans) if first else None)
+                found = None
+                if first:
+                    found = signatures(tokens, percent, sets, plans) if common is None else first_tokens(tokens, percent, *common)
+                values = (doc_id, len(tokens), node, sketch(tokens) if first else None, found)
                 for column, value in zip(out, values, strict=True):
                     column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["doc_id", "n_shingles", "node", "sketch", "signatures"])
@@ -238,6 +286,19 @@ def forest(sizes: np.ndarray, sketches: np.ndarray, joined: np.ndarray, apart: s
     return edges
 
 
+def close_pairs(sizes: np.ndarray, sketches: np.ndarray, joined: np.ndarray, apart: set[tuple[int, int]], percent: int) -> list[tuple[int, int]]:
+    """All pairs (positions) that may be linked among each CLOSE members in turn, besides the forest: where many pairs fail, fewer rounds."""
+    found = []
+    for at in range(0, len(sizes), CLOSE):
+        low, high = np.triu_indices(min(CLOSE, len(sizes) - at), 1)
+        low, high = low + at, high + at
+        open_ = (joined[low] != joined[high]) & (100 * np.minimum(sizes[low], sizes[high]) >= percent * np.maximum(sizes[low], sizes[high]))
+        low, high = low[open_], high[open_]
+        near = np.bitwise_count(sketches[low] ^ sketches[high]).sum(1) <= most_differing(sizes[low], sizes[high], percent)
+        found += [p for p in zip(low[near].tolist(), high[near].tolist(), strict=True) if p not in apart]
+    return found
+
+
 def candidate_edges(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Forest edges (signature, a, b) of every bucket.
 
@@ -293,10 +354,12 @@ def _buckets(rows: pa.Table, begin: np.ndarray, end: np.ndarray, percent: int) -
                 at = {n: k for k, n in enumerate(names)}
                 no = {(min(k, at[n]), max(k, at[n])) for k in range(j - i) for n in apart[i + k] or () if n in at}
             edges = forest(sizes[i:j], sketches[i:j], joined[i:j], no, percent)
+            if apart is not None and percent < PERCENT:
+                edges += close_pairs(sizes[i:j], sketches[i:j], joined[i:j], no, percent)
             yield i, [(min(names[x], names[y]), max(names[x], names[y])) for x, y in edges]
 
 
-def verified(edges: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def verified(edges: DataFrame, texts: DataFrame, percent: int, words: int = WORDS) -> DataFrame:
     """a, b and linked: whether the word sets of two nodes are similar. ``texts`` has node and text."""
     sides = [texts.select(F.col("node").alias(side), F.col("text").alias(f"text_{side}")) for side in "ab"]
     pairs = edges.join(sides[0], "a").join(sides[1], "b").select("a", "b", "text_a", "text_b")
@@ -305,7 +368,7 @@ def verified(edges: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             linked = []
             for text_a, text_b in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = (shingles(split_words(t.as_py())) for t in (text_a, text_b))
+                x, y = (shingles(split_words(t.as_py()), words) for t in (text_a, text_b))
                 both = len(x & y)
                 linked.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], ["a", "b", "linked"])
@@ -335,10 +398,10 @@ def components(edges: DataFrame) -> DataFrame:
     return staged(roots.union(roots.select(F.col("root").alias("node"), "root").distinct()), "roots")
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles and component_id of every document."""
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
+    """doc_id, n_shingles and component_id of every document. ``words`` is the length of a shingle."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sets = staged(document_sets(docs, percent, docs.count()), "sets")
+    sets = staged(document_sets(docs, percent, docs.count(), words), "sets")
     nodes = sets.where("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("first_id"), F.max("n_shingles").alias("n_shingles"), F.max("sketch").alias("sketch")
     )
@@ -358,8 +421,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         edges = staged(candidate_edges(work, state, percent), "edges")
         pairs = edges.select("a", "b").distinct()
         ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        texts = _texts_of(docs, known.join(ends, "node", "left_semi").select("node", F.col("first_id").alias("doc_id")))
-        judged = staged(verified(pairs, texts, percent), "judged")
+        texts = _texts_of(docs, known.join(ends, "node", "left_semi").select("node", F.col("first_id").alias("doc_id")), words)
+        judged = staged(verified(pairs, texts, percent, words), "judged")
         good, bad = judged.where("linked").select("a", "b"), judged.where("not linked").select("a", "b")
         if good.take(1):
             stars = components(good if stars is None else good.union(stars.select(F.col("root").alias("a"), F.col("node").alias("b"))))
@@ -381,7 +444,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
 
 
-def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def _texts_of(docs: DataFrame, wanted: DataFrame, words: int = WORDS) -> DataFrame:
     """node and text of the documents wanted (node, doc_id), stored. A doc_id may name several texts: the node tells which is meant."""
     wanted = staged(wanted.select("node", F.col("doc_id").alias("named")), "wanted")
     small = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
@@ -391,7 +454,7 @@ def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         kept: dict[bytes, int] = {}
         for batch in batches:
             same = [
-                node_of(hashed_shingles(split_words(text.as_py()), kept)) == node
+                node_of(hashed_shingles(split_words(text.as_py()), kept, words)) == node
                 for node, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True)
             ]
             yield batch.filter(pa.array(same, pa.bool_()))

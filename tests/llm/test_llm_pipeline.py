@@ -1,7 +1,9 @@
 """The pipeline: stages one by one against what each must keep."""
 
+import random
 from pathlib import Path
 
+import numpy as np
 import pytest
 
 import corpus_pipeline as pipeline
@@ -47,3 +49,54 @@ def test_odd_rows(spark):
     kept = sorted((r["doc_id"] or 0) for r in pipeline.near_duplicates(spark, docs, SF).collect())
     assert kept == [0, 1, 2, 3]
     assert pipeline.pack(spark, docs.limit(0), SF).count() == 0
+
+
+def groups_of(rows, size, percent):
+    """Positions of the rows in each near-duplicate group, by comparing all pairs."""
+    sets = []
+    for _, text in rows:
+        words = (text or "").lower().split()
+        sets.append({tuple(words[i:i + size]) for i in range(max(1, len(words) - size + 1))} if words else set())
+    name = list(range(len(rows)))
+    for k, s in enumerate(sets):
+        for j in range(k):
+            if s and 100 * len(s & sets[j]) >= percent * len(s | sets[j]):
+                name = [name[j] if n == name[k] else n for n in name]
+    return [[k for k, n in enumerate(name) if n == g] for g in set(name)]
+
+
+def edited(words, *places):
+    return " ".join(f"new{k}" if k in places else w for k, w in enumerate(words))
+
+
+def test_near_duplicates_by_five_words_and_four_fifths(spark):
+    rng, rows = random.Random(6), []
+    for length in (100, 100, 60, 400, 5, 4):
+        base = [f"w{rng.randrange(3_000)}" for _ in range(length)]
+        for edits in (0, 1, 2, 2, 3, 4, 6, 8, 12, 16, 24):
+            rows.append((len(rows) * 7 % 101, edited(base, *rng.sample(range(length), min(edits, length // 5)))))
+    base = [f"v{k}" for k in range(100)]
+    rows += [(1_000, " ".join(base)), (1_001, edited(base, 30, 70)), (1_002, edited(base, 20, 50, 80))]  # 86 of 106, 81 of 111
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(r["doc_id"] for r in pipeline.near_duplicates(spark, docs, SF).collect())
+    want = sorted(min(rows[k][0] for k in group) for group in groups_of(rows, 5, 80))
+    assert got == want and {1_000, 1_002} < set(got) and 1_001 not in got
+    assert want != sorted(min(rows[k][0] for k in group) for group in groups_of(rows, 3, 90))
+
+
+@pytest.mark.parametrize("n_common", [0, 50, 400])
+def test_similar_sets_share_a_first_token(n_common):
+    rng = np.random.default_rng(7)
+    base = rng.integers(0, 1 << 63, 500, dtype=np.int64).astype(np.uint64) * np.uint64(2)
+    common = np.unique(rng.choice(base, n_common, replace=False))
+    ranks, similar = rng.permutation(len(common)) + 1, 0
+    for _ in range(3_000):
+        size = int(rng.integers(1, 120))
+        x = rng.choice(base, size, replace=False)
+        y = np.unique(np.r_[x[int(rng.integers(0, size // 4 + 1)):], rng.choice(base, int(rng.integers(0, size // 4 + 1)), replace=False)])
+        both = len(np.intersect1d(x, y))
+        if 100 * both >= 80 * (size + len(y) - both):
+            similar += 1
+            a, b = (jaccard_join.first_tokens(np.unique(t), 80, common, ranks) for t in (x, y))
+            assert len(np.intersect1d(a, b))
+    assert similar > 500

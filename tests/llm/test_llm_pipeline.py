@@ -100,3 +100,28 @@ def test_similar_sets_share_a_first_token(n_common):
             a, b = (jaccard_join.first_tokens(np.unique(t), 80, common, ranks) for t in (x, y))
             assert len(np.intersect1d(a, b))
     assert similar > 500
+
+
+def test_rows_are_dropped_one_by_one(spark):
+    """Rows that share an id, or have none, do not go with each other."""
+    text = lambda name: " ".join(f"{name}{k}" for k in range(100))
+    a, b, c, d = map(text, "abcd")
+    rows = [
+        (1, a), (2, edited(a.split(), 30)), (2, b), (3, b), (4, c), (4, edited(c.split(), 50)), (None, a), (None, c + " end"),
+        (None, d), (None, edited(d.split(), 9)), (5, None), (5, None), (6, None), (None, ""), (None, ""),
+    ]
+    docs = spark.createDataFrame([(*r, 7) for r in rows], "doc_id long, text string, component_id int")
+    got = pipeline.near_duplicates(spark, docs, SF).collect()
+    assert {tuple(r)[2] for r in got} == {7}
+    ids = sorted(((r["doc_id"] or 0), (r["text"] or "")[:1]) for r in got)
+    assert ids == [(0, ""), (0, ""), (0, "d"), (1, "a"), (2, "b"), (4, "c"), (5, ""), (6, "")]
+
+
+def test_clean_rows_stay_whatever_their_id(spark):
+    item = next(r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").collect() if r["text"])
+    rows = [(None, item), (None, "clean without an id"), (1, f"so {item}"), (1, "clean with an id"), (2, item), (3, "clean alone"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = pipeline.decontamination(spark, docs, SF).collect()
+    assert sorted(((r["doc_id"] or 0), (r["text"] or "")) for r in got) == [
+        (0, ""), (0, "clean without an id"), (1, "clean with an id"), (3, "clean alone"),
+    ]

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from minutebook.llm import decontaminate, html_text, jaccard_join, language_gru, packing, token_counts, topk, toxicity, url_filter, warc
+from minutebook.llm import (
+    decontaminate, hard_negatives, html_text, jaccard_join, language_gru, packing, sharding, token_counts, topk, toxicity, url_filter, warc,
+)
 from minutebook.llm.common import ready, staged
 from minutebook.session import work_folder
 
@@ -170,3 +172,35 @@ def op10_language_id(read) -> DataFrame:
     """The language of every document."""
     docs = read("documents")
     return language_gru.predict(docs, language_gru.fit(docs))
+
+
+@query("op11_sharding")
+def op11_sharding(read) -> DataFrame:
+    """The shard of every document, its place there, and its shard if there were one more."""
+    return sharding.document_shards(read("documents"))
+
+
+NEGATIVES_SQL = """
+WITH fine AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+  CAST(coalesce(list_sum(list_transform(list_zip(a.v, c.v), lambda p: p[1] * p[2])), 0) AS BIGINT) AS score
+  FROM fine a JOIN fine c ON a.vec_id <> c.vec_id AND len(a.v) = len(c.v) WHERE a.vec_id % 50 = 0),
+positives AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score,
+  row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS k FROM scored WHERE same),
+ranked AS (SELECT p.anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id
+  WHERE k <= 5 AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 3
+"""
+
+
+@query("op13_hard_negatives", NEGATIVES_SQL)
+def op13_hard_negatives(read) -> DataFrame:
+    """Three hard negatives for each of five positives of every vector whose id is divisible by 50."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = read("embeddings").select("vec_id", label.alias("label"), topk.whole_components(F.col("embedding")).alias("components"))
+    return hard_negatives.mine(rows, "vec_id % 50 = 0")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from minutebook.llm import (
-    decontaminate, hard_negatives, html_text, jaccard_join, language_gru, packing, sharding, token_counts, topk, toxicity, url_filter, warc,
+    decontaminate, hard_negatives, html_text, jaccard_join, language_gru, packing, phrases, sharding, token_counts, topk, toxicity, url_filter, warc,
 )
 from minutebook.llm.common import ready, staged
 from minutebook.session import work_folder
@@ -180,6 +180,35 @@ def op11_sharding(read) -> DataFrame:
     return sharding.document_shards(read("documents"))
 
 
+PHRASES_SQL = r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+cut AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+spots AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM cut),
+sized AS (SELECT lang, w, i, unnest(range(1, least(4, len(w) - i + 1) + 1)) AS m FROM spots),
+f AS (SELECT lang, m, list_slice(w, i, i + m - 1) AS p, count(*) AS f FROM sized GROUP BY ALL),
+sizes AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang),
+often AS (SELECT * FROM f WHERE f >= 30),
+long AS (SELECT lang, m, p, f, unnest(range(2, m)) AS k FROM often WHERE m > 2),
+inner_spots AS (SELECT lang, p, f, k, unnest(range(1, m - k + 2)) AS i FROM long),
+inside AS (SELECT lang, list_slice(p, i, i + k - 1) AS p, max(f) AS most FROM inner_spots GROUP BY ALL),
+kept AS (SELECT o.* FROM often o LEFT JOIN inside USING (lang, p) WHERE m > 1 AND (most IS NULL OR 100 * most < 80 * o.f)),
+cuts AS (SELECT lang, m, p, f AS a, unnest(range(1, m)) AS k FROM kept),
+scored AS (SELECT c.lang, c.p, a, x.f AS l, y.f AS r, k, 2000000 * CAST(a AS HUGEINT) // (x.f + y.f) AS score FROM cuts c
+  JOIN often x ON x.lang = c.lang AND x.p = list_slice(c.p, 1, k) JOIN often y ON y.lang = c.lang AND y.p = list_slice(c.p, k + 1, c.m)),
+worst AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+named AS (SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, CAST(score AS BIGINT) AS score FROM worst),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM named)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
+"""
+
+
+@query("op12_phrases", PHRASES_SQL)
+def op12_phrases(read) -> DataFrame:
+    """The strongest phrases of two to four words of every language."""
+    return phrases.collocations(read("documents"))
+
+
 NEGATIVES_SQL = """
 WITH fine AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
   list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings

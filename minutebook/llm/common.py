@@ -33,6 +33,16 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def discard(*frames: DataFrame | None) -> None:
+    """Delete what ``staged`` has written for these frames, once nothing that is still to run reads them."""
+    for frame in frames:
+        files = frame.inputFiles() if frame is not None else []
+        if files:
+            jvm = frame.sparkSession._jvm
+            folder = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+            folder.getFileSystem(frame.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case, every other character as it is."""
     return F.translate(text, UPPER, UPPER.lower())

@@ -6,14 +6,16 @@ one-deletion neighbours (worth two). If the worths add up to more than H, two si
 of either kind a band gets is a matter of cost: signatures to store against chance meetings of (nearly) empty segments.
 A set also probes the band below, as far as sets there can be similar to it.
 
-Below PERCENT so many tokens may differ that segments hold few of them, and nearly all signatures would be neighbours. There a set is
-indexed by its first tokens in one order of all tokens, those that a sample finds common last: of two similar sets, the
+``near_duplicates_by_prefix`` is for lower limits, at which so many tokens may differ that segments hold few of them and nearly all signatures would
+be neighbours. There a set is indexed by its first tokens in one order of all tokens, those that a sample finds common last: of two similar sets, the
 first token they share is among the first (100 - percent) % of either (and one). Any order is exact; the sample only keeps buckets small.
 
-Sets that meet are compared in buckets by parity sketches: the number of differing bits never exceeds the number of differing
+Signatures with the same members are one bucket. Members are compared by parity sketches, which grow with the sets: the number of
+differing bits never exceeds the number of differing
 tokens, so the comparison loses nothing. Of a bucket only a spanning forest of the pairs that pass is emitted, never all
-pairs. The forest's edges are verified on the texts' word sets themselves. Where an edge fails, its buckets are taken up again without it, until
-every forest stands. Links thus stay complete as far as connection goes, which is all that components need.
+pairs. The forest's edges are verified on the texts' word sets themselves. Where an edge fails, its buckets are taken up again without it, and each node brings
+up its nearest others besides, four times as many in each round, until every forest stands. Links thus stay complete as far as connection goes, which is
+all that components need.
 
 Equal sets are one node throughout, so copies, however many, cost one row each and one signature row per task.
 
@@ -24,23 +26,23 @@ takes part and gives no name; other columns are ignored; no documents give no ro
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from minutebook.llm.common import staged
+from minutebook.llm.common import discard, staged
 
 WORDS = 3  # words in a shingle, unless the caller asks for another length
 PERCENT = 90  # 100 * intersection >= PERCENT * union
-SKETCH_WORDS = 16  # 64-bit words of a parity sketch
+SKETCH_WORDS = 16  # 64-bit words of a parity sketch, at least
+TOKEN_BITS = 0.5  # of a sketch, rounded up to a power of two
 BAND_RATIO = 1.25
 BAND_SHARE = 1 / 16  # share of all sets supposed in one band when costs are weighed
 MEETING_COST = 3.0  # of a chance meeting, in signatures
 TILE = 4_096  # members compared in one group; larger buckets are compared tile by tile
-CLOSE = 64  # members of a bucket compared pair by pair from the second round on, if under PERCENT
 SAMPLE_DOCS = 4_000  # about as many documents tell which tokens are common
 COMMON_DOCS = 3  # of the sample, that a common token is in
 COMMON_TOKENS = 100_000  # most tokens kept as common
@@ -184,10 +186,10 @@ def common_tokens(docs: DataFrame, n_docs: int, words: int) -> tuple[np.ndarray,
 
 
 def sketch(tokens: np.ndarray) -> bytes:
-    """One bit of parity for each class of tokens."""
-    classes = (_mixed(tokens ^ np.uint64(MIX[3])) >> np.uint64(32)) % np.uint64(64 * SKETCH_WORDS)
-    bits = np.bincount(classes.astype(np.int64), minlength=64 * SKETCH_WORDS) & 1
-    return np.packbits(bits.astype(np.uint8)).tobytes()
+    """One bit of parity for each class of tokens: a power of two of classes, about as many as there are tokens or half of that."""
+    bits = max(64 * SKETCH_WORDS, 1 << max(6, int(len(tokens) * TOKEN_BITS)).bit_length())
+    classes = (_mixed(tokens ^ np.uint64(MIX[3])) >> np.uint64(32)) % np.uint64(bits)
+    return np.packbits((np.bincount(classes.astype(np.int64), minlength=bits) & 1).astype(np.uint8)).tobytes()
 
 
 def node_of(tokens: np.ndarray) -> int | None:
@@ -200,14 +202,11 @@ def node_of(tokens: np.ndarray) -> int | None:
 SETS = "doc_id long, n_shingles long, node long, sketch binary, signatures array<long>"
 
 
-def document_sets(docs: DataFrame, percent: int, sets: int, words: int = WORDS) -> DataFrame:
-    """A row per document; signatures and sketch only with the first of equal sets that a task meets."""
-    common = common_tokens(docs, sets, words) if percent < PERCENT else None
-
+def document_sets(docs: DataFrame, index: Callable[[np.ndarray], np.ndarray], words: int = WORDS) -> DataFrame:
+    """A row per document; signatures (by ``index``) and sketch only with the first of equal sets that a task meets."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[bytes, int] = {}
         met: set[int] = set()
-        plans: dict[int, tuple[int, int]] = {}
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
@@ -217,10 +216,7 @@ def document_sets(docs: DataFrame, percent: int, sets: int, words: int = WORDS)
                 first = node is not None and node not in met
                 if first:
                     met.add(node)
-                found = None
-                if first:
-                    found = signatures(tokens, percent, sets, plans) if common is None else first_tokens(tokens, percent, *common)
-                values = (doc_id, len(tokens), node, sketch(tokens) if first else None, found)
+                values = (doc_id, len(tokens), node, sketch(tokens) if first else None, index(tokens) if first else None)
                 for column, value in zip(out, values, strict=True):
                     column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["doc_id", "n_shingles", "node", "sketch", "signatures"])
@@ -228,29 +224,18 @@ def document_sets(docs: DataFrame, percent: int, sets: int, words: int = WORDS)
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(rows, SETS)
 
 
-def shared_signatures(sets: DataFrame) -> DataFrame:
-    """signature, node and size (members) for every signature that two nodes or more have."""
-    pairs = sets.where("signatures is not null").select(F.explode("signatures").alias("signature"), "node")
-    pairs = pairs.repartition(F.col("signature")).sortWithinPartitions("signature", "node")
+def shared_buckets(sets: DataFrame) -> DataFrame:
+    """bucket, node and size (members) for every signature that two nodes or more have.
 
-    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = np.empty((2, 0), np.int64)
-        for batch in _then_end(batches):
-            if batch is not None:
-                rest = np.concatenate([rest, np.stack([np.asarray(batch.column(0)), np.asarray(batch.column(1))])], 1)
-            if not rest.shape[1]:
-                continue
-            # what belongs to the last signature waits for the next batch
-            cut = rest.shape[1] if batch is None else int(np.searchsorted(rest[0], rest[0, -1]))
-            now, rest = rest[:, :cut], rest[:, cut:]
-            if now.shape[1] > 1:
-                now = now[:, np.r_[True, (np.diff(now[0]) != 0) | (np.diff(now[1]) != 0)]]
-                begin = np.flatnonzero(np.r_[True, np.diff(now[0]) != 0])
-                size = np.diff(np.r_[begin, now.shape[1]])
-                many = np.repeat(size > 1, size)
-                yield pa.RecordBatch.from_arrays([pa.array(now[0, many]), pa.array(now[1, many]), pa.array(np.repeat(size, size)[many])], ["signature", "node", "size"])
-
-    return pairs.mapInArrow(runs, "signature long, node long, size long")
+    Copies with few changes share hundreds of signatures. Signatures with the same members are one bucket.
+    """
+    one = Window.partitionBy("signature")
+    pairs = sets.where("signatures is not null").select(F.explode("signatures").alias("signature"), "node")
+    pairs = pairs.withColumn("least", F.min("node").over(one)).withColumn("most", F.max("node").over(one)).where("least <> most")
+    pairs = pairs.select("signature", "node").distinct()
+    members = [F.bit_xor(F.xxhash64("node", F.lit(k))).over(one) for k in range(2)]
+    named = pairs.select("node", F.count(F.lit(1)).over(one).alias("size"), *[m.alias(f"of_{k}") for k, m in enumerate(members)])
+    return named.select(F.xxhash64("size", "of_0", "of_1").alias("bucket"), "node", "size").distinct()
 
 
 def _then_end(batches: Iterator) -> Iterator:
@@ -263,58 +248,109 @@ def most_differing(a, b, percent: int):
     return (a + b) * (100 - percent) // (100 + percent)
 
 
-def forest(sizes: np.ndarray, sketches: np.ndarray, joined: np.ndarray, apart: set[tuple[int, int]], percent: int) -> list[tuple[int, int]]:
-    """Pairs (positions) that connect whatever the sketches allow to be connected.
+class Members:
+    """Sizes, components and sketches of the members of some buckets.
 
-    ``joined`` numbers what is connected already, which needs no pair; pairs in ``apart`` are known not to be linked.
+    Sketches of two lengths are compared at the shorter one: the longer is folded, as its classes are parts of the other's.
     """
-    edges, waiting, left = [], np.arange(len(sizes)), len(np.unique(joined))
-    while len(waiting) and left > 1:
-        reach, waiting = [int(waiting[0])], waiting[1:]
-        while reach and len(waiting):
-            k = reach.pop()
-            same = joined[waiting] == joined[k]
-            differ = np.bitwise_count(sketches[waiting] ^ sketches[k]).sum(1)
-            near = differ <= most_differing(sizes[waiting], sizes[k], percent)
-            near |= same
-            if apart:
-                near &= same | np.array([(min(k, j), max(k, j)) not in apart for j in waiting.tolist()])
-            new = waiting[near]
-            edges += [(k, j) for j in waiting[near & ~same].tolist()]
-            reach += new.tolist()
-            waiting = waiting[~near]
-    return edges
-
-
-def close_pairs(sizes: np.ndarray, sketches: np.ndarray, joined: np.ndarray, apart: set[tuple[int, int]], percent: int) -> list[tuple[int, int]]:
-    """All pairs (positions) that may be linked among each CLOSE members in turn, besides the forest: where many pairs fail, fewer rounds."""
-    found = []
-    for at in range(0, len(sizes), CLOSE):
-        low, high = np.triu_indices(min(CLOSE, len(sizes) - at), 1)
-        low, high = low + at, high + at
-        open_ = (joined[low] != joined[high]) & (100 * np.minimum(sizes[low], sizes[high]) >= percent * np.maximum(sizes[low], sizes[high]))
-        low, high = low[open_], high[open_]
-        near = np.bitwise_count(sketches[low] ^ sketches[high]).sum(1) <= most_differing(sizes[low], sizes[high], percent)
-        found += [p for p in zip(low[near].tolist(), high[near].tolist(), strict=True) if p not in apart]
-    return found
-
 
-def candidate_edges(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Forest edges (signature, a, b) of every bucket.
+    def __init__(self, sizes: np.ndarray, sketches: list[bytes], joined: np.ndarray, percent: int):
+        self.sizes, self.joined, self.percent = sizes, joined, percent
+        self.flat = np.frombuffer(b"".join(sketches), np.uint64)
+        self.width = np.array([len(s) // 8 for s in sketches], np.int64)
+        self.start = np.cumsum(self.width) - self.width
+
+    def _folded(self, rows: np.ndarray, width: int) -> np.ndarray:
+        out = np.empty((len(rows), width), np.uint64)
+        own = self.width[rows]
+        for w in np.unique(own).tolist():
+            at = np.flatnonzero(own == w)
+            words = self.flat[self.start[rows[at], None] + np.arange(w)]
+            out[at] = words if w == width else np.bitwise_xor.reduce(words.reshape(len(at), w // width, width), axis=1)
+        return out
+
+    def over(self, a: np.ndarray, b: np.ndarray, surely: bool = False) -> np.ndarray:
+        """How far each pair of rows lies over its limit, in bits; links are at 0 or below, but so may be others.
+
+        ``surely`` takes the limit that a pair just similar enough can be expected to reach, and a tenth off.
+        """
+        x, y = self.sizes[a], self.sizes[b]
+        out = np.full(len(a), np.iinfo(np.int64).max)
+        limit = most_differing(x, y, self.percent)
+        width = np.minimum(self.width[a], self.width[b])
+        near = 100 * np.minimum(x, y) >= self.percent * np.maximum(x, y)
+        for w in np.unique(width[near]).tolist():
+            at = np.flatnonzero(near & (width == w))
+            most = limit[at]
+            if surely:
+                most = 0.9 * 32 * w * (1 - np.exp(-most / (32 * w)))
+            out[at] = np.bitwise_count(self._folded(a[at], w) ^ self._folded(b[at], w)).sum(1) - np.int64(1) * np.floor(most).astype(np.int64)
+        return out
+
+    def forest(self, rows: np.ndarray, apart: Apart) -> list[tuple[int, int]]:
+        """Pairs of rows that connect whatever the sketches allow to be connected, the surest pairs first.
+
+        What is joined already needs no pair; pairs in ``apart`` are known not to be linked.
+        """
+        edges, joined = [], self.joined[rows].copy()
+        for surely in (True, False):
+            waiting = np.arange(len(rows))
+            found = []
+            while len(waiting) and len(np.unique(joined[waiting])) > 1:
+                reach, waiting = [int(waiting[0])], waiting[1:]
+                while reach and len(waiting):
+                    k = reach.pop()
+                    same = joined[waiting] == joined[k]
+                    near = same.copy()
+                    other = np.flatnonzero(~same)
+                    if len(other):
+                        to = waiting[other]
+                        near[other] = self.over(np.full(len(to), rows[k]), rows[to], surely) <= 0
+                        for j in other[near[other]].tolist() if apart else ():
+                            near[j] = (rows[k], rows[waiting[j]]) not in apart
+                    found += [(k, j) for j in waiting[near & ~same].tolist()]
+                    reach += waiting[near].tolist()
+                    waiting = waiting[~near]
+            for k, j in found:
+                joined[joined == joined[j]] = joined[k]
+            edges += [(int(rows[k]), int(rows[j])) for k, j in found]
+        return edges
+
+    def nearest(self, rows: np.ndarray, apart: Apart, n: int) -> list[tuple[int, int]]:
+        """For each row the ``n`` pairs that look most alike of those that may be linked, and are not known to be."""
+        found = []
+        for k in rows.tolist():
+            to = rows[self.joined[rows] != self.joined[k]]
+            over = self.over(np.full(len(to), k), to)
+            to = to[np.argsort(over, kind="stable")][: int((over <= 0).sum())]
+            found += [(k, j) for j in [j for j in to.tolist() if (k, j) not in apart][:n]]
+        return found
+
+
+class Apart(set):
+    """Pairs of rows in either order."""
+
+    def __contains__(self, pair) -> bool:
+        return super().__contains__((min(pair), max(pair)))
+
+
+def candidate_edges(members: DataFrame, nodes: DataFrame, percent: int, nearest: int = 0) -> DataFrame:
+    """Pairs (a, b) that connect every bucket as far as sketches allow, and besides the ``nearest`` of each node.
 
     ``nodes`` has node, n_shingles, sketch, joined, and apart (nodes known to be no links, or NULL).
     """
     tiles = F.ceil(F.col("size") / TILE).cast("int")
     own = F.pmod(F.xxhash64("node"), tiles).cast("int")
     rows = members.join(nodes, "node").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
-    tile = ["signature", "low", "high"]
+    tile = ["bucket", "low", "high"]
     rows = rows.select(
-        "signature", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+        "bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
         "node", "n_shingles", "joined", "sketch", "apart",
     ).repartition(*map(F.col, tile)).sortWithinPartitions(*tile, "node")
 
     def connect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
+        told: set[tuple[int, int]] = set()
         for batch in _then_end(batches):
             if batch is not None:
                 now = pa.Table.from_batches([batch])
@@ -326,37 +362,37 @@ def candidate_edges(members: DataFrame, nodes: DataFrame, percent: int) -> DataF
             end = np.r_[begin[1:], len(rest)]
             if batch is not None:  # the last bucket may go on
                 begin, end = begin[:-1], end[:-1]
-            found = [(keys[0, i], a, b) for i, edges in _buckets(rest, begin, end, percent) for a, b in edges]
+            found = set(_edges(rest, begin, end, percent, nearest)) - told
             rest = rest.slice(end[-1] if len(end) else 0)
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["signature", "a", "b"])
+                told = found | (told if len(told) < 100_000 else set())
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["a", "b"])
 
-    return rows.mapInArrow(connect, "signature long, a long, b long")
+    return rows.mapInArrow(connect, "a long, b long").distinct()
 
 
-def _buckets(rows: pa.Table, begin: np.ndarray, end: np.ndarray, percent: int) -> Iterator[tuple[int, list[tuple[int, int]]]]:
-    """First row of a bucket and its forest's pairs of nodes; pairs of two members are compared all at once."""
+def _edges(rows: pa.Table, begin: np.ndarray, end: np.ndarray, percent: int, nearest: int) -> Iterator[tuple[int, int]]:
+    """Pairs of nodes of each bucket, the smaller first; buckets of two are compared all at once."""
     if not len(begin):
         return
     node, sizes, joined = (np.asarray(rows[c]) for c in ("node", "n_shingles", "joined"))
-    sketches = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint64).reshape(-1, SKETCH_WORDS)
-    apart = rows["apart"].to_pylist() if rows["apart"].null_count < len(rows) else None
-    two = begin[end - begin == 2] if apart is None else begin[:0]
-    differ = np.bitwise_count(sketches[two] ^ sketches[two + 1]).sum(1)
-    two = two[(differ <= most_differing(sizes[two], sizes[two + 1], percent)) & (joined[two] != joined[two + 1])]
-    for i in two.tolist():
-        yield i, [(int(node[i]), int(node[i + 1]))]
+    members = Members(sizes, rows["sketch"].to_pylist(), joined, percent)
+    known = rows["apart"].to_pylist() if rows["apart"].null_count < len(rows) else None
+    two = begin[(end - begin == 2) & (joined[begin] != joined[np.minimum(begin + 1, len(joined) - 1)])]
+    pairs = two[members.over(two, two + 1) <= 0].tolist()
+    found = [(i, i + 1) for i in pairs if known is None or int(node[i + 1]) not in (known[i] or ())]
     for i, j in zip(begin.tolist(), end.tolist(), strict=True):
-        if j - i > 2 or (j - i == 2 and apart is not None):
-            names = node[i:j].tolist()
-            no: set[tuple[int, int]] = set()
-            if apart is not None:
-                at = {n: k for k, n in enumerate(names)}
-                no = {(min(k, at[n]), max(k, at[n])) for k in range(j - i) for n in apart[i + k] or () if n in at}
-            edges = forest(sizes[i:j], sketches[i:j], joined[i:j], no, percent)
-            if apart is not None and percent < PERCENT:
-                edges += close_pairs(sizes[i:j], sketches[i:j], joined[i:j], no, percent)
-            yield i, [(min(names[x], names[y]), max(names[x], names[y])) for x, y in edges]
+        if j - i > 2:
+            apart = Apart()
+            if known is not None:
+                at = {n: i + k for k, n in enumerate(node[i:j].tolist())}
+                apart.update((min(k, at[n]), max(k, at[n])) for k in range(i, j) for n in known[k] or () if n in at)
+            inside = np.arange(i, j)
+            found += members.forest(inside, apart)
+            if nearest:
+                found += members.nearest(inside, apart, nearest)
+    for x, y in found:
+        yield min(int(node[x]), int(node[y])), max(int(node[x]), int(node[y]))
 
 
 def verified(edges: DataFrame, texts: DataFrame, percent: int, words: int = WORDS) -> DataFrame:
@@ -389,25 +425,40 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(lowest, "u").where("v > u").select(F.col("v").alias("u"), F.col("low").alias("v")).distinct()
         lowest = large.groupBy("u").agg(F.min("v").alias("low"))
         small = large.join(lowest, "u").where("v <> low").select(F.col("v").alias("u"), F.col("low").alias("v"))
-        pairs = staged(small.union(lowest.select("u", F.col("low").alias("v"))).distinct(), "stars")
+        older, pairs = pairs if before else None, staged(small.union(lowest.select("u", F.col("low").alias("v"))).distinct(), "stars")
+        discard(older)
         state = pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             break
         before = state
     roots = pairs.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    return staged(roots.union(roots.select(F.col("root").alias("node"), "root").distinct()), "roots")
+    found = staged(roots.union(roots.select(F.col("root").alias("node"), "root").distinct()), "roots")
+    discard(pairs)
+    return found
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
-    """doc_id, n_shingles and component_id of every document. ``words`` is the length of a shingle."""
+    """doc_id, n_shingles and component_id of every document, by universe partition. ``words`` is the length of a shingle."""
+    plans: dict[int, tuple[int, int]] = {}
+    sets = docs.count()
+    return _connected(docs, lambda tokens: signatures(tokens, percent, sets, plans), percent, words)
+
+
+def near_duplicates_by_prefix(docs: DataFrame, percent: int, words: int) -> DataFrame:
+    """The same rows, by the first tokens of each set: for limits at which universe partition would store every token twice or more."""
+    common = common_tokens(docs, docs.count(), words)
+    return _connected(docs, lambda tokens: first_tokens(tokens, percent, *common), percent, words)
+
+
+def _connected(docs: DataFrame, index: Callable[[np.ndarray], np.ndarray], percent: int, words: int) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sets = staged(document_sets(docs, percent, docs.count(), words), "sets")
-    nodes = sets.where("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("first_id"), F.max("n_shingles").alias("n_shingles"), F.max("sketch").alias("sketch")
-    )
-    members = staged(shared_signatures(sets), "members")
-    known = staged(nodes.join(members.select("node").distinct(), "node", "left_semi"), "nodes")
-    stars, apart, work = None, None, members
+    sets = staged(document_sets(docs, index, words), "sets")
+    named = sets.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first_id"))
+    work = staged(shared_buckets(sets), "members")
+    shared = work.select("node").distinct()
+    known = sets.where("sketch is not null").select("node", "n_shingles", "sketch").join(shared, "node", "left_semi").dropDuplicates(["node"])
+    known = staged(known.join(named, "node"), "nodes")
+    stars, apart, texts, nearest = None, None, None, 0
     while True:
         state = known.select("node", "n_shingles", "sketch")
         if stars is None:
@@ -418,27 +469,31 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, words: int = WORDS)
             state = state.withColumn("apart", F.lit(None).cast("array<long>"))
         else:
             state = state.join(apart.groupBy(F.col("a").alias("node")).agg(F.collect_set("b").alias("apart")), "node", "left")
-        edges = staged(candidate_edges(work, state, percent), "edges")
-        pairs = edges.select("a", "b").distinct()
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        texts = _texts_of(docs, known.join(ends, "node", "left_semi").select("node", F.col("first_id").alias("doc_id")), words)
-        judged = staged(verified(pairs, texts, percent, words), "judged")
+        edges = staged(candidate_edges(work, state, percent, nearest), "edges")
+        if texts is None:
+            # a node that may be linked with any other has an edge in this first round
+            ends = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+            texts = _texts_of(docs, known.join(ends, "node", "left_semi").select("node", F.col("first_id").alias("doc_id")), words)
+        judged = staged(verified(edges, texts, percent, words), "judged")
         good, bad = judged.where("linked").select("a", "b"), judged.where("not linked").select("a", "b")
         if good.take(1):
-            stars = components(good if stars is None else good.union(stars.select(F.col("root").alias("a"), F.col("node").alias("b"))))
+            before, stars = stars, components(good if stars is None else good.union(stars.select(F.col("root").alias("a"), F.col("node").alias("b"))))
+            discard(before)
         # Only buckets with a pair that failed have more to find.
         if not bad.take(1):
             break
-        apart = bad if apart is None else apart.union(bad)
-        again = edges.join(bad, ["a", "b"], "left_semi").select("signature").distinct()
-        work = staged(work.join(again, "signature", "left_semi"), "members")
-    named = nodes.select("node", "first_id")
+        before, apart = apart, staged(bad if apart is None else apart.union(bad), "apart")
+        again = work.select("bucket", F.col("node").alias("a")).join(bad, "a").join(work.select("bucket", F.col("node").alias("b")), ["bucket", "b"])
+        older, work = work, staged(work.join(again.select("bucket").distinct(), "bucket", "left_semi"), "members")
+        discard(before, older, edges, judged)
+        nearest = 4 * nearest or 4
     if stars is not None:
         named = named.join(stars, "node", "left").withColumn("root", F.coalesce("root", "node"))
         lowest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
         named = named.join(lowest, "root").select("node", "component_id")
     else:
         named = named.withColumnRenamed("first_id", "component_id")
+    discard(texts, work, known)
     return sets.select("doc_id", "n_shingles", "node").join(named, "node", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     )

@@ -77,6 +77,7 @@ def test_components_by_tiles_and_failing_edges(spark, monkeypatch):
     """Small tiles, and sketches so short that many pairs pass which are no links."""
     monkeypatch.setattr(jaccard_join, "TILE", 16)
     monkeypatch.setattr(jaccard_join, "SKETCH_WORDS", 1)
+    monkeypatch.setattr(jaccard_join, "TOKEN_BITS", 1 / 64)
     rows = families(5, 2, 120, 120, 9)
     got = jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(map(tuple, got)) == brute_components(rows)

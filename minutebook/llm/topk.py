@@ -3,12 +3,12 @@
 Vectors are cut into blocks. Inside a block every dimension has a list of the vectors sorted by that component. A query walks
 all lists from its favourable end (the top where its own component is positive, the bottom where it is negative), scores each vector that
 turns up, and stops when no unseen vector can reach the kth score: at depth t an unseen vector scores at most the sum of the
-query's components times the lists' values at t. Depth doubles from step to step, so a query costs a few array operations; where the
-next stretch of the lists would cost more than scoring what is left, that is scored instead. Queries meet the blocks in groups of bounded size; the best k of each block are merged by a ranked window. Components are whole
+query's components times the lists' values at t. Depth doubles from step to step, so a query costs a few array operations.
+Queries meet the blocks in groups of bounded size; the best k of each block are merged by a ranked window. Components are whole
 numbers, so scores are exact.
 
-Defined results: vectors that are NULL, empty, of another length than asked for, or hold NULL or non-finite components take no part; equal vectors are each
-found, ties to the smaller id; rows equal in id and vector count once, rows that share an id but not a vector are candidates (or queries) of their own;
+Defined results: vectors that are NULL, or hold NULL or non-finite components take no part; vectors of each length, empty ones too, are searched
+among themselves, in one job; equal vectors are each found, ties to the smaller id; rows equal in id and vector count once, rows that share an id but not a vector are candidates (or queries) of their own;
 a query is never its own result, nor is another row of its id; no rows give no rows; other columns are ignored.
 """
 
@@ -26,15 +26,14 @@ from minutebook.llm.common import staged
 BLOCK_ROWS = 8_192
 QUERY_ROWS = 2_048
 FIRST_DEPTH = 16
-LISTED_COST = 16  # of looking a vector up in a list, in components of a product
 RESULT = "query_id long, vec_id long, score long"
 
 
 def whole_components(vector: Column, scale: int = 256) -> Column:
-    """floor(scale * x) of every component as a long; NULL unless all are finite numbers."""
+    """floor(scale * x) of every component as a long; NULL if any is no finite number."""
     numbers = F.transform(vector, lambda x: x.cast("double"))
     fine = F.forall(numbers, lambda x: F.coalesce(x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))), F.lit(False)))
-    return F.when(fine & (F.size(numbers) > 0), F.transform(numbers, lambda x: F.floor(x * scale).cast("long")))
+    return F.when(fine, F.transform(numbers, lambda x: F.floor(x * scale).cast("long")))
 
 
 class ThresholdIndex:
@@ -53,9 +52,9 @@ class ThresholdIndex:
         fresh = np.ones(n, bool)
         fresh[np.searchsorted(self.ids, query_id):np.searchsorted(self.ids, query_id, side="right")] = False
         best, scores = np.empty(0, np.int64), np.empty(0, query.dtype)
-        depth, walked, left = FIRST_DEPTH, 0, int(fresh.sum())
+        depth, walked = FIRST_DEPTH, 0
         while True:
-            if depth >= n or not len(dims) or (depth - walked) * LISTED_COST >= left:
+            if depth >= n or not len(dims):
                 found, bound = np.flatnonzero(fresh), None
             else:
                 span = np.arange(walked, depth)
@@ -67,7 +66,6 @@ class ThresholdIndex:
                 seen[listed.ravel()] = True
                 found = np.flatnonzero(seen & fresh)
             fresh[found] = False
-            left -= len(found)
             best = np.concatenate([best, found])
             # many rows are scored in place, few are picked out first
             more = (self.vectors @ query)[found] if 4 * len(found) > n else self.vectors[found] @ query
@@ -82,25 +80,23 @@ class ThresholdIndex:
             walked, depth = depth, depth * 2
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, dims: int | None = None) -> DataFrame:
-    """query_id, rank, vec_id and score of the k best candidates of each query.
+def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
+    """query_id, rank, vec_id and score of the k best candidates of each query, which have its length.
 
-    Both tables have vec_id and ``components`` (longs, see ``whole_components``). ``dims`` is the length of a vector; by default that
-    of the longest one.
+    Both tables have vec_id and ``components`` (longs, see ``whole_components``).
     """
-    vectors = staged(vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "components").where("vec_id is not null and components is not null").distinct(), "vectors")
-    queries = queries.select(F.col("vec_id").cast("long").alias("vec_id"), "components").where("vec_id is not null and components is not null").distinct()
+    fine = lambda rows: rows.select(F.col("vec_id").cast("long").alias("vec_id"), "components").where("vec_id is not null and components is not null").distinct()
+    vectors, queries = staged(fine(vectors), "vectors"), staged(fine(queries), "queries")
     size = vectors.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("components")).alias("dims"), F.max(F.expr("aggregate(components, 0L, (m, x) -> greatest(m, abs(x)))")).alias("high")).first()
-    dims = dims or size["dims"] or 0
     blocks = max(1, -(-size["n"] // BLOCK_ROWS))
-    queries = staged(queries.where(F.size("components") == dims), "queries")
     groups = max(1, -(-queries.count() // QUERY_ROWS))
     # Doubles hold the scores exactly up to 2**53, which lets the products run in compiled loops.
-    kind = np.float64 if (size["high"] or 0) ** 2 * max(dims, 1) < 2**53 else np.int64
+    kind = np.float64 if (size["high"] or 0) ** 2 * max(size["dims"] or 0, 1) < 2**53 else np.int64
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     dealt = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
-    candidates = vectors.where(F.size("components") == dims).select("vec_id", "components", dealt(blocks).alias("block"), each(groups).alias("part"))
-    asked = queries.select("vec_id", "components", each(blocks).alias("block"), dealt(groups).alias("part"))
+    length = F.size("components").alias("length")
+    candidates = vectors.select("vec_id", "components", length, dealt(blocks).alias("block"), each(groups).alias("part"))
+    asked = queries.select("vec_id", "components", length, each(blocks).alias("block"), dealt(groups).alias("part"))
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> Iterator[pd.DataFrame]:
         out: list[tuple] = []
@@ -111,7 +107,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, dims: int | None =
                 out.extend((query_id, i, s) for i, s in zip(ids.tolist(), scores.tolist(), strict=True))
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
-    found = candidates.groupBy("block", "part").cogroup(asked.groupBy("block", "part")).applyInPandas(search, RESULT)
+    keys = ["length", "block", "part"]
+    found = candidates.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(search, RESULT)
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(ranked).cast("int")).where(F.col("rank") <= k)

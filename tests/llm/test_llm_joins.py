@@ -204,6 +204,18 @@ def test_topk_of_odd_vectors(spark):
     assert topk.top_k(vectors.limit(0), vectors, 5).count() == 0
 
 
+def test_vectors_of_several_lengths(spark, tmp_path):
+    """A stray row takes no other with it, and query and twin agree."""
+    rng = random.Random(2)
+    rows = [(k, [rng.uniform(-1, 1) for _ in range(rng.choice([3, 3, 4, 0]))]) for k in range(200)] + [(300, [1.0] * 5), (350, [0.5] * 70), (400, None), (None, [1.0] * 3)]
+    spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<float>, label int").coalesce(1).write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = queries.QUERIES["op9_topk_search"](spark, str(tmp_path)).toPandas()
+    con = compare.duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    assert compare.difference(got, con.execute(queries.SQL["op9_topk_search"]).df()) is None
+    assert len(got) == 20 and not {300, 350} & set(got["query_id"])
+
+
 def test_threshold_stops_early():
     rng = np.random.default_rng(0)
     index = topk.ThresholdIndex(np.arange(4_000), np.floor(256 * rng.standard_cauchy((4_000, 8))).clip(-10**6, 10**6))

@@ -271,6 +271,24 @@ def organize_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.scan_lake(spark, root).select(*KEY, "timestamp", "close", "volume")
 
 
+JUNK_DAYS = 3  # remainder of the day of the month: Wednesdays in the test tables
+
+
+@query(
+    "organize_outcome",
+    q.with_(q.EVENT_BARS, q.HOLIDAYS) + f"""
+, days AS (SELECT symbol, b.date, count(*) AS n, any_value(c.is_trading_day) AS open FROM bars b JOIN calendar c ON c.date = b.date GROUP BY symbol, b.date),
+judged AS (SELECT *, CASE WHEN NOT open THEN 'drop_non_trading' WHEN {q.DAY} % 7 = {JUNK_DAYS} THEN 'unreadable' ELSE 'already_organised' END AS action FROM days)
+SELECT symbol, date, action, CASE WHEN action = 'already_organised' AND {q.DAY} % 7 <> {JUNK_DAYS + 1} THEN n ELSE 0 END AS stored_bars FROM judged""",
+)
+def organize_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of each file of a dump, some of it unreadable on trading days, and the bars that the lake has of it."""
+    root = work_folder(spark, "lake")
+    plan = maintain.organize_apply(spark, t.fragment_tree(spark, sf_dir, junk=JUNK_DAYS), root)
+    stored = lake.scan_lake(spark, root).groupBy(*KEY).agg(F.count("*").alias("stored_bars"))
+    return plan.join(stored, KEY, "left").select(*KEY, "action", F.coalesce("stored_bars", F.lit(0)).cast("long").alias("stored_bars"))
+
+
 # --- names and symbols ------------------------------------------------------------
 
 @query(

@@ -216,10 +216,10 @@ def stored_lake(spark: SparkSession, made: DataFrame) -> str:
     return root
 
 
-def write_named_fragments(made: DataFrame, root: str, narrow: bool = False) -> None:
+def write_named_fragments(made: DataFrame, root: str, narrow: bool = False, junk: int = 0) -> None:
     """Write each symbol-day as YYYY/MM/SYMBOL_YYYYMMDD.parquet, as an older collector would.
 
-    Every seventh day is junk and the day after it an empty file; even days keep ``volume``
+    Every seventh day (by ``junk``, the remainder of the day of the month) is junk and the day after it an empty file; even days keep ``volume``
     as integers and odd days have no ``count``. ``narrow`` drops ``volume`` two days after the junk, ``high`` and
     ``low`` three days after it.
     """
@@ -237,12 +237,12 @@ def write_named_fragments(made: DataFrame, root: str, narrow: bool = False) -> N
             frame["volume"] = frame["volume"].astype("int64")
         else:
             frame = frame.drop(columns=["count"])
-        if number % 7 == 1:
+        if (number - junk) % 7 == 1:
             frame = frame.iloc[:0]
         if narrow:
-            frame = frame.drop(columns={2: ["volume"], 3: ["high", "low"]}.get(number % 7, []))
+            frame = frame.drop(columns={2: ["volume"], 3: ["high", "low"]}.get((number - junk) % 7, []))
         with system.open_output_stream(path) as out:
-            if number % 7 == 0:
+            if (number - junk) % 7 == 0:
                 out.write(b"not a parquet file")
             else:
                 parquet.write_table(pa.Table.from_pandas(frame, preserve_index=False), out)
@@ -252,7 +252,7 @@ def write_named_fragments(made: DataFrame, root: str, narrow: bool = False) -> N
     named.groupBy("symbol", "date").applyInPandas(write, "name string").write.format("noop").mode("overwrite").save()
 
 
-def fragment_tree(spark: SparkSession, sf_dir: str, narrow: bool = False) -> str:
+def fragment_tree(spark: SparkSession, sf_dir: str, narrow: bool = False, junk: int = 0) -> str:
     root = work_folder(spark, "fragments")
-    write_named_fragments(bars(spark, sf_dir), root, narrow)
+    write_named_fragments(bars(spark, sf_dir), root, narrow, junk)
     return root

@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 from minutebook.functions.guards import ratio
 from minutebook.operators.profiles import day_summary
 from minutebook.schema import KEY
-from minutebook.session import work_folder
 from minutebook.sources.files import file_inventory, with_names
-from minutebook.sources.fragments import fragment_files, scan_fragments
+from minutebook.sources.fragments import checked_files, fragment_footers, scan_fragments
 from minutebook.sources.lake import scan_lake, stored_dates, stored_sizes, write_daily
 
 
@@ -92,15 +91,15 @@ def consolidate_all(
 ) -> DataFrame:
     """Consolidate all pending days in one job and return the per-day result.
 
-    Footers are read once and kept as a table in the work folder. A dry run stops there and
+    Files are listed by their footers, and those of days that are done go no further. A dry run stops there and
     reports what would be combined.
     """
-    listing = work_folder(spark, "fragments")
-    fragment_files(spark, input_root, start, end).write.parquet(listing)
-    files = spark.read.parquet(listing)
+    files = fragment_footers(spark, input_root, start, end)
     if skip_existing and not overwrite:
         done = consolidated_dates(spark, input_root, output_root)
         files = files.join(F.broadcast(done), "date", "left_anti")  # one row per day
+    if not dry_run:
+        files = checked_files(files)
     if dry_run:
         by_symbol = files.filter(F.col("rows") > 0).groupBy(*KEY).agg(F.sum("rows").alias("n"))
         planned = by_symbol.groupBy("date").agg(F.sum("n").alias("row_count"), F.count("*").alias("symbol_count"))

@@ -11,7 +11,7 @@ from minutebook.functions.trading_days import is_trading_day
 from minutebook.operators.quality import purge_apply, purge_plan, quality_facts, quality_scan
 from minutebook.schema import BAR_SCHEMA, KEY, LAKE_SCHEMA, OHLC
 from minutebook.sources.files import file_inventory, remove_folder, with_names
-from minutebook.sources.fragments import bars_by_file, empty_files, fragment_files, read_errors, scan_fragments
+from minutebook.sources.fragments import bars_of_files, checked_files, empty_files, file_footers, fragment_files, read_errors, scan_fragments
 from minutebook.session import work_folder
 from minutebook.sources.lake import PARTITIONS, scan_lake, stored_dates, with_partitions, write_daily
 from minutebook.sources.versions import read_current, write_next
@@ -85,18 +85,23 @@ def organize_counts(plan: DataFrame) -> DataFrame:
 def organize_apply(spark: SparkSession, source_root: str, lake_root: str, **calendar) -> DataFrame:
     """Store the files of a dump in the lake, symbol-days that it holds already left out; the dump itself is not touched.
 
-    Returns the plan. What it moves or finds organised is stored, whether fragments or whole-day files, and nothing else.
+    Returns the plan, where a file that was to be taken but does not open is ``unreadable``. What the plan moves or finds organised is
+    stored, whether fragments or whole-day files, and nothing else.
     """
     held = scan_lake(spark, lake_root).select(*KEY).distinct()
     existing = held.select(fragment_name(F.col("symbol"), F.col("date")).alias("path"))
     folder = work_folder(spark, "plan")
     held.write.parquet(f"{folder}/held")
-    organize_plan(file_inventory(spark, source_root), existing, **calendar).write.parquet(f"{folder}/plan")
-    held, plan = spark.read.parquet(f"{folder}/held"), spark.read.parquet(f"{folder}/plan")
-    taken = plan.filter(F.col("action").isin("move", "already_organised")).select("path")
-    bars = bars_by_file(spark, source_root, is_trading_day(F.col("date"), **calendar), "*.parquet")
-    fresh = bars.join(taken, "path", "left_semi").join(held, KEY, "left_anti")
-    write_daily(fresh.drop("path"), lake_root, existing="add")
+    held = spark.read.parquet(f"{folder}/held")
+    files = checked_files(file_footers(spark, source_root, is_trading_day(F.col("date"), **calendar), "*.parquet"))
+    plan = organize_plan(file_inventory(spark, source_root), existing, **calendar)
+    broken = files.filter("error is not null").select("path", F.lit(True).alias("broken"))
+    taken = F.col("action").isin("move", "already_organised")
+    plan = plan.join(broken, "path", "left").withColumn("action", F.when(taken & F.col("broken"), "unreadable").otherwise(F.col("action")))
+    plan.drop("broken").write.parquet(f"{folder}/plan")
+    plan = spark.read.parquet(f"{folder}/plan")
+    bars = bars_of_files(files.join(plan.filter(taken).select("path"), "path", "left_semi"))
+    write_daily(bars.drop("path").join(held, KEY, "left_anti"), lake_root, existing="add")
     return plan
 
 

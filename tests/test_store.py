@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 import time
 
 import pandas as pd
@@ -10,7 +11,7 @@ from minutebook.functions.times import ms_of_day
 from minutebook.operators.quality import purge_plan, quality_facts
 from minutebook.plans.consolidate import consolidate_all, overall_stats
 from minutebook.plans.daily_build import daily_build
-from minutebook.plans.maintain import organize_apply, organize_counts, purge_lake, scan_tree
+from minutebook.plans.maintain import organize_apply, organize_counts, purge_lake, purge_tree_plan, scan_tree
 from minutebook.schema import INDEX_SCHEMA
 from minutebook.sources import files, fragments, lake, landing, versions
 from minutebook.streaming.ingest import ingest_landing, read_ingested, read_ledger
@@ -136,7 +137,7 @@ def test_purge_rewrites_only_touched_days(spark, tmp_path):
 def test_organise_a_flat_dump(spark, tree, tmp_path):
     root = str(tmp_path / "lake")
     plan = organize_apply(spark, f"{tree}/2024/01", root)
-    assert {r.action: r.files for r in organize_counts(plan).collect()} == {"already_organised": 6, "drop_non_trading": 1, "skip_invalid": 2}
+    assert {r.action: r.files for r in organize_counts(plan).collect()} == {"already_organised": 5, "unreadable": 1, "drop_non_trading": 1, "skip_invalid": 2}
     assert lake.scan_lake(spark, root).select("symbol").distinct().count() == 4
 
 
@@ -210,3 +211,76 @@ def test_ingest_stores_the_same_bars_however_files_fall(spark, tmp_path, files_p
     assert sorted((r.symbol, r.open) for r in read_ingested(spark, stored).collect()) == [("A", 1.0), ("B", 3.0)]
     usable = read_ledger(spark, ledger).filter("reject_reason is null")
     assert sorted((r.symbol, r.records) for r in usable.collect()) == [("A", 1), ("B", 1)]
+
+
+class Counted:
+    """A file that counts the bytes read from it."""
+
+    def __init__(self, file):
+        self.file, self.n = file, 0
+
+    def size(self):
+        return self.file.size()
+
+    def read_at(self, n, at):
+        self.n += n
+        return self.file.read_at(n, at)
+
+
+def test_listing_reads_footers_only(spark, tmp_path):
+    rng = random.Random(1)
+    month = tmp_path / "2024" / "01"
+    month.mkdir(parents=True)
+    for k in range(6):
+        frame = day_frame(f"S{k}", "20240102", n=961, count=1, vwap=1.0)
+        for c in ("open", "high", "low", "close", "volume", "vwap"):
+            frame[c] = [rng.random() for _ in range(961)]
+        frame.to_parquet(month / f"S{k}_20240102.parquet", index=False)
+    read = size = 0
+    for path in month.iterdir():
+        with fragments._opened(f"file:{path}") as file:
+            counted = Counted(file)
+            rows, columns, layout, error = fragments._described(counted)
+            assert (rows, error) == (961, None) and "vwap:double" in columns and "vwap:DOUBLE" in layout
+            read, size = read + counted.n, size + file.size()
+    assert 0 < read < size / 10
+    listed = fragments.fragment_footers(spark, f"file://{tmp_path}")
+    assert listed.agg(F.sum("rows")).first()[0] == 6 * 961
+    bars = fragments.scan_fragments(spark, str(tmp_path), fragments.fragment_files(spark, str(tmp_path)))
+    plan = bars._jdf.queryExecution().toString()
+    assert "MapInArrow" not in plan and "binaryFile" not in plan and "Batched: true" in bars._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert bars.groupBy("symbol").count().filter("count = 961").count() == 6
+
+
+def test_names_that_are_no_plain_paths(spark, tmp_path):
+    """Signs that mean something in globs or URIs, and stores that Arrow does not open."""
+    month = tmp_path / "a b%41" / "2024" / "01"
+    month.mkdir(parents=True)
+    for name in ("A+B", "A B", "A[1]", "A%20B", "A{x}"):
+        day_frame(name, "20240102").assign(symbol=None).to_parquet(month / f"{name}_20240102.parquet", index=False)
+    root = str(tmp_path / "a b%41")
+    listed = fragments.fragment_files(spark, root)
+    assert listed.filter("error is null and rows = 3").count() == 5
+    got = {(r.symbol, r["count"]) for r in fragments.scan_fragments(spark, root, listed).groupBy("symbol").count().collect()}
+    assert got == {(n, 3) for n in ("A+B", "A B", "A[1]", "A%20B", "A{x}")}
+
+
+def test_stores_that_arrow_does_not_open(spark, tree, monkeypatch):
+    want = sorted(map(str, fragments.fragment_files(spark, tree).collect()))
+    monkeypatch.setattr(fragments, "RANGED", {})
+    assert sorted(map(str, fragments.fragment_files(spark, tree).collect())) == want
+
+
+def test_rare_layouts_go_through_python(spark, tree, monkeypatch):
+    want = sorted(map(str, fragments.scan_fragments(spark, tree).collect()))
+    monkeypatch.setattr(fragments, "MOST_LAYOUTS", 1)
+    bars = fragments.scan_fragments(spark, tree)
+    assert "MapInArrow" in bars._jdf.queryExecution().toString()
+    assert sorted(map(str, bars.collect())) == want
+
+
+def test_tree_screens_read_files_once(spark, tree):
+    for made in (scan_tree(spark, tree), purge_tree_plan(spark, tree)):
+        plan = made._jdf.queryExecution().toString()
+        assert "binaryFile" not in plan and made.count() > 0

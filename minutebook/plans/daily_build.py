@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from minutebook.functions.trading_days import is_trading_day, previous_trading_day
@@ -42,22 +42,58 @@ def _kept(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def settled_marks(marks: DataFrame, previous: str = "last_observed", **calendar) -> DataFrame:
-    """Marks with ``ref_price`` and ``reason``, where only accepted days lend their close to the day after.
+# Prices that stand for all of their sign: a verdict hangs on the reference price by its sign alone.
+SIGNS = [None, 0.0, -1.0, 1.0]
+
+
+def _sign(price: Column) -> Column:
+    """The place in SIGNS of what stands for a price."""
+    return F.when(price.isNull(), 0).when(price == 0, 1).when(price < 0, 2).otherwise(3)
+
 
-    Whether a day is accepted can hang on its reference price, so on the day before. The gate is therefore passed again with
-    the rejected days withheld, until no verdict changes: days whose predecessors are settled stay settled, so each pass
-    settles at least one more day of every chain, and mostly all. A pass is a window over one row per symbol-day.
+def accepted_days(marks: DataFrame, previous: str = "last_observed", **calendar) -> DataFrame:
+    """symbol, date and ``_accepted`` of every mark.
+
+    Whether a day is accepted can hang on its reference price, so on whether the day before was. The verdict at a price of
+    each sign is known beforehand, one entry each. The entries of a symbol are folded in the order of days: what is carried along is the last
+    accepted trading day and the price it lends, and of a day's entries that of its price's sign counts. An array holds four small
+    entries per day of a symbol, so never more than the calendar has days for.
     """
+    date, verdict = F.col("date"), F.coalesce("_stored", F.lit(False)) | gate_reason().isNull()
+    tried = marks.select("*", F.posexplode(F.array(*[F.lit(p).cast("double") for p in SIGNS])).alias("sign", "ref_price"))
+    entry = filled_facts(tried).select("symbol", F.struct(
+        "date", "sign", previous_trading_day(date, **calendar).alias("before"), is_trading_day(date, **calendar).alias("open"),
+        "first_open", "last_close", "end_close", verdict.alias("ok"),
+    ).alias("day"))
+
+    def step(state: Column, day: Column) -> Column:
+        lent = F.when(state["date"] == day["before"], state["price"]) if previous != "none" else F.lit(None).cast("double")
+        price = F.coalesce(lent, day["first_open"])
+        counts = (day["sign"] == _sign(price)) & ~F.coalesce(state["judged"] == day["date"], F.lit(False))
+        lends = counts & day["open"] & day["ok"]
+        ends_with = F.coalesce(day["end_close"], price) if previous == "stored" else day["last_close"]
+        return F.struct(
+            F.when(counts, day["date"]).otherwise(state["judged"]).alias("judged"),
+            F.when(lends, day["date"]).otherwise(state["date"]).alias("date"),
+            F.when(lends, ends_with).otherwise(state["price"]).alias("price"),
+            F.when(counts, F.concat(state["verdicts"], F.when(day["ok"], "1").otherwise("0"))).otherwise(state["verdicts"]).alias("verdicts"),
+        )
+
+    none = F.lit(None).cast("string")
+    start = F.struct(none.alias("judged"), none.alias("date"), F.lit(None).cast("double").alias("price"), F.lit("").alias("verdicts"))
+    chains = entry.groupBy("symbol").agg(F.array_sort(F.collect_list("day")).alias("days"))
+    told = chains.select("symbol", F.array_distinct("days.date").alias("dates"), F.aggregate("days", start, step)["verdicts"].alias("verdicts"))
+    each = told.select("symbol", "verdicts", F.posexplode("dates").alias("at", "date"))
+    return each.select("symbol", "date", (F.substring("verdicts", F.col("at") + 1, F.lit(1)) == "1").alias("_accepted"))
+
+
+def settled_marks(marks: DataFrame, previous: str = "last_observed", **calendar) -> DataFrame:
+    """Marks with ``ref_price`` and ``reason``, where only accepted days lend their close to the day after; stored once."""
     columns = marks.columns
-    accepted = F.lit(True)
-    while True:
-        judged = filled_facts(with_reference(marks.withColumn("_accepted", accepted), previous, **calendar))
-        reason = F.when(F.coalesce("_stored", F.lit(False)), None).otherwise(gate_reason()).alias("reason")
-        judged = _kept(judged.select(*columns, "ref_price", "_accepted", reason), "marks")
-        if not judged.where(F.col("reason").isNull() != F.col("_accepted")).take(1):
-            return judged.drop("_accepted")
-        marks, accepted = judged, F.col("reason").isNull()
+    marks = marks.join(accepted_days(marks, previous, **calendar), KEY)
+    judged = filled_facts(with_reference(marks, previous, **calendar))
+    reason = F.when(F.coalesce("_stored", F.lit(False)), None).otherwise(gate_reason()).alias("reason")
+    return _kept(judged.select(*columns, "ref_price", reason), "marks")
 
 
 def build_days(

@@ -1,13 +1,19 @@
 """What must not depend on batches, layouts of other files, or the place a job runs in."""
 
+import datetime as dt
+
 import pandas as pd
 import pytest
+from bars import bar, table
 from pyspark.sql import functions as F
 from test_payloads import R1, R2
 from test_store import day_frame
 
+from minutebook.functions.trading_days import date_span, with_calendar
 from minutebook.operators import payload_parse as parse
-from minutebook.plans.daily_build import daily_build
+from minutebook.operators.filled_gate import marks_with_facts
+from minutebook.plans import daily_build as build_plan
+from minutebook.plans.daily_build import daily_build, settled_marks
 from minutebook.plans.maintain import organize_apply
 from minutebook.session import work_folder
 from minutebook.sources import files, fragments, lake
@@ -43,6 +49,31 @@ def test_days_one_by_one_equal_all_at_once(spark, tmp_path, days, previous):
     assert stored(spark, str(tmp_path / "once")) == stored(spark, str(tmp_path / "each")) != []
 
 
+@pytest.mark.parametrize("previous", ["last_observed", "stored", "none"])
+def test_long_chains_are_settled_in_one_pass(spark, monkeypatch, previous):
+    """Each day is accepted only if the day before was not: it starts flat at the price lent, and ends at 0."""
+    calendar = with_calendar(date_span(spark, "20200102", "20211130")).orderBy("date").collect()
+    days = [dt.datetime.strptime(r.date, "%Y%m%d").date() for r in calendar]
+    rows = [bar(s, f"{d} 1{h}:00", p) for s in "AB" for d in days for h, p in ((0, 5.0), (1, 0.0))]
+    marks = marks_with_facts(table(spark, *rows)).withColumn("_stored", F.lit(None).cast("boolean"))
+    folders = []
+    monkeypatch.setattr(build_plan, "work_folder", lambda spark, label: folders.append(work_folder(spark, label)) or folders[-1])
+    settled = settled_marks(marks, previous)
+    found = {(r.symbol, r.date): (r.reason, r.ref_price) for r in settled.collect()}
+    assert len(folders) == 1 and len(found) == 2 * len(days)
+    state = None  # the last accepted trading day and what it lends
+    for day in calendar:
+        text = day.date
+        lent = state[1] if previous != "none" and state and state[0] == day.prev_trading_day else None
+        price = 5.0 if lent is None else lent
+        want = None if price else "Constant price at $0.00 (961 bars)"
+        assert found[("A", text)] == found[("B", text)] == (want, price)
+        if day.is_trading_day and want is None:
+            state = (text, 0.0 if previous == "last_observed" else price)
+    if previous == "last_observed":
+        assert 400 < sum(reason is not None for reason, _ in found.values()) < 1_000
+
+
 def test_rejected_day_lends_no_price(spark, tmp_path):
     root = str(tmp_path / "lake")
     days = [payload("A", "2024-01-02", ("10:00", -1, -1, -2, -2, 5)), payload("A", "2024-01-03", ("10:00", 5, 6, 5, 6, 5))]

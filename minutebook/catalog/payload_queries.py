@@ -11,10 +11,11 @@ from minutebook.catalog.bar_queries import _filled_sql
 from minutebook.catalog.registry import query
 from minutebook.operators import payload_parse as parse
 from minutebook.plans.daily_build import daily_build
-from minutebook.schema import KEY
+from minutebook.schema import INDEX_SCHEMA, KEY
 from minutebook.session import work_folder
 from minutebook.sources import landing
-from minutebook.sources.lake import scan_lake
+from minutebook.sources.lake import scan_lake, stored_sizes
+from minutebook.sources.versions import read_current
 from minutebook.streaming.ingest import ingest_landing, read_ingested, read_ledger
 
 BAR_SQL = q.with_(q.EVENT_BARS)
@@ -287,3 +288,17 @@ def daily_lake_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     for end in ("20240109", "20240118", "20240131"):
         daily_build(spark, payloads.filter(F.col("date") <= end), root)
     return scan_lake(spark, root).withColumn("vwap", F.round("vwap", 4))
+
+
+@query("build_index", f"SELECT date, count(DISTINCT symbol) AS symbol_count, count(*) AS row_count, true AS true_size FROM ({GATED}) GROUP BY date")
+def build_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metadata index that the build keeps by itself, in two runs with a registry of rejects; sizes are those of the stored files."""
+    root, registry, index = (work_folder(spark, n) for n in ("lake", "registry", "index"))
+    landed = work_folder(spark, "landed")
+    t.partly_negative(t.damaged_payloads(spark, sf_dir)).write.parquet(landed)
+    payloads = spark.read.parquet(landed)
+    for end in ("20240118", "20240131"):
+        daily_build(spark, payloads.filter(F.col("date") <= end), root, registry=registry, index=index)
+    sizes = stored_sizes(spark, root).select("date", (F.col("bytes") / F.lit(1024.0 * 1024.0)).alias("mb"))
+    found = read_current(spark, index, INDEX_SCHEMA).join(sizes, "date")
+    return found.select("date", "symbol_count", "row_count", (F.col("file_size_mb") == F.col("mb")).alias("true_size"))

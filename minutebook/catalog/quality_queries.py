@@ -10,11 +10,11 @@ from minutebook.catalog import tables as t
 from minutebook.catalog.bar_queries import REJECTS, dirty_rejects
 from minutebook.catalog.registry import query
 from minutebook.operators import layers, quality
-from minutebook.plans import maintain
+from minutebook.plans import facts_store, maintain, snapshots
 from minutebook.schema import KEY, REJECT_SCHEMA
 from minutebook.session import work_folder
 from minutebook.sources import landing, versions
-from minutebook.sources.lake import scan_lake
+from minutebook.sources.lake import scan_lake, write_daily
 
 FACTS = (q.DIRTY_BARS, q.FACTS)
 REGISTRY_DATE = "20240110"
@@ -219,6 +219,65 @@ def purge_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("file", *KEY, "reason", "is_special", (F.col("size_bytes") > 0).alias("has_size"))
 
 
+# --- facts and snapshots ----------------------------------------------------------
+
+STILL_DAY, GONE_DAY, FIRST_DAYS = "20240110", "20240105", "20240120"
+CHANGED = f"""
+changed AS (SELECT * REPLACE (CASE WHEN date = '{STILL_DAY}' THEN 0.0 ELSE volume END AS volume) FROM bars WHERE date <> '{GONE_DAY}')"""
+
+
+@query(
+    "facts_refresh",
+    q.with_(q.DIRTY_BARS, CHANGED, q.FACTS.replace("FROM bars)", "FROM changed)")) + f"""
+SELECT symbol, date, n, first_close, all_zeros, all_nulls, zero_volume, flat, negative, violation,
+       CASE WHEN date = '{STILL_DAY}' OR date > '{FIRST_DAYS}' THEN 'computed' ELSE 'kept' END AS action FROM facts""",
+)
+def facts_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored facts after days were added, one was overwritten and one purged, and what the second refresh did with each day."""
+    root, store = work_folder(spark, "lake"), work_folder(spark, "facts")
+    made = t.dirty_bars(spark, sf_dir)
+    write_daily(made.filter(F.col("date") <= FIRST_DAYS), root)
+    facts_store.refresh_facts(spark, root, store)
+    write_daily(made, root)
+    write_daily(made.filter(F.col("date") == STILL_DAY).withColumn("volume", F.lit(0.0)), root, existing="overwrite")
+    maintain.purge_lake(spark, root, made.filter(F.col("date") == GONE_DAY).select(*KEY).distinct())
+    actions = facts_store.refresh_facts(spark, root, store)
+    return facts_store.stored_facts(spark, store).join(actions, "date").select(
+        *KEY, "n", "first_close", "all_zeros", "all_nulls", "zero_volume", "flat", "negative", "violation", "action"
+    )
+
+
+@query(
+    "merged_facts",
+    q.with_(*FACTS) + """
+SELECT symbol, CAST(sum(n) AS BIGINT) AS n, bool_or(negative) AS negative, bool_or(violation) AS violation, bool_and(flat) AS flat,
+       bool_and(all_nulls) AS all_nulls, arg_min_null(first_close, date) AS first_close FROM facts GROUP BY symbol""",
+)
+def merged_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts per symbol over all days, merged from stored facts of symbol-days."""
+    root, store = work_folder(spark, "lake"), work_folder(spark, "facts")
+    write_daily(t.dirty_bars(spark, sf_dir), root)
+    facts_store.refresh_facts(spark, root, store)
+    merged = facts_store.merged_facts(facts_store.stored_facts(spark, store), ["symbol"])
+    return merged.select("symbol", "n", "negative", "violation", "flat", "all_nulls", "first_close")
+
+
+@query(
+    "purge_snapshot",
+    q.with_(*FACTS) + f"""
+SELECT CAST(version AS INTEGER) AS version, symbol, date, n FROM facts, (VALUES (1), (2)) AS v(version)
+WHERE version = 1 OR {q.PURGE_REASON} IS NULL""",
+)
+def purge_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per symbol-day before and after a purge that is one commit; the earlier version stays readable."""
+    root = work_folder(spark, "snapshots")
+    made = t.dirty_bars(spark, sf_dir)
+    before = snapshots.write_days(made, root)
+    after = snapshots.purge_days(spark, root, quality.purge_plan(quality.quality_facts(made)))
+    counted = lambda v: snapshots.scan_snapshot(spark, root, version=v).groupBy(*KEY).agg(F.count("*").alias("n"))
+    return counted(before).withColumn("version", F.lit(1)).unionByName(counted(after).withColumn("version", F.lit(2)))
+
+
 # --- reject registry --------------------------------------------------------------
 
 @query("reject_registry", REJECTS + "SELECT * FROM rejects")

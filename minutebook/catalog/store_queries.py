@@ -201,6 +201,22 @@ def run_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "run_counters",
+    BARS + f"""
+, per_date AS (SELECT date, count(*) AS n, {READABLE} AS ok, {READABLE} AND date BETWEEN '20240103' AND '20240126' AS done FROM bars GROUP BY date)
+SELECT count(*) AS dates_found, count(*) FILTER (WHERE done) AS dates_skipped, count(*) FILTER (WHERE done) AS dates_already_consolidated,
+       count(*) FILTER (WHERE NOT done) AS dates_processed, count(*) FILTER (WHERE ok AND NOT done) AS dates_successful,
+       CAST(coalesce(sum(n) FILTER (WHERE ok AND NOT done), 0) AS BIGINT) AS total_rows FROM per_date""",
+)
+def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a second consolidation run finds, skips and does after a first one over part of the days."""
+    tree, root = t.fragment_tree(spark, sf_dir), work_folder(spark, "lake")
+    consolidate.consolidate_all(spark, tree, root, "20240103", "20240126")
+    totals = consolidate.consolidation_totals(spark, tree, root)
+    return totals.select("dates_found", "dates_skipped", "dates_already_consolidated", "dates_processed", "dates_successful", "total_rows")
+
+
 # --- layout -----------------------------------------------------------------------
 
 DAYS = f"""

@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from minutebook.functions.guards import ratio
+from minutebook.functions.times import in_date_range
 from minutebook.operators.profiles import day_summary
 from minutebook.schema import KEY
 from minutebook.sources.files import file_inventory, with_names
-from minutebook.sources.fragments import checked_files, fragment_footers, scan_fragments
+from minutebook.sources.fragments import FRAGMENT_GLOB, checked_files, fragment_footers, scan_fragments
 from minutebook.sources.lake import scan_lake, stored_dates, stored_sizes, write_daily
 
 
@@ -113,3 +114,31 @@ def consolidate_all(
     days = [r["date"] for r in files.select("date").distinct().collect()]  # one text per day
     stored = day_summary(scan_lake(spark, output_root).filter(F.col("date").isin(days)))
     return date_stats(input_stats(files), stored, stored_sizes(spark, output_root))
+
+
+def run_counts(
+    spark: SparkSession, input_root: str, output_root: str, start: str | None = None, end: str | None = None,
+    overwrite: bool = False, skip_existing: bool = True,
+) -> dict[str, int]:
+    """How many dates a run finds, would skip and has done before, from file names alone. To be asked before the run."""
+    named = with_names(file_inventory(spark, input_root, pattern=FRAGMENT_GLOB)).filter(F.col("symbol").isNotNull() & F.col("date").isNotNull())
+    done = consolidated_dates(spark, input_root, output_root).withColumn("done", F.lit(True))
+    outside = ~in_date_range(F.col("date"), start, end) if start or end else F.lit(False)
+    kept = F.col("done").isNotNull() & F.lit(skip_existing and not overwrite)
+    row = named.select("date").distinct().join(done, "date", "full").withColumn("outside", outside)
+    # a date of the output that the input no longer has counts as done only
+    found = named.select("date").distinct().withColumn("found", F.lit(True))
+    counts = row.join(found, "date", "left").agg(
+        F.count("found").alias("dates_found"), F.count_if(F.col("found") & (F.col("outside") | kept)).alias("dates_skipped"),
+        F.count("done").alias("dates_already_consolidated"),
+    )
+    # The names of the result's fields.
+    return counts.first().asDict()
+
+
+def consolidation_totals(spark: SparkSession, input_root: str, output_root: str, start: str | None = None, end: str | None = None, **options) -> DataFrame:
+    """Consolidate all pending days; one row with the totals and what was found, skipped and done before."""
+    kept = {k: v for k, v in options.items() if k in ("overwrite", "skip_existing")}
+    counts = run_counts(spark, input_root, output_root, start, end, **kept)
+    totals = overall_stats(consolidate_all(spark, input_root, output_root, start, end, **options))
+    return totals.withColumns({name: F.lit(n).cast("long") for name, n in counts.items()})

@@ -14,7 +14,9 @@ from minutebook.operators.profiles import day_summary
 from minutebook.operators.quality import gate_reason, quality_facts, quality_gate, quality_rejects
 from minutebook.schema import KEY
 from minutebook.session import work_folder
+from minutebook.sources.landing import add_to_registry, read_registry
 from minutebook.sources.lake import scan_lake, stored_dates, stored_sizes, write_daily
+from minutebook.sources.versions import upsert_index
 
 
 def due_payloads(
@@ -121,14 +123,18 @@ def build_days(
 def daily_build(
     spark: SparkSession, payloads: DataFrame, lake_root: str, rejects: DataFrame | None = None,
     overwrite: bool = False, fill: str = "day_ref", previous: str = "last_observed",
-    files_per_day: int | None = None, **calendar,
+    files_per_day: int | None = None, registry: str | None = None, index: str | None = None, **calendar,
 ) -> tuple[DataFrame, DataFrame]:
     """Run the build. Returns the per-day summary and the new reject rows.
 
     Parsed bars are staged once in the shared work folder: payload text is read a single
-    time, and the later passes start from columnar data.
+    time, and the later passes start from columnar data. With ``registry``, a folder, symbol-days that earlier runs have registered as rejects are
+    skipped and those of this run are added; with ``index`` the built days are entered there with their true sizes.
     """
     stage = work_folder(spark, "parsed")
+    if registry is not None:
+        known = read_registry(spark, registry)
+        rejects = known if rejects is None else rejects.select(*known.columns).unionByName(known)
     parsed = parse_payloads(due_payloads(payloads, lake_root, rejects, overwrite, **calendar))
     to_bars(parsed, keep_rejects=True).write.parquet(stage)
     staged = spark.read.parquet(stage)
@@ -139,7 +145,16 @@ def daily_build(
     unread = staged.filter(F.col("reject_reason").isNotNull()).select(
         "date", "symbol", F.col("reject_reason").alias("reason")
     )
-    return build_summary(spark, bars, lake_root), unread.unionByName(gated)
+    rejected = unread.unionByName(gated)
+    if registry is not None:
+        rejected = _kept(rejected, "rejects")
+        add_to_registry(rejected, registry)
+    summary = build_summary(spark, bars, lake_root)
+    if index is not None:
+        summary = _kept(summary, "summary")
+        created = F.current_timestamp().cast("timestamp_ntz").alias("created_at")
+        upsert_index(spark, index, summary.filter("files > 0").select("date", "symbol_count", "row_count", "file_size_mb", created))
+    return summary, rejected
 
 
 def build_summary(spark: SparkSession, bars: DataFrame, lake_root: str) -> DataFrame:

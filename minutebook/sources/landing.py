@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from minutebook.functions.symbols import is_valid_symbol, normalize_symbol
 from minutebook.schema import PAYLOAD_SCHEMA, REJECT_SCHEMA
+from minutebook.session import work_folder
 from minutebook.sources.files import path_exists
 
 
@@ -93,6 +94,20 @@ def write_registry(rejects: DataFrame, root: str) -> None:
     )
 
 
+def add_to_registry(rejects: DataFrame, root: str) -> None:
+    """Register further rejects; of a symbol-day that is registered already the first reason stays. Only dates with new rows are rewritten."""
+    spark = rejects.sparkSession
+    known, new = read_registry(spark, root), rejects.select("date", "symbol", "reason")
+    new = new.groupBy("date", "symbol").agg(F.min("reason").alias("reason")).join(known.select("date", "symbol"), ["date", "symbol"], "left_anti")
+    kept = known.join(new.select("date").distinct(), "date", "left_semi")
+    # the dates that are replaced are read here, so the rows are stored first
+    folder = work_folder(spark, "registry")
+    kept.unionByName(new).write.parquet(folder)
+    merged = spark.read.schema(REJECT_SCHEMA).parquet(folder)
+    if merged.take(1):
+        write_registry(merged, root)
+
+
 def read_registry(spark: SparkSession, root: str) -> DataFrame:
     if not path_exists(spark, root):
         return spark.createDataFrame([], REJECT_SCHEMA)

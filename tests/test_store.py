@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 import random
 import time
 
@@ -9,7 +10,8 @@ from pyspark.sql import functions as F
 
 from minutebook.functions.times import ms_of_day
 from minutebook.operators.quality import purge_plan, quality_facts
-from minutebook.plans.consolidate import consolidate_all, overall_stats
+from minutebook.plans import facts_store, snapshots
+from minutebook.plans.consolidate import consolidate_all, overall_stats, run_counts
 from minutebook.plans.daily_build import daily_build
 from minutebook.plans.maintain import organize_apply, organize_counts, purge_lake, purge_tree_plan, scan_tree
 from minutebook.schema import INDEX_SCHEMA
@@ -284,3 +286,98 @@ def test_tree_screens_read_files_once(spark, tree):
     for made in (scan_tree(spark, tree), purge_tree_plan(spark, tree)):
         plan = made._jdf.queryExecution().toString()
         assert "binaryFile" not in plan and made.count() > 0
+
+
+def test_two_writers_on_one_version(spark, tmp_path):
+    """The second reads what the first has left; nothing is lost, and older versions stay."""
+    root = str(tmp_path / "index")
+    entry = lambda d: spark.createDataFrame([(d, 1, 1, 0.5, dt.datetime(2024, 1, 1))], INDEX_SCHEMA)
+    versions.upsert_index(spark, root, entry("20240102"))
+    calls = []
+
+    def slow(existing):
+        rows = versions.upserted_index(existing, entry("20240104"))
+        if not calls:
+            versions.upsert_index(spark, root, entry("20240103"))  # another writer, between this one's reading and its commit
+        calls.append(rows.count())
+        return rows
+
+    assert versions.update(spark, root, INDEX_SCHEMA, slow) == 3 and calls == [2, 3]
+    dates = lambda v: [r.date for r in versions.read_version(spark, root, v, INDEX_SCHEMA).orderBy("date").collect()]
+    assert [dates(v) for v in range(4)] == [[], ["20240102"], ["20240102", "20240103"], ["20240102", "20240103", "20240104"]]
+    with pytest.raises(versions.VersionConflict):
+        versions.write_next(entry("20240105"), root, base=2)
+    assert versions.versions(spark, root) == [1, 2, 3]
+
+
+def test_readers_see_one_version_of_a_purge(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "lake")
+    bars = table(spark, *[bar(s, f"2024-01-0{d} 10:00", p, h=2 * p) for d in (2, 3, 4) for s, p in (("A", 0.0), ("B", 1.0))], bar("A", "2024-01-05 10:00", 0.0))
+    bars = bars.withColumn("ms_of_day", ms_of_day(F.col("timestamp")))
+    first = snapshots.write_days(bars, root)
+    counts = lambda **v: {(r.symbol, r.date): r["count"] for r in snapshots.scan_snapshot(spark, root, **v).groupBy("symbol", "date").count().collect()}
+    whole, seen = counts(), []
+    write_next = snapshots.write_next
+
+    def watched(*args, **options):
+        seen.append(counts())  # all files of the purge are written by now
+        if len(seen) == 1:
+            snapshots.write_days(bars.filter("date = '20240104' and symbol = 'B'").unionByName(bars.filter("date = '20240104' and symbol = 'B'")), root)
+        return write_next(*args, **options)
+
+    monkeypatch.setattr(snapshots, "write_next", watched)
+    done = snapshots.purge_days(spark, root, purge_plan(quality_facts(bars)))
+    assert seen[0] == whole and len(seen) == 2 and done == 3
+    assert counts() == {("B", "20240102"): 1, ("B", "20240103"): 1, ("B", "20240104"): 2}
+    assert counts(version=first) == whole
+    assert [r.date for r in snapshots.snapshot_days(spark, root).orderBy("date").collect()] == ["20240102", "20240103", "20240104"]
+    assert snapshots.scan_snapshot(spark, root, "20240103", "20240103").count() == 1
+    assert snapshots.scan_snapshot(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_refresh_reads_changed_days_only(spark, tmp_path):
+    root, store = str(tmp_path / "lake"), str(tmp_path / "facts")
+    day = lambda d, p: table(spark, bar("A", f"2024-01-0{d} 10:00", p), bar("B", f"2024-01-0{d} 10:01", 1.0)).withColumn("ms_of_day", ms_of_day(F.col("timestamp")))
+    assert facts_store.refresh_facts(spark, root, store).count() == 0 and facts_store.stored_facts(spark, store).count() == 0
+    for d in (2, 3, 4):
+        lake.write_daily(day(d, 1.0), root)
+    actions = lambda: {r.date[-1]: r.action for r in facts_store.refresh_facts(spark, root, store).collect()}
+    assert actions() == {"2": "computed", "3": "computed", "4": "computed"}
+    assert actions() == {"2": "kept", "3": "kept", "4": "kept"}
+    for name in (tmp_path / "lake").rglob("*=20240102/*.parquet"):  # whoever reads this day now fails
+        was = name.stat()
+        name.write_bytes(b"x" * was.st_size)
+        os.utime(name, ns=(was.st_atime_ns, was.st_mtime_ns))
+    lake.write_daily(day(3, 0.0), root, existing="overwrite")
+    lake.write_daily(day(5, 2.0), root)
+    files.remove_folder(spark, f"{root}/year=2024/month=01/date=20240104")
+    assert actions() == {"2": "kept", "3": "computed", "4": "removed", "5": "computed"}
+    got = {(r.symbol, r.date[-1]): (r.n, r.all_zeros) for r in facts_store.stored_facts(spark, store).collect()}
+    assert got == {(s, d): (1, (s, d) == ("A", "3")) for s in "AB" for d in "235"}
+
+
+def test_build_keeps_registry_and_index(spark, tmp_path):
+    root, registry, index = (str(tmp_path / n) for n in ("lake", "registry", "index"))
+    frame = lambda *r: spark.createDataFrame(list(r), "symbol string, date string, payload string")
+    rows = [payload("A", "2024-01-02", 7.0, high=8.0), payload("Z", "2024-01-02", 0.0), ("N", "20240103", "[]")]
+    run = lambda *r, **o: daily_build(spark, frame(*r), root, registry=registry, index=index, **o)
+    run(*rows)
+    registered = {(r.symbol, r.date, r.reason) for r in landing.read_registry(spark, registry).collect()}
+    assert registered == {("Z", "20240102", "All OHLC zeros (961 bars)"), ("N", "20240103", "empty payload")}
+    # known rejects are not parsed again, whatever they hold now; new ones of the same date join them
+    _, rejects = run(payload("N", "2024-01-03", 7.0, high=8.0), payload("B", "2024-01-03", 0.0), payload("C", "2024-01-03", 7.0, high=8.0))
+    assert [r.symbol for r in rejects.collect()] == ["B"]
+    registered = {(r.symbol, r.date) for r in landing.read_registry(spark, registry).collect()}
+    assert registered == {("Z", "20240102"), ("N", "20240103"), ("B", "20240103")}
+    assert {r.symbol for r in lake.scan_lake(spark, root).select("symbol").distinct().collect()} == {"A", "C"}
+    sizes = {r.date: r.bytes / 1048576 for r in lake.stored_sizes(spark, root).collect()}
+    entries = versions.read_current(spark, index, INDEX_SCHEMA).collect()
+    assert {(r.date, r.symbol_count, r.row_count, r.file_size_mb) for r in entries} == {(d, 1, 961, mb) for d, mb in sizes.items()} and len(sizes) == 2
+
+
+def test_run_counts(spark, tree, tmp_path):
+    root = str(tmp_path / "lake")
+    assert run_counts(spark, tree, root, "20240103", "20240105") == {"dates_found": 4, "dates_skipped": 3, "dates_already_consolidated": 0}
+    consolidate_all(spark, tree, root, "20240102", "20240102")
+    assert run_counts(spark, tree, root) == {"dates_found": 4, "dates_skipped": 1, "dates_already_consolidated": 1}
+    assert run_counts(spark, tree, root, overwrite=True)["dates_skipped"] == 0

@@ -2,10 +2,11 @@
 
 A page is cut into blocks at its block-level tags. First pass: each block is classified alone. What lies in a part that is never
 article text (nav, page header, footer, aside, form, or an element whose class, id or role says menu, advert, comments, notice
-and the like) and blocks that are mostly links are dropped; long blocks with enough stop words are kept; long blocks without are kept only
-inside an article; short blocks stay undecided. Second pass: undecided blocks take the label of the nearest decided neighbours; where those
-differ, headings look ahead and others side with the nearer (of equally near ones with the one before). Borders of an article or main element are never crossed, and what lies outside of it is dropped
-if the page has one.
+and the like) and blocks that are mostly links are dropped; long blocks with enough stop words are kept; long blocks without are dropped, or inside an
+article undecided; short blocks stay undecided. Second pass: undecided blocks take the label of the nearest decided neighbours. Where those
+differ, headings look ahead and others side with the nearer (of equally near ones with the one before); inside an article the kept one counts, so
+that a run there goes only between two dropped blocks. Borders of an article or main element count as kept text seen from inside and are never crossed, and what
+lies outside of it is dropped if the page has one.
 
 White space inside a block becomes one space (a single br too, two in a row end the block); scripts, styles, comments of the
 markup and form controls are skipped whole.
@@ -198,9 +199,9 @@ def classify(blocks: list[Block]) -> None:
         else:
             words = WORD.findall(b.text.lower())
             dense = words and sum(w in STOP_WORDS for w in words) >= LEAST_STOP_WORDS * len(words)
-            b.label = "good" if dense or b.region else "bad"
-    # Nearest decided neighbours, and how far they are. A page's ends count as boilerplate; inside an article only its own blocks
-    # count, and of them those that are kept.
+            b.label = "good" if dense else "" if b.region else "bad"
+    # Nearest decided neighbours, and how far they are. A page's ends count as boilerplate, those of an article as text; inside an
+    # article only its own blocks count.
     n = len(blocks)
     before, after = [("bad", 1)] * n, [("bad", 1)] * n
     for near, order, step in ((before, range(n), -1), (after, range(n - 1, -1, -1), 1)):
@@ -208,14 +209,17 @@ def classify(blocks: list[Block]) -> None:
             j = k + step
             if not (0 <= j < n and blocks[j].region == blocks[k].region):
                 near[k] = ("good" if blocks[k].region else "bad", 1)
-            elif blocks[j].label == "good" or (blocks[j].label and not blocks[j].region):
+            elif blocks[j].label:
                 near[k] = (blocks[j].label, 1)
             else:
                 near[k] = (near[j][0], near[j][1] + 1)
     for k, b in enumerate(blocks):
         if not b.label:
             (left, far_left), (right, far_right) = before[k], after[k]
-            b.label = right if b.heading or far_right < far_left else left
+            if b.region:  # a run between two bad blocks is bad
+                b.label = "good" if "good" in (left, right) else "bad"
+            else:
+                b.label = right if b.heading or far_right < far_left else left
 
 
 def main_text(page: str | None) -> str:

@@ -26,6 +26,11 @@ LONG = "This is the first paragraph of the text, and it is long enough to be dec
     (f"<div><a href=1>Home</a></div><h1>Head</h1><div>{LONG}</div><p>End.</p><div>Legal</div>", f"Head\n\n{LONG}\n\nEnd."),
     (f"<form>{LONG}</form><style>p{{}}</style><article><p>one<br><br>two</p><p hidden>x</p></article>", "one\n\ntwo"),
     (f"<article><ul><li><a href=1>{LONG}</a></li></ul><p>kept</p></article>", "kept"),
+    # inside an article too: a line of links goes, and an unmarked notice between two of them, short or without stop words
+    (f"<article><p>{LONG}</p><p><a>One</a> <a>Two</a></p><p>{LONG}</p></article>", f"{LONG}\n\n{LONG}"),
+    (f"<article><p>{LONG}</p><p><a>One</a></p><p>Subscribe today!</p><p><a>Two</a></p><p>{LONG}</p></article>", f"{LONG}\n\n{LONG}"),
+    (f"<article><p>{LONG}</p><p><a>One</a></p><p>{'Buy cheap tickets today! ' * 5}</p><p><a>Two</a></p><p>End.</p></article>", f"{LONG}\n\nEnd."),
+    (f"<article><p>{LONG}</p><p>{'Verse without such words, ' * 5}</p><p>Short.</p></article>", f"{LONG}\n\n{('Verse without such words, ' * 5).strip()}\n\nShort."),
     ("<article><p>İ<script>x</SCRIPT>y</p></article>", "İy"),
 ])
 def test_main_text(page, text):

@@ -19,8 +19,10 @@ from minutebook.llm.common import ascii_lower
 
 BITS_PER_KEY = 16
 BLOCK_WORDS = 4  # longs in a block; each key sets one bit in each
-# A table of at most this many rows (a rule or a block takes under 300 bytes) may be broadcast; larger ones are shuffled.
+# Rules (under 300 bytes each) and blocks of the filter (a number and four longs, under 100 bytes) that may be broadcast; more are shuffled.
+# A block serves 16 keys, so the filter of several million rules still is sent round, and only keys that pass it are shuffled.
 BROADCAST_ROWS = 100_000
+BROADCAST_BLOCKS = 300_000
 SALTS = 32
 
 
@@ -89,11 +91,10 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> Da
         .withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
     )
     bloom, blocks = bloom_filter(listed.select("key"), shape["n"])
-    small = shape["n"] <= BROADCAST_ROWS  # a filter has at most as many blocks as keys
-    possible = _join(keys.withColumn("block", _block(F.col("key"), blocks)), bloom, "block", small)
+    possible = _join(keys.withColumn("block", _block(F.col("key"), blocks)), bloom, "block", blocks <= BROADCAST_BLOCKS)
     for i in range(BLOCK_WORDS):
         possible = possible.where(F.col(f"w{i}").bitwiseAND(_mask(F.col("key"), i)) != 0)
-    exact = _join(possible, listed.select("key", "r_host", "r_path", "verdict"), "key", small)
+    exact = _join(possible, listed.select("key", "r_host", "r_path", "verdict"), "key", shape["n"] <= BROADCAST_ROWS)
     best = (
         exact.where("k_host = r_host and k_path = r_path")
         .groupBy("page_id", "url")

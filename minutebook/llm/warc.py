@@ -4,7 +4,7 @@ Writing: each capture becomes a request, a response (or a revisit of an earlier
 request and the metadata name the response in WARC-Concurrent-To. Spark's text writer stores the records, so files are committed as
 any other job's output and survive a lost executor. Every file is a gzip stream of whole records.
 
-Reading: each file is walked record by record by Content-Length, never by searching for a marker, so payloads may hold anything. The records
+Reading: each file is unpacked and walked record by record by Content-Length, never by searching for a marker, so payloads may hold anything. The records
 of a transaction may lie in any files and any order; requests and metadata are joined to the response they name.
 
 Defined results: a NULL payload is an empty one; a NULL URL is written as an empty target; repeated rows (equal page_id) are captures of their own with
@@ -14,6 +14,7 @@ one identifier for each page_id and payload; no pages give empty archives and no
 from __future__ import annotations
 
 import gzip
+import io
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -21,7 +22,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SALTS = 32
-FILE_CAPTURES = 1_000  # at most so many captures a file: a file is in memory while it is read
+# A file is in memory (compressed) while it is read: it holds at most so many captures, and of payloads over LARGE_BYTES so few that they
+# stay under FILE_BYTES, or one.
+FILE_CAPTURES, FILE_BYTES, LARGE_BYTES = 1_000, 64 << 20, 64 << 10
 WARC_DATE = "2024-01-01T00:00:00Z"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"  # fixed value of the format
 
@@ -103,33 +106,37 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0) -> None:
         ),
     )
     records = F.concat_ws("\n", request, F.when(when, response).otherwise(revisit), metadata)
-    (
-        rows.select(records.alias("value")).write
-        .option("lineSep", "\n").option("compression", "gzip").option("maxRecordsPerFile", FILE_CAPTURES).text(folder)
-    )
+    largest = pages.agg(F.max(F.octet_length("html"))).first()[0] or 0
+    large = F.col("payload_bytes") > LARGE_BYTES
+    parts = [(rows.where(~large), FILE_CAPTURES), (rows.where(large), max(1, FILE_BYTES // largest))] if largest > LARGE_BYTES else [(rows, FILE_CAPTURES)]
+    for part, captures in parts:
+        writer = part.select(records.alias("value")).write.mode("append").option("lineSep", "\n").option("compression", "gzip")
+        writer.option("maxRecordsPerFile", captures).text(folder)
 
 
 def walk_records(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Header fields (names in lower case) and block of each record of a file, plain or gzip."""
-    data = memoryview(gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content)
-    at, end = 0, len(data)
-    while at < end:
-        stop = at
-        head = b""
-        while b"\r\n\r\n" not in head:  # headers are short: look a little further each time
-            stop = min(end, stop + 4096)
-            head = bytes(data[at:stop])
-            if stop == end:
-                break
-        if not head.strip():
+    """Header fields (names in lower case) and block of each record of a file, plain or gzip, unpacked as it is walked.
+
+    A file that is cut within a record, or a header without a length, raises.
+    """
+    stream = io.BytesIO(content)
+    if content[:2] == b"\x1f\x8b":
+        stream = io.BufferedReader(gzip.GzipFile(fileobj=stream), 1 << 20)
+    while True:
+        line = stream.readline()
+        while line and not line.strip():
+            line = stream.readline()
+        if not line:
             return
-        cut = head.index(b"\r\n\r\n")
-        lines = head[:cut].decode("utf-8", "replace").split("\r\n")
-        fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
-        at += cut + 4
+        fields = {}
+        while (line := stream.readline()).strip():
+            name, _, value = line.decode("utf-8", "replace").partition(":")
+            fields[name.strip().lower()] = value.strip()
         size = int(fields["content-length"])
-        yield fields, bytes(data[at:at + size])
-        at += size + 4
+        block = stream.read(size)
+        if len(block) < size:
+            raise ValueError(f"record cut short: {len(block)} of {size} bytes")
+        yield fields, block
 
 
 def _row(fields: dict[str, str], block: bytes) -> tuple:

@@ -153,3 +153,44 @@ def test_op8_against_brute_force(spark):
     }
     got = queries.QUERIES["op8_warc"](spark, SF).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()
     assert {tuple(r) for r in got} == want and len(got) == len(pages)
+
+
+def test_filter_of_many_rules_is_sent_round(spark):
+    """Beyond the rules that may be broadcast the filter still is, and only keys that pass it are shuffled."""
+    rules = spark.range(300_000).selectExpr("concat('h', id, '.com') AS host", "'/a/' AS path", "'block' AS verdict")
+    urls = [f"http://{h}.h{k}.com/{p}/x" for k in range(0, 600_000, 60_001) for h in ("a", "b") for p in ("a", "b")]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    judged = url_filter.judge_urls(pages, rules)
+    plan = judged._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [block" in plan and "BroadcastHashJoin [key" not in plan
+    assert {r["page_id"] for r in judged.collect() if r["verdict"] == "block"} == {
+        n for n, u in enumerate(urls) if "/a/" in u and int(u.split(".h")[1].split(".")[0]) < 300_000}
+
+
+def test_long_urls(spark):
+    pages = spark.createDataFrame([(1, "http://" + "a." * 3_000 + "net/es/" + "x/" * 50_000), (2, "http://net/" + "es/" * 100_000)], "page_id long, url string")
+    rules = spark.createDataFrame(queries.URL_RULES, "host string, path string, verdict string")
+    got = {r["page_id"]: (r["rule"], len(r["host"]), len(r["path"])) for r in url_filter.judge_urls(pages, rules).collect()}
+    assert got == {1: ("net/es/", 6_003, 100_004), 2: ("net/es/", 3, 300_001)}
+
+
+def test_archives_of_large_payloads(spark, tmp_path, monkeypatch):
+    """40 payloads of 10 MB: no file holds more than the bytes allowed, small ones lie apart."""
+    pages = spark.range(60).selectExpr("id AS page_id", "'http://a/' AS url", "CASE WHEN id < 40 THEN concat(id, repeat('x', 10000000)) ELSE string(id) END AS html")
+    folder = tmp_path / "w"
+    warc.write_archives(pages, str(folder))
+    sizes = []
+    for file in folder.glob("part-*"):
+        blocks = [len(block) for _, block in warc.walk_records(file.read_bytes())]
+        sizes.append(sum(blocks))
+    assert sum(sizes) > 400_000_000 and max(sizes) <= warc.FILE_BYTES
+    got = warc.read_records(spark, str(folder)).where("record_type = 'response'").selectExpr("octet_length(payload) AS n").groupBy("n").count().collect()
+    assert sorted(map(tuple, got)) == [(2, 20), (10_000_001, 10), (10_000_002, 30)]
+
+
+def test_cut_archives_raise():
+    whole = b"WARC/1.1\r\nContent-Length: 5\r\n\r\nhello\r\n\r\n"
+    assert [block for _, block in warc.walk_records(whole * 2)] == [b"hello"] * 2
+    for cut in (whole[:-6], whole[:-4].replace(b"Content-Length", b"Length")):
+        with pytest.raises((ValueError, KeyError)):
+            list(warc.walk_records(cut))

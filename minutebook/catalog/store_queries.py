@@ -14,7 +14,7 @@ from minutebook.operators import profiles
 from minutebook.plans import consolidate, maintain
 from minutebook.schema import INDEX_SCHEMA, KEY
 from minutebook.session import work_folder
-from minutebook.sources import files, fragments, lake, landing, versions
+from minutebook.sources import files, fragments, lake, landing, versions, zones
 
 DAY = "20240117"
 BARS = q.with_(q.EVENT_BARS)
@@ -52,6 +52,16 @@ def symbol_day_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _row(lake.symbol_day(stored, "CLICK", DAY))
 
 
+@query("zone_lookup", q.with_(USER_BARS) + f"SELECT {ROW} FROM bars WHERE date = '{DAY}' AND symbol IN ('SCX', 'SDD', 'SZR') ")
+def zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three symbol-days of a lake whose files are ranges of symbols, each from the files that can hold it."""
+    root, store = work_folder(spark, "lake"), work_folder(spark, "zones")
+    zones.write_clustered(t.bars(spark, sf_dir, by_user=True), root)
+    zones.refresh_zones(spark, root, store)
+    one, two, three = (zones.lookup(spark, root, store, s, DAY) for s in ("SCX", "SDD", "SZR"))
+    return _row(one.unionByName(two).unionByName(three))
+
+
 @query("write_fragments", BARS + f"SELECT {ROW} FROM bars")
 def write_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One folder per symbol-day, read back."""

@@ -15,7 +15,7 @@ from minutebook.plans.consolidate import consolidate_all, overall_stats, run_cou
 from minutebook.plans.daily_build import daily_build
 from minutebook.plans.maintain import organize_apply, organize_counts, purge_lake, purge_tree_plan, scan_tree
 from minutebook.schema import INDEX_SCHEMA
-from minutebook.sources import files, fragments, lake, landing, versions
+from minutebook.sources import files, fragments, lake, landing, versions, zones
 from minutebook.streaming.ingest import ingest_landing, read_ingested, read_ledger
 
 
@@ -381,3 +381,28 @@ def test_run_counts(spark, tree, tmp_path):
     consolidate_all(spark, tree, root, "20240102", "20240102")
     assert run_counts(spark, tree, root) == {"dates_found": 4, "dates_skipped": 1, "dates_already_consolidated": 1}
     assert run_counts(spark, tree, root, overwrite=True)["dates_skipped"] == 0
+
+
+def test_lookup_on_a_huge_day_reads_one_file(spark, tmp_path):
+    root, store = str(tmp_path / "a lake"), str(tmp_path / "zones")
+    bars = spark.range(400 * 30).select(
+        F.format_string("S%03d", F.col("id") % 400).alias("symbol"), F.lit("20240102").alias("date"),
+        (F.lit("2024-01-02 10:00").cast("timestamp_ntz") + F.make_dt_interval(mins=(F.col("id") / 400).cast("int"))).alias("timestamp"),
+        F.lit(36_000_000).cast("long").alias("ms_of_day"), *[F.col("id").cast("double").alias(c) for c in ("open", "high", "low", "close", "volume")],
+    )
+    zones.write_clustered(bars, root, tasks=8)
+    zones.write_clustered(bars.filter("symbol < 'S010'").withColumn("date", F.lit("20240103")), root)
+    assert zones.refresh_zones(spark, root, store) == 2 and zones.refresh_zones(spark, root, store) == 0
+    assert len([r for r in files.file_inventory(spark, root).collect() if "date=20240102" in r.path]) == 8
+    opened = 0
+    for symbol in ("S000", "S123", "S399"):
+        found = zones.lookup(spark, root, store, symbol, "20240102")
+        opened += len(found.inputFiles())
+        got = sorted(map(tuple, found.collect()))
+        assert len(got) == 30 and got == sorted(map(tuple, lake.symbol_day(lake.scan_lake(spark, root), symbol, "20240102").collect()))
+    assert opened <= 4  # a symbol may lie across two files
+    assert zones.lookup(spark, root, store, "T", "20240102").count() == zones.lookup(spark, root, store, "S001", "20240104").count() == 0
+    zones.write_clustered(bars.filter("symbol = 'S123'").withColumns({"symbol": F.lit("S500"), "date": F.lit("20240103")}), root)
+    assert zones.lookup(spark, root, store, "S500", "20240103").count() == 0  # not known yet
+    assert zones.refresh_zones(spark, root, store) == 1
+    assert zones.lookup(spark, root, store, "S500", "20240103").count() == 30

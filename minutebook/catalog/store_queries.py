@@ -52,6 +52,12 @@ def symbol_day_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _row(lake.symbol_day(stored, "CLICK", DAY))
 
 
+@query("scan_day_files", BARS + f"SELECT {ROW} FROM bars WHERE date BETWEEN '20240110' AND '20240119'")
+def scan_day_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten days from a tree of whole-day files."""
+    return _row(fragments.scan_day_files(spark, t.day_file_tree(spark, sf_dir), "20240110", "20240119"))
+
+
 @query("zone_lookup", q.with_(USER_BARS) + f"SELECT {ROW} FROM bars WHERE date = '{DAY}' AND symbol IN ('SCX', 'SDD', 'SZR') ")
 def zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three symbol-days of a lake whose files are ranges of symbols, each from the files that can hold it."""

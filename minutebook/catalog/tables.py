@@ -256,3 +256,23 @@ def fragment_tree(spark: SparkSession, sf_dir: str, narrow: bool = False, junk:
     root = work_folder(spark, "fragments")
     write_named_fragments(bars(spark, sf_dir), root, narrow, junk)
     return root
+
+
+def day_file_tree(spark: SparkSession, sf_dir: str) -> str:
+    """Each day as one file YYYY/MM/YYYYMMDD.parquet, as an older collector would."""
+    root = work_folder(spark, "day-files")
+
+    def write(day):
+        import pyarrow as pa
+        from pyarrow import fs, parquet
+
+        date = day["date"].iloc[0]
+        plain = root.removeprefix("file://").removeprefix("file:")
+        system, base = fs.FileSystem.from_uri(root) if "://" in plain else (fs.LocalFileSystem(), plain)
+        system.create_dir(f"{base}/{date[:4]}/{date[4:6]}")
+        with system.open_output_stream(f"{base}/{date[:4]}/{date[4:6]}/{date}.parquet") as out:
+            parquet.write_table(pa.Table.from_pandas(day.sort_values(["symbol", "timestamp"]), preserve_index=False), out)
+        return day[["date"]].iloc[:1]
+
+    bars(spark, sf_dir).groupBy("date").applyInPandas(write, "date string").write.format("noop").mode("overwrite").save()
+    return root

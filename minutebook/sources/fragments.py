@@ -12,7 +12,7 @@ from functools import reduce
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyarrow import fs, parquet
+from pyarrow import parquet
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -22,7 +22,7 @@ from minutebook.functions.symbols import date_of_file, symbol_of_file
 from minutebook.functions.times import date_text, in_date_range, ms_of_day
 from minutebook.schema import BAR_OPTIONAL, BAR_REQUIRED, BAR_SCHEMA, BAR_TYPES
 from minutebook.session import work_folder
-from minutebook.sources.files import path_exists
+from minutebook.sources.files import arrow_opens, arrow_place, file_inventory, path_exists
 
 FRAGMENT_GLOB = "*_*.parquet"
 FILES_SCHEMA = (
@@ -31,8 +31,6 @@ FILES_SCHEMA = (
 ARROW_TYPES = {
     "timestamp": pa.timestamp("us"), "date": pa.string(), "symbol": pa.string(), "ms_of_day": pa.int64(), "count": pa.int64(),
 }
-# How a path's scheme is called by Arrow, for the stores it can open by seek. Files of any other store are read whole.
-RANGED = {"": "", "file": "", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "hdfs": "hdfs", "abfs": "abfs", "abfss": "abfss"}
 MAGIC = b"PAR1"
 PLAIN_TYPES = {"INT32", "INT64", "INT96", "FLOAT", "DOUBLE"}
 MOST_LAYOUTS = 64  # read by Spark in one go; the files of rarer ones go through Python
@@ -40,16 +38,8 @@ MOST_LAYOUTS = 64  # read by Spark in one go; the files of rarer ones go through
 
 # --- footers ----------------------------------------------------------------------
 
-def _scheme(path: str) -> str:
-    return path.split(":", 1)[0] if ":" in path.split("/", 1)[0] else ""
-
-
 def _opened(path: str) -> pa.NativeFile:
-    scheme = _scheme(path)
-    if RANGED[scheme]:
-        system, place = fs.FileSystem.from_uri(RANGED[scheme] + path.removeprefix(scheme))
-    else:
-        system, place = fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    system, place = arrow_place(path)
     return system.open_input_file(place)
 
 
@@ -114,9 +104,8 @@ def _footers_of_contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
         yield _listed(batch, [_described(pa.BufferReader(content.as_py())) for content in batch.column("content")])
 
 
-def _binary_files(spark: SparkSession, root: str, keep: Column | None, pattern: str) -> DataFrame:
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
-    name = _unquoted(F.col("_metadata.file_name"))
+def _named(files: DataFrame, keep: Column | None) -> DataFrame:
+    name = F.element_at(F.split("path", "/"), -1)
     named = files.withColumns({"symbol": symbol_of_file(name), "date": date_of_file(name)})
     return named if keep is None else named.filter(keep)
 
@@ -128,10 +117,12 @@ def file_footers(spark: SparkSession, root: str, keep: Column | None = None, pat
     """
     if not path_exists(spark, root):
         return spark.createDataFrame([], FILES_SCHEMA)
-    files = _binary_files(spark, root, keep, pattern)
-    if _scheme(root) in RANGED:
-        return files.select("path", "length", "symbol", "date").mapInArrow(_footers, FILES_SCHEMA)
-    return files.select("path", "length", "symbol", "date", "content").mapInArrow(_footers_of_contents, FILES_SCHEMA)
+    if arrow_opens(spark, root):
+        files = _named(file_inventory(spark, root, pattern=pattern), keep)
+        # a folder of many files is listed by one task and opened by many
+        return files.select("path", "length", "symbol", "date").repartition("path").mapInArrow(_footers, FILES_SCHEMA)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
+    return _named(files, keep).select("path", "length", "symbol", "date", "content").mapInArrow(_footers_of_contents, FILES_SCHEMA)
 
 
 # --- files that only Python reads -------------------------------------------------
@@ -318,6 +309,19 @@ def scan_fragments(spark: SparkSession, root: str, files: DataFrame | None = Non
     return bars_of_files(fragment_files(spark, root) if files is None else files).drop("path")
 
 
+def scan_day_files(spark: SparkSession, root: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """The bars of a date range from whole-day files YYYY/MM/YYYYMMDD.parquet; only files of those days are opened.
+
+    A file that cannot be read ends the scan.
+    """
+    keep = F.col("symbol").isNull() & in_date_range(F.col("date"), start, end)
+    files = _kept(file_footers(spark, root, keep, "[0-9]*.parquet"), "footers")
+    broken = files.filter("error is not null").take(1)
+    if broken:
+        raise ValueError(f"{broken[0]['path']}: {broken[0]['error']}")
+    return bars_of_files(files).drop("path")
+
+
 def bars_of_files(files: DataFrame) -> DataFrame:
     """The bars of the readable files of a listing, with the ``path`` they come from."""
     spark = files.sparkSession

@@ -270,7 +270,8 @@ def test_names_that_are_no_plain_paths(spark, tmp_path):
 
 def test_stores_that_arrow_does_not_open(spark, tree, monkeypatch):
     want = sorted(map(str, fragments.fragment_files(spark, tree).collect()))
-    monkeypatch.setattr(fragments, "RANGED", {})
+    monkeypatch.setattr(files, "ARROW_SCHEMES", {})
+    assert files.file_inventory(spark, tree).filter("path like '%.parquet' and length > 0").count() == 9
     assert sorted(map(str, fragments.fragment_files(spark, tree).collect())) == want
 
 
@@ -406,3 +407,35 @@ def test_lookup_on_a_huge_day_reads_one_file(spark, tmp_path):
     assert zones.lookup(spark, root, store, "S500", "20240103").count() == 0  # not known yet
     assert zones.refresh_zones(spark, root, store) == 1
     assert zones.lookup(spark, root, store, "S500", "20240103").count() == 30
+
+
+def test_inventory_is_listed_by_tasks(spark, tmp_path):
+    """Folders of any depth; hidden files and folders stay out; both ways list the same."""
+    for place in ("a", "2024/b", "2024/01/c", "2024/01/x/y/d", "2024/_tmp/e", ".h/f", "2024/01/_g", "2024/02/x y%20+/i"):
+        path = tmp_path / f"{place}.parquet"
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(b"12345")
+    (tmp_path / "2024" / "01" / "z.txt").write_bytes(b"1")
+    listed = files.file_inventory(spark, str(tmp_path))
+    assert "binaryFile" not in listed._jdf.queryExecution().toString()
+    got = sorted(map(tuple, listed.collect()))
+    by_index = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(str(tmp_path))
+    assert got == sorted(map(tuple, by_index.select("path", "length").collect())) and len(got) == 5
+    flat = files.file_inventory(spark, f"file://{tmp_path}/2024", recursive=False)
+    assert [r.path.rsplit("/", 1)[1] for r in flat.collect()] == ["b.parquet"]
+
+
+def test_day_files_of_a_range(spark, tmp_path):
+    for day in ("20231229", "20240102", "20240103", "20240201"):
+        folder = tmp_path / day[:4] / day[4:6]
+        folder.mkdir(parents=True, exist_ok=True)
+        frame = pd.concat([day_frame("A", day, stamp="ns"), day_frame("B", day, stamp="ns")])
+        (frame.assign(volume=frame["volume"].astype("int64")) if day == "20240103" else frame).to_parquet(folder / f"{day}.parquet", index=False)
+    (tmp_path / "2024" / "02" / "20240202.parquet").write_bytes(b"junk outside the range")
+    found = fragments.scan_day_files(spark, str(tmp_path), "20240101", "20240131")
+    assert sorted(f.rsplit("/", 1)[1] for f in found.inputFiles()) == ["20240102.parquet", "20240103.parquet"]
+    assert {(r.date, r.symbol): r.v for r in found.groupBy("date", "symbol").agg(F.sum("volume").alias("v")).collect()} == {
+        (d, s): 6.0 for d in ("20240102", "20240103") for s in "AB"}
+    with pytest.raises(ValueError, match="20240202"):
+        fragments.scan_day_files(spark, str(tmp_path), "20240101")
+    assert fragments.scan_day_files(spark, str(tmp_path / "none")).count() == 0

@@ -112,9 +112,9 @@ def test_rows_are_dropped_one_by_one(spark):
         (1, a), (2, edited(a.split(), 30)), (2, b), (3, b), (4, c), (4, edited(c.split(), 50)), (None, a), (None, c + " end"),
         (None, d), (None, edited(d.split(), 9)), (5, None), (5, None), (6, None), (None, ""), (None, ""),
     ]
-    docs = spark.createDataFrame([(*r, 7) for r in rows], "doc_id long, text string, component_id int")
+    docs = spark.createDataFrame([(*r, 7, 77) for r in rows], "doc_id long, text string, component_id int, _row int")
     got = pipeline.near_duplicates(spark, docs, SF).collect()
-    assert {tuple(r)[2] for r in got} == {7}
+    assert {tuple(r)[2:] for r in got} == {(7, 77)}
     ids = sorted(((r["doc_id"] or 0), (r["text"] or "")[:1]) for r in got)
     assert ids == [(0, ""), (0, ""), (0, "d"), (1, "a"), (2, "b"), (4, "c"), (5, ""), (6, "")]
 

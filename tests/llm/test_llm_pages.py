@@ -57,6 +57,31 @@ def test_twin(spark, name):
     assert compare.difference(got, compare.duck(SF).execute(queries.SQL[name]).df()) is None
 
 
+WARC_SQL = """
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex FROM pages),
+named AS (SELECT *, min(page_id) OVER (PARTITION BY hex) AS first_id FROM payloads)
+SELECT page_id, CAST(octet_length(encode(body)) AS BIGINT) AS payload_bytes,
+  translate(array_to_string(list_transform([1, 11, 21, 31], lambda i: to_base(CAST('0x' || substr(hex, i, 10) AS BIGINT), 32, 8)), ''),
+    '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS payload_digest,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first_id THEN first_id END AS refers_to FROM named
+"""
+
+
+def test_archives_against_sql(spark, tmp_path):
+    """Query and SQL agree, copies and NULL payloads among the pages."""
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    more = pages.selectExpr("page_id + 100000 AS page_id", "url", "CASE WHEN page_id % 5 = 0 THEN html WHEN page_id % 5 = 1 THEN 'one' WHEN page_id % 5 = 2 THEN NULL ELSE concat(page_id, html) END AS html")
+    pages.union(more).coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    got = queries.QUERIES["op8_warc"](spark, str(tmp_path)).toPandas()
+    con = compare.duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    want = con.execute(WARC_SQL).df()
+    for frame in (got, want):
+        frame["refers_to"] = frame["refers_to"].astype("float64")
+    assert compare.difference(got, want) is None and (got["record_type"] == "revisit").sum() > 100
+
+
 def test_url_rules(spark):
     urls = [
         None, "", "no scheme", "http://", "http://com", "http://com/", "HTTP://A.ExAmPlE.CoM/en/x?y#z", "x://www.example.com/en/",

@@ -120,3 +120,78 @@ def test_bounded_sample_repeats(spark):
     rows = spark.range(5_000).withColumnRenamed("id", "doc_id")
     a, b = (sorted(r[0] for r in bounded_sample(rows.repartition(n), "doc_id", 100).collect()) for n in (3, 7))
     assert a == b and len(a) == 100
+
+
+def test_scores_of_whole_texts_against_a_plain_network():
+    """Byte by byte, state by state: the mean over all bytes of what a window's two directions say."""
+    rng = np.random.default_rng(2)
+    h, names = 3, ("a", "b", "c")
+    cell = lambda: (rng.normal(0, 0.6, (256, 3 * h)).astype(np.float32), rng.normal(0, 0.6, (3 * h, h)).astype(np.float32), rng.normal(0, 0.3, (h, 1)).astype(np.float32))
+    model = language_gru.Model(names, cell(), cell(), rng.normal(0, 1, (3, 2 * h)).astype(np.float32), rng.normal(0, 0.5, (3, 1)).astype(np.float32))
+
+    def states(data, weights):
+        table, recurrent, bias = (w.astype(float) for w in weights)
+        state, out = [0.0] * h, []
+        for byte in data:
+            mixed = [sum(recurrent[k][j] * state[j] for j in range(h)) for k in range(3 * h)]
+            gate = [min(1.0, max(0.0, mixed[k] + table[byte][k])) for k in range(2 * h)]
+            new = [min(1.0, max(-1.0, (mixed[2 * h + k] + bias[k][0]) * gate[h + k] + table[byte][2 * h + k])) for k in range(h)]
+            state = [state[k] + gate[k] * (new[k] - state[k]) for k in range(h)]
+            out.append(state)
+        return out
+
+    def plain(text):
+        data, total = text.encode(), [0.0] * 3
+        for at in range(0, len(data), language_gru.WINDOW):
+            window = data[at:at + language_gru.WINDOW]
+            padded = window.ljust(language_gru.WINDOW, b" ")
+            ahead, behind = states(padded, model.forward), states(padded[::-1], model.backward)[::-1]
+            for t in range(len(window)):
+                both = ahead[t] + behind[t]
+                raw = [np.exp(sum(float(model.output[k][j]) * both[j] for j in range(2 * h)) + float(model.bias[k][0])) for k in range(3)]
+                total = [a + b / sum(raw) for a, b in zip(total, raw, strict=True)]
+        return [x / max(1, len(data)) for x in total]
+
+    texts = ["", "x", "Über die Brücke.", "the quick brown fox " * 20, "y" * 128, "z " * 64 + "é"]
+    got = language_gru.document_probabilities(model, pa.array(texts + [None]))
+    assert np.allclose(got, [plain(t) for t in texts] + [[0.0] * 3], atol=1e-5)
+
+
+def test_weights_and_scores_against_plain_ftrl():
+    """One coordinate at a time, by the update rule."""
+    rng = np.random.default_rng(3)
+    words = [f"w{k}" for k in range(12)]
+    texts = [" ".join(rng.choice(words[:6] if k % 3 else words[4:], 8)) for k in range(90)] + ["", "w1"]
+    labels = np.array([float(k % 3 == 0) for k in range(len(texts))])
+    hasher = toxicity.Hasher()
+
+    def features(text):
+        counts = {}
+        for _, _, index, _ in hasher.batches(pa.array([text])):
+            for i in index.tolist():
+                counts[i] = counts.get(i, 0) + 1
+        return set(counts) | {int(toxicity._repeated(np.int64(i))) for i, n in counts.items() if n > 1}
+
+    sets, z, n, bias = [features(t) for t in texts], {}, {}, [0.0, 0.0]
+
+    def weight(i):
+        at = z.get(i, 0.0)
+        if abs(at) <= toxicity.L1:
+            return 0.0
+        return -(at - np.sign(at) * toxicity.L1) / ((toxicity.BETA + n[i] ** 0.5) / toxicity.ALPHA + toxicity.L2)
+
+    base = lambda: -bias[0] / ((toxicity.BETA + bias[1] ** 0.5) / toxicity.ALPHA)
+    chance = lambda s: 1 / (1 + np.exp(-(sum(map(weight, s)) + base())))
+    for _ in range(toxicity.PASSES):
+        for d in np.random.default_rng(5).permutation(len(texts)):
+            g = chance(sets[d]) - labels[d]
+            for i, w in [(i, weight(i)) for i in sets[d]]:
+                z[i] = z.get(i, 0.0) + g - ((n.get(i, 0.0) + g * g) ** 0.5 - n.get(i, 0.0) ** 0.5) / toxicity.ALPHA * w
+                n[i] = n.get(i, 0.0) + g * g
+            was = base()
+            bias = [bias[0] + g - ((bias[1] + g * g) ** 0.5 - bias[1] ** 0.5) / toxicity.ALPHA * was, bias[1] + g * g]
+    model = toxicity.train(pa.array(texts, pa.large_string()), labels)
+    want = {i: weight(i) for i in z if weight(i)}
+    assert len(want) > 5 and dict(zip(model.index.tolist(), model.weight.tolist(), strict=True)) == pytest.approx(want, rel=1e-4)
+    fresh = [*texts[:20], "w0 w0 w11", "never met"]
+    assert toxicity.scorer(model)(pa.array(fresh)).tolist() == pytest.approx([chance(features(t)) for t in fresh], abs=1e-5)

@@ -11,7 +11,7 @@ from minutebook.catalog.bar_queries import USER_BARS
 from minutebook.catalog.registry import query
 from minutebook.functions import symbols, times, trading_days
 from minutebook.operators import profiles
-from minutebook.plans import consolidate, maintain
+from minutebook.plans import consolidate, maintain, relocate
 from minutebook.schema import INDEX_SCHEMA, KEY
 from minutebook.session import work_folder
 from minutebook.sources import files, fragments, lake, landing, versions, zones
@@ -321,6 +321,44 @@ def organize_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.join(stored, KEY, "left").select(*KEY, "action", F.coalesce("stored_bars", F.lit(0)).cast("long").alias("stored_bars"))
 
 
+MOVED = f"""
+days AS (SELECT symbol, b.date, count(*) AS n, any_value(c.is_trading_day) AS open FROM bars b JOIN calendar c ON c.date = b.date GROUP BY symbol, b.date),
+moved AS (
+  SELECT symbol, date, CASE WHEN open THEN 'move' ELSE 'drop_non_trading' END AS action,
+         CASE WHEN NOT open THEN 'dropped' WHEN {q.DAY} % 2 = 0 THEN 'already_there' ELSE 'moved' END AS outcome,
+         CASE WHEN open AND {q.DAY} % 7 = {JUNK_DAYS + 1} THEN 0 WHEN open AND {q.DAY} % 7 <> {JUNK_DAYS} THEN CAST(n AS DOUBLE) END AS stored_rows
+  FROM days)"""
+
+
+def _moved(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """Manifest and target of a flat dump's move, after a run that ended when the files of even days were copied."""
+    dump, root = t.fragment_tree(spark, sf_dir, junk=JUNK_DAYS, flat=True), work_folder(spark, "organised")
+    plan = maintain.organize_plan(files.file_inventory(spark, dump, recursive=False))
+    relocate.relocate_files(spark, plan.filter(F.substring("date", 7, 2).cast("int") % 2 == 0), root)
+    return relocate.organize_files(spark, dump, root), root
+
+
+@query("organize_move", q.with_(q.EVENT_BARS, q.HOLIDAYS, MOVED) + "SELECT symbol, date, action, outcome, stored_rows FROM moved")
+def organize_move(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of each file of a flat dump that was moved in two runs, the first cut short, and the rows it has where it lies now."""
+    manifest, root = _moved(spark, sf_dir)
+    rows = fragments.file_footers(spark, root).select(*KEY, F.col("rows").cast("double").alias("stored_rows"))  # has NULLs
+    named = files.with_names(manifest.withColumnRenamed("bytes", "length"))
+    return named.join(rows, KEY, "left").select(*KEY, "action", "outcome", "stored_rows")
+
+
+@query(
+    "organize_totals",
+    q.with_(q.EVENT_BARS, q.HOLIDAYS, MOVED) + """
+SELECT count(*) AS files_found, count(*) FILTER (WHERE outcome = 'moved') AS files_moved,
+       count(*) FILTER (WHERE outcome = 'dropped') AS files_deleted_non_trading, CAST(0 AS BIGINT) AS files_skipped,
+       count(*) FILTER (WHERE outcome = 'already_there') AS files_already_organised, CAST(0 AS BIGINT) AS errors FROM moved""",
+)
+def organize_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters of the same move."""
+    return relocate.relocation_totals(_moved(spark, sf_dir)[0]).drop("bytes_moved")
+
+
 # --- names and symbols ------------------------------------------------------------
 
 @query(

@@ -216,8 +216,8 @@ def stored_lake(spark: SparkSession, made: DataFrame) -> str:
     return root
 
 
-def write_named_fragments(made: DataFrame, root: str, narrow: bool = False, junk: int = 0) -> None:
-    """Write each symbol-day as YYYY/MM/SYMBOL_YYYYMMDD.parquet, as an older collector would.
+def write_named_fragments(made: DataFrame, root: str, narrow: bool = False, junk: int = 0, flat: bool = False) -> None:
+    """Write each symbol-day as YYYY/MM/SYMBOL_YYYYMMDD.parquet, or ``flat`` without the folders, as an older collector would.
 
     Every seventh day (by ``junk``, the remainder of the day of the month) is junk and the day after it an empty file; even days keep ``volume``
     as integers and odd days have no ``count``. ``narrow`` drops ``volume`` two days after the junk, ``high`` and
@@ -248,13 +248,14 @@ def write_named_fragments(made: DataFrame, root: str, narrow: bool = False, junk
                 parquet.write_table(pa.Table.from_pandas(frame, preserve_index=False), out)
         return day[["name"]].iloc[:1]
 
-    named = made.withColumn("name", fragment_name(F.col("symbol"), F.col("date")))
+    name = fragment_name(F.col("symbol"), F.col("date"))
+    named = made.withColumn("name", F.substring_index(name, "/", -1) if flat else name)
     named.groupBy("symbol", "date").applyInPandas(write, "name string").write.format("noop").mode("overwrite").save()
 
 
-def fragment_tree(spark: SparkSession, sf_dir: str, narrow: bool = False, junk: int = 0) -> str:
+def fragment_tree(spark: SparkSession, sf_dir: str, narrow: bool = False, junk: int = 0, flat: bool = False) -> str:
     root = work_folder(spark, "fragments")
-    write_named_fragments(bars(spark, sf_dir), root, narrow, junk)
+    write_named_fragments(bars(spark, sf_dir), root, narrow, junk, flat)
     return root
 
 

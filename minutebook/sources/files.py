@@ -40,6 +40,12 @@ def _file_system(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, as tasks can open it wherever they run."""
+    file_system, place = _file_system(spark, path)
+    return file_system.makeQualified(place).toString().rstrip("/")
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, p = _file_system(spark, path)
     return fs.exists(p)

@@ -13,7 +13,8 @@ from minutebook.operators.quality import purge_plan, quality_facts
 from minutebook.plans import facts_store, snapshots
 from minutebook.plans.consolidate import consolidate_all, overall_stats, run_counts
 from minutebook.plans.daily_build import daily_build
-from minutebook.plans.maintain import organize_apply, organize_counts, purge_lake, purge_tree_plan, scan_tree
+from minutebook.plans.maintain import organize_apply, organize_counts, organize_plan, purge_lake, purge_tree_plan, scan_tree
+from minutebook.plans.relocate import organize_files, relocate_files, relocation_totals
 from minutebook.schema import INDEX_SCHEMA
 from minutebook.sources import files, fragments, lake, landing, versions, zones
 from minutebook.streaming.ingest import ingest_landing, read_ingested, read_ledger
@@ -439,3 +440,73 @@ def test_day_files_of_a_range(spark, tmp_path):
     with pytest.raises(ValueError, match="20240202"):
         fragments.scan_day_files(spark, str(tmp_path), "20240101")
     assert fragments.scan_day_files(spark, str(tmp_path / "none")).count() == 0
+
+
+def _flat_dump(root, **files):
+    root.mkdir(exist_ok=True)
+    for name, content in files.items():
+        (root / f"{name}.parquet").write_bytes(content)
+    return str(root)
+
+
+def _outcomes(manifest):
+    return {r.path.rsplit("/", 1)[1].removesuffix(".parquet"): r.outcome for r in manifest.collect()}
+
+
+def test_files_of_a_dump_are_moved_whole(spark, tmp_path):
+    big = bytes(range(256)) * 40_000
+    dump = _flat_dump(
+        tmp_path / "dump", AAA_20240102=b"one", BIG_20240103=big, BBB_20240101=b"holiday", CCC=b"no date", DDD_20240230=b"no such day",
+        EEE_20240104=b"mine", FFF_20240104=b"blocked", GGG_20240104=b"same", **{"20240105": b""},
+    )
+    month = tmp_path / "dump" / "2024" / "01"
+    (month / "FFF_20240104.parquet").mkdir(parents=True)  # the place of a file is taken by a folder
+    (month / "EEE_20240104.parquet").write_bytes(b"yours")
+    (month / "GGG_20240104.parquet").write_bytes(b"same")
+    (month / ".AAA_20240102.parquet.0").write_bytes(b"on")  # left by a task that was lost
+    want = {
+        "AAA_20240102": "moved", "BIG_20240103": "moved", "BBB_20240101": "dropped", "CCC": "skip_invalid", "DDD_20240230": "skip_invalid",
+        "EEE_20240104": "target_differs", "FFF_20240104": "failed", "GGG_20240104": "already_there", "20240105": "moved",
+    }
+    copied = organize_files(spark, dump, remove=False)
+    assert _outcomes(copied) == want
+    assert len([p for p in (tmp_path / "dump").iterdir() if p.is_file()]) == len(want)
+    again = organize_files(spark, dump)
+    assert _outcomes(again) == want | {n: "already_there" for n, o in want.items() if o == "moved"}
+    left = {p.name.removesuffix(".parquet") for p in (tmp_path / "dump").iterdir() if p.is_file() and p.suffix == ".parquet"}
+    assert left == {"CCC", "DDD_20240230", "EEE_20240104", "FFF_20240104"}
+    assert (month / "BIG_20240103.parquet").read_bytes() == big
+    assert (month / "20240105.parquet").read_bytes() == b""
+    assert (month / "EEE_20240104.parquet").read_bytes() == b"yours"
+    # the plan of the first run carried out once more: sources are gone, targets stand
+    once_more = relocate_files(spark, copied.select("path", "action", "target"), dump, remove=True)
+    assert _outcomes(once_more) == _outcomes(again)
+    totals = relocation_totals(copied).collect()[0].asDict()
+    assert totals == {
+        "files_found": 9, "files_moved": 3, "files_deleted_non_trading": 1, "files_skipped": 3, "files_already_organised": 1, "errors": 1,
+        "bytes_moved": 3 + len(big),
+    }
+
+
+def test_files_that_want_one_place(spark, tmp_path):
+    one, two = _flat_dump(tmp_path / "a", AAA_20240102=b"first"), _flat_dump(tmp_path / "b", AAA_20240102=b"other")
+    listing = files.file_inventory(spark, one).unionByName(files.file_inventory(spark, two))
+    plan = organize_plan(listing)
+    target = tmp_path / "out"
+    rows = {r.path.rsplit("/", 2)[1]: r.outcome for r in relocate_files(spark, plan, str(target), remove=True).collect()}
+    assert rows == {"a": "moved", "b": "skip_exists"}
+    assert (target / "2024" / "01" / "AAA_20240102.parquet").read_bytes() == b"first"
+    assert not (tmp_path / "a" / "AAA_20240102.parquet").exists() and (tmp_path / "b" / "AAA_20240102.parquet").exists()
+
+
+def test_nothing_to_move_and_lost_sources(spark, tmp_path):
+    empty = tmp_path / "empty"
+    empty.mkdir()
+    assert organize_files(spark, str(empty)).collect() == []
+    assert relocation_totals(organize_files(spark, str(empty))).collect()[0].files_found == 0
+    dump = _flat_dump(tmp_path / "dump", AAA_20240102=b"one")
+    plan = organize_plan(files.file_inventory(spark, dump)).select("path", "action", "target")
+    plan = spark.createDataFrame(plan.collect(), plan.schema)
+    (tmp_path / "dump" / "AAA_20240102.parquet").unlink()
+    row = relocate_files(spark, plan, str(tmp_path / "out")).collect()[0]
+    assert row.outcome == "failed" and "FileNotFoundError" in row.error

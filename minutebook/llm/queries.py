@@ -54,7 +54,31 @@ def op3_token_counts(read) -> DataFrame:
     return token_counts.token_counts(read("documents"))
 
 
-@query("op4_jaccard_join")
+NEAR_SQL = r"""
+WITH RECURSIVE texts AS MATERIALIZED (SELECT row_number() OVER () AS n, doc_id, regexp_extract_all(
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+spots AS (SELECT n, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM texts WHERE len(w) > 0),
+shingles AS MATERIALIZED (SELECT DISTINCT n, array_to_string(list_slice(w, i, i + 2), ' ') AS s FROM spots),
+whole AS (SELECT n, count(*) AS size, string_agg(s, chr(10) ORDER BY s) AS all_s FROM shingles GROUP BY n),
+sets AS MATERIALIZED (SELECT min(n) AS k, any_value(size) AS size, list(n) AS members FROM whole GROUP BY all_s),
+spread AS (SELECT s, count(*) AS df FROM shingles JOIN sets ON n = k GROUP BY s),
+placed AS (SELECT k, size, shingles.s, row_number() OVER (PARTITION BY k ORDER BY df, shingles.s) AS p
+  FROM shingles JOIN sets ON n = k JOIN spread ON spread.s = shingles.s),
+first AS (SELECT k, size, s FROM placed WHERE p <= size - (90 * size + 99) // 100 + 1),
+pairs AS MATERIALIZED (SELECT DISTINCT a.k AS a, b.k AS b, a.size + b.size AS total FROM first a JOIN first b ON a.s = b.s AND a.k < b.k
+  AND 100 * a.size >= 90 * b.size AND 100 * b.size >= 90 * a.size),
+shared AS (SELECT a, b, total, count(*) AS common FROM pairs JOIN shingles x ON x.n = a JOIN shingles y ON y.n = b AND y.s = x.s GROUP BY a, b, total),
+links AS MATERIALIZED (SELECT a, b FROM shared WHERE 100 * common >= 90 * (total - common)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(k, other) AS (SELECT a, b FROM both_ways UNION SELECT k, b FROM reach JOIN both_ways ON other = a),
+ids AS (SELECT k, min(doc_id) AS id FROM (SELECT k, unnest(members) AS n FROM sets) JOIN texts USING (n) GROUP BY k),
+named AS (SELECT i.k, least(any_value(i.id), min(j.id)) AS id FROM ids i LEFT JOIN reach r ON r.k = i.k LEFT JOIN ids j ON j.k = r.other GROUP BY i.k),
+of AS (SELECT unnest(members) AS n, size, id FROM sets JOIN named USING (k))
+SELECT t.doc_id, CAST(coalesce(size, 0) AS BIGINT) AS n_shingles, coalesce(id, t.doc_id) AS component_id FROM texts t LEFT JOIN of USING (n)
+"""
+
+
+@query("op4_jaccard_join", NEAR_SQL)
 def op4_jaccard_join(read) -> DataFrame:
     """The near-duplicate component of every document."""
     return jaccard_join.near_duplicates(read("documents"))

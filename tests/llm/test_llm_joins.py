@@ -134,7 +134,7 @@ def test_op4_over_all_documents(spark):
 
 
 @shared
-@pytest.mark.parametrize("name", ["op6_decontamination", "op9_topk_search"])
+@pytest.mark.parametrize("name", ["op4_jaccard_join", "op6_decontamination", "op9_topk_search"])
 def test_twin(spark, name):
     got = queries.QUERIES[name](spark, SF).toPandas()
     assert compare.difference(got, compare.duck(SF).execute(queries.SQL[name]).df()) is None
@@ -231,3 +231,17 @@ def test_threshold_stops_early():
     ids, scores = index.search(-1, query, 5)
     exact = np.asarray(index.vectors) @ query
     assert scores.tolist() == sorted(exact.astype(int), reverse=True)[:5] and sum(scored) < 2_000
+
+
+def test_near_duplicates_against_sql(spark, tmp_path):
+    """Query and SQL agree on texts without words, short texts, copies, chains of near copies and pairs just on either side of the limit."""
+    words = [f"w{i}" for i in range(60)]
+    texts = [None, "", " \t ", "one", "ONE", "one two", "one  two", "one two three", " ".join(words), " ".join(words).upper(), " ".join(words)]
+    texts += [" ".join(words[k:] + [f"x{i}" for i in range(k)]) for k in range(1, 12)]
+    docs = spark.createDataFrame([(100 - i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    docs.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.QUERIES["op4_jaccard_join"](spark, str(tmp_path)).toPandas()
+    con = compare.duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert compare.difference(got, con.execute(queries.SQL["op4_jaccard_join"]).df()) is None
+    assert len(set(got["component_id"])) < len(got) - 5

@@ -458,6 +458,19 @@ def symbol_universe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing.symbol_universe(_raw_symbols(spark, sf_dir))
 
 
+@query(
+    "symbol_list_file",
+    q.with_(RAW_SYMBOLS) + "SELECT symbol, count(*) AS listed FROM judged WHERE valid GROUP BY symbol",
+)
+def symbol_list_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid symbols of a list kept as CSV, beside another column and under a header in odd case; how often each is listed."""
+    root = work_folder(spark, "symbol-list")
+    listed = _raw_symbols(spark, sf_dir).select(F.col("position").alias("Rank"), F.col("symbol").alias(" SYMBOL"))
+    landing.write_csv_report(listed, root)
+    clean = landing.read_symbol_csv(spark, root).select(symbols.normalize_symbol(F.col("symbol")).alias("symbol"))
+    return clean.filter(symbols.is_valid_symbol(F.col("symbol"))).groupBy("symbol").agg(F.count("*").alias("listed"))
+
+
 @query(
     "universe_stats",
     q.with_(RAW_SYMBOLS) + """

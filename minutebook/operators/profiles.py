@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -111,20 +113,21 @@ def first_last_bar(bars: DataFrame) -> DataFrame:
 def head_tail_bars(bars: DataFrame, n: int = 10, traded: int = 20) -> DataFrame:
     """First n, last n and first traded bars of each symbol-day, labelled.
 
-    Each part is a ranked limit that Spark applies before and after its shuffle.
+    One scan: each bar is offered to the parts it may be in, and one ranked limit, which Spark applies before and after its
+    shuffle, serves all three.
     """
-    def ranked(rows: DataFrame, label: str, limit: int, order: Column) -> DataFrame:
-        by_time = Window.partitionBy(*KEY).orderBy(order, *[F.col(c) for c in [*OHLC, "volume"]])
-        return (
-            rows.withColumn("rank", F.row_number().over(by_time))
-            .filter(F.col("rank") <= limit)
-            .withColumn("part", F.lit(label))
-        )
-
-    head = ranked(bars, "head", n, F.col("timestamp").asc())
-    tail = ranked(bars, "tail", n, F.col("timestamp").desc())
-    busy = ranked(bars.filter("volume > 0"), "traded", traded, F.col("timestamp").asc())
-    return head.unionByName(tail).unionByName(busy)
+    limits = {"head": n, "tail": n, "traded": traded}
+    offered = F.array_compact(F.array(F.lit("head"), F.lit("tail"), F.when(F.col("volume") > 0, F.lit("traded"))))
+    from_end, ts = F.col("part") == "tail", F.col("timestamp")
+    by_time = Window.partitionBy(*KEY, "part").orderBy(
+        F.when(~from_end, ts).asc(), F.when(from_end, ts).desc(), *[F.col(c) for c in [*OHLC, "volume"]]
+    )
+    return (
+        bars.withColumn("part", F.explode(offered))
+        .withColumn("rank", F.row_number().over(by_time))
+        .filter(F.col("rank") <= max(limits.values()))
+        .filter(F.col("rank") <= reduce(lambda kept, part: F.when(F.col("part") == part, limits[part]).otherwise(kept), limits, F.lit(0)))
+    )
 
 
 def traded_bars(bars: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ from minutebook.sources import landing
 from minutebook.sources.lake import scan_lake, stored_sizes
 from minutebook.sources.versions import read_current
 from minutebook.streaming.ingest import ingest_landing, read_ingested, read_ledger
+from minutebook.streaming.waiting import retry_waiting
 
 BAR_SQL = q.with_(q.EVENT_BARS)
 COUNTS = q.with_(q.EVENT_BARS, f"days AS (SELECT symbol, date, {q.RULE} AS rule, count(*) AS n FROM bars GROUP BY symbol, date)")
@@ -230,6 +231,21 @@ def incremental_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_ingested(spark, stored)
 
 
+@query("incremental_waiting", q.with_(REPAIRED.replace("OR pos > 1", "OR pos > 1 OR date <= '20240115'")) + q.parsed_bar())
+def incremental_waiting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars of an ingest that takes intact payloads at once; damaged ones wait in keyed state and are repaired if no intact one came."""
+    landed, ledger, mark, stored, waiting, state = (
+        work_folder(spark, name) for name in ("landing", "ledger", "stream", "bars", "waiting", "state")
+    )
+    made = t.damaged_payloads(spark, sf_dir)
+    for landing_rows in (made, payloads_of(spark, sf_dir, t.json_text()).filter(F.col("date") <= "20240115")):
+        landing.land_payloads(landing_rows, landed)
+        ingest_landing(spark, landed, ledger, mark, bars_root=stored, accept=("intact",), waiting_root=waiting)
+    for _ in range(2):  # the first run starts the clock of what waits, the second finds it run out
+        retry_waiting(spark, waiting, ledger, state, wait_seconds=0, keep_seconds=86_400, bars_root=stored)
+    return read_ingested(spark, stored)
+
+
 TURNED = REPAIRED.replace("bars AS (", "good_bars AS (").replace("all_good_bars", "all_bars").rstrip() + f""",
 bars AS (
   SELECT * REPLACE (CASE WHEN {q.DAY} % 5 = 3 THEN -open ELSE open END AS open, CASE WHEN {q.DAY} % 5 = 3 THEN -high ELSE high END AS high,

@@ -18,6 +18,7 @@ from minutebook.plans.relocate import organize_files, relocate_files, relocation
 from minutebook.schema import INDEX_SCHEMA
 from minutebook.sources import files, fragments, lake, landing, versions, zones
 from minutebook.streaming.ingest import ingest_landing, read_ingested, read_ledger
+from minutebook.streaming.waiting import retry_waiting
 
 
 def day_frame(symbol, day, n=3, volume=float, stamp="us", **extra):
@@ -510,3 +511,40 @@ def test_nothing_to_move_and_lost_sources(spark, tmp_path):
     (tmp_path / "dump" / "AAA_20240102.parquet").unlink()
     row = relocate_files(spark, plan, str(tmp_path / "out")).collect()[0]
     assert row.outcome == "failed" and "FileNotFoundError" in row.error
+
+
+def test_refused_payloads_wait_and_are_offered_again(spark, tmp_path):
+    landed, ledger, mark, stored, waiting, state = (str(tmp_path / n) for n in ("landing", "ledger", "mark", "bars", "waiting", "state"))
+    frame = lambda *r: spark.createDataFrame(list(r), "symbol string, date string, payload string").coalesce(1)
+    cut = lambda symbol, price: (symbol, "20240102", payload(symbol, "2024-01-02", price)[2][:-1])  # the closing bracket is lost
+    take = lambda: ingest_landing(spark, landed, ledger, mark, bars_root=stored, accept=("intact",), waiting_root=waiting)
+    retry = lambda seconds, **how: retry_waiting(spark, waiting, ledger, state, seconds, 3600, bars_root=stored, **how)
+    opens = lambda: sorted((r.symbol, r.open) for r in read_ingested(spark, stored).collect())
+
+    landing.land_payloads(frame(cut("A", 1.0), cut("B", 2.0), cut("B", 2.0), payload("C", "2024-01-02", 3.0), ("D", "20240102", "oops")), landed)
+    take()
+    retry(0, accept=("intact",))
+    retry(0, accept=("intact",))  # offered, but still not taken
+    assert opens() == [("C", 3.0)]
+    landing.land_payloads(frame(payload("A", "2024-01-02", 4.0)), landed)
+    take()  # an intact one came in between
+    retry(0)
+    retry(0)  # without a new landing
+    assert opens() == [("A", 4.0), ("B", 2.0), ("C", 3.0)]
+    usable = read_ledger(spark, ledger).filter("reject_reason is null")
+    assert sorted((r.symbol, r.parse_status) for r in usable.collect()) == [("A", "intact"), ("B", "repaired"), ("C", "intact")]
+    before = opens()
+    retry(0)
+    assert opens() == before and read_ledger(spark, ledger).filter("reject_reason is null").count() == 3
+
+
+def test_waiting_payloads_expire(spark, tmp_path):
+    landed, ledger, mark, stored, waiting, state = (str(tmp_path / n) for n in ("landing", "ledger", "mark", "bars", "waiting", "state"))
+    cut = ("A", "20240102", payload("A", "2024-01-02", 1.0)[2][:-1])
+    landing.land_payloads(spark.createDataFrame([cut], "symbol string, date string, payload string"), landed)
+    ingest_landing(spark, landed, ledger, mark, bars_root=stored, accept=("intact",), waiting_root=waiting)
+    retry_waiting(spark, waiting, ledger, state, 0, 1, bars_root=stored, accept=("intact",))
+    time.sleep(1.5)
+    for _ in range(2):
+        retry_waiting(spark, waiting, ledger, state, 0, 1, bars_root=stored)
+    assert read_ingested(spark, stored).count() == 0

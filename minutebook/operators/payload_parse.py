@@ -21,6 +21,8 @@ FIELDS = [*REQUIRED, "count", "vwap"]
 TYPED = ", ".join(f"{f}: {'timestamp_ntz' if f == 'timestamp' else 'double'}" for f in FIELDS)
 TYPED_RECORDS = f"array<struct<{TYPED}>>"
 TEXT_RECORDS = "array<struct<" + ", ".join(f"{f}: string" for f in FIELDS) + ">>"
+# An object payload read once for its shape and its bars; ``broken`` is set where the text or any value in it does not convert.
+ENVELOPE = f"struct<error: string, isError: string, data: {TYPED_RECORDS}, broken: string>"
 EXCHANGE_ZONE = "America/New_York"
 
 # Fixed value: shape of one whole record as the data service writes it.
@@ -49,24 +51,39 @@ def _header_signs(line: Column) -> Column:
     return F.when(F.length(line) > 0, hints).otherwise(F.lit(0))
 
 
-def payload_kind(payload: Column) -> Column:
+def read_envelope(payload: Column) -> Column:
+    """Error marks and typed records of an object payload, from one parse; NULL for other payloads."""
+    options = {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": "broken"}
+    return F.when(_edge_trim(payload).startswith("{"), F.from_json(payload, ENVELOPE, options))
+
+
+def _object_kind(text: Column, envelope: Column) -> Column:
+    """Shape of an object: by its envelope, or field by field where that did not convert whole."""
+    def by(error: Column, flag: Column, data: Column) -> Column:
+        return (
+            F.when(error.isNotNull() | F.coalesce(flag == "true", F.lit(False)), "error")
+            .when(data.isNotNull(), "json_wrapper").otherwise("json_object")
+        )
+
+    fields = by(*[F.get_json_object(text, f"$.{f}") for f in ("error", "isError", "data")])
+    converted = envelope.isNotNull() & envelope["broken"].isNull()
+    return F.when(converted, by(envelope["error"], envelope["isError"], envelope["data"])).otherwise(fields)
+
+
+def payload_kind(payload: Column, envelope: Column | None = None) -> Column:
     """csv, json_array, json_object, json_wrapper, error, empty or other.
 
-    JSON prefixes are tested before the CSV hints, which a one-line JSON array also meets.
+    JSON prefixes are tested before the CSV hints, which a one-line JSON array also meets. ``envelope`` is that of
+    ``read_envelope``, if it is at hand.
     """
     def kind(text: Column) -> Column:
         blank = text.rlike(r"^(?:\[\s*\]|\{\s*\}|null)?$")
         has_header = csv_hints(text) >= 5
+        of_object = _object_kind(text, envelope) if envelope is not None else bind(read_envelope(text), lambda e: _object_kind(text, e))
         return (
             F.when(text.isNull() | blank, "empty")
             .when(text.startswith("["), "json_array")
-            .when(
-                text.startswith("{"),
-                F.when(F.get_json_object(text, "$.error").isNotNull(), "error")
-                .when(F.get_json_object(text, "$.isError") == "true", "error")
-                .when(F.get_json_object(text, "$.data").isNotNull(), "json_wrapper")
-                .otherwise("json_object"),
-            )
+            .when(text.startswith("{"), of_object)
             .when(has_header & ~text.contains("\n"), "empty")
             .when(has_header, "csv")
             .otherwise("other")
@@ -218,20 +235,25 @@ def read_records(payloads: DataFrame) -> DataFrame:
     broken text are read again, as text; each attempt is evaluated only where the one before failed.
     """
     p, kind = F.col("payload"), F.col("kind")
+    wrapped = F.col("_envelope.data")
     text = (
         F.when(kind == "json_array", p)
-        .when(kind == "json_wrapper", F.get_json_object(p, "$.data"))
+        .when(kind == "json_wrapper", F.when(~F.col("_unwrapped"), F.get_json_object(p, "$.data")))
         .when(kind == "json_object", F.concat(F.lit("["), p, F.lit("]")))
     )
     is_json, is_csv = kind.isin("json_array", "json_wrapper", "json_object"), kind == "csv"
     usable = lambda name: F.coalesce(F.size(name) > 0, F.lit(False))
     whole, again = F.col("_whole"), ~F.col("_whole")
 
-    step = payloads.withColumn("kind", payload_kind(p))
+    step = payloads.withColumn("_envelope", read_envelope(p))
+    step = step.withColumn("kind", payload_kind(p, F.col("_envelope")))
+    # the records of a whole wrapper are at hand already; all others are taken from their text
+    at_hand = (kind == "json_wrapper") & F.col("_envelope.broken").isNull() & _whole("_envelope.data") & ~p.rlike(ODD_CASE)
+    step = step.withColumn("_unwrapped", F.coalesce(at_hand, F.lit(False)))
     step = step.withColumn("_text", text)
     step = step.withColumn("_text", F.when(F.col("_text").rlike(ODD_CASE), _lower_keys(F.col("_text"))).otherwise(F.col("_text")))
     plain_order = is_csv & (_csv_header(p) == ",".join(FIELDS))
-    step = step.withColumn("_typed", F.when(plain_order, _typed_csv(p)).otherwise(_typed_records(F.col("_text"))))
+    step = step.withColumn("_typed", F.when(F.col("_unwrapped"), wrapped).when(plain_order, _typed_csv(p)).otherwise(_typed_records(F.col("_text"))))
     step = step.withColumn("_repaired", F.when(is_json & F.col("_typed").isNull(), _lower_keys(repair_json(p))))
     step = step.withColumn("_retyped", _typed_records(F.col("_repaired")))
     step = step.withColumns({"_first": _whole("_typed"), "_second": _whole("_retyped")})
@@ -312,7 +334,7 @@ def parse_payloads(payloads: DataFrame) -> DataFrame:
     """
     kind = F.col("kind")
     reason = (
-        F.when(kind == "error", error_message(F.col("payload")))
+        F.when(kind == "error", F.coalesce(error_message(F.col("payload")), F.lit("unreadable payload")))
         .when(kind == "empty", "empty payload")
         .when(F.coalesce(F.size("records"), F.lit(0)) <= 0, "unreadable payload")
         .when(F.size("missing") > 0, F.concat(F.lit("Missing columns: "), F.array_join("missing", ", ")))

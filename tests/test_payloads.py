@@ -91,6 +91,28 @@ def test_nan_becomes_null(outcome):
     assert reason is None and bars[0].open is None
 
 
+def test_wrapped_nan_and_odd_names_are_read(outcome):
+    """A wrapper is read by one typed parse, or as text where a value or a name asks for it."""
+    nan = R2.replace('"high":10.5', '"high":NaN')
+    kind, _, reason, bars = outcome(f'{{"status":"ok","data":[{R1},{nan}]}}')
+    assert (kind, reason, [b.high for b in bars]) == ("json_wrapper", None, [10.5, None])
+    kind, _, reason, bars = outcome(f'{{"data":[{R1.replace("vwap", "VWAP")}]}}')
+    assert (kind, reason, [b.vwap for b in bars]) == ("json_wrapper", None, [10.3])
+    kind, _, reason, bars = outcome(f'{{"data":[{R1}],"error":{{"code":4,"message":"late"}}}}')
+    assert (kind, reason, bars) == ("error", "[4] late", [])
+    kind, _, reason, bars = outcome(f'{{"data":[{nan}],"error":"late"}}')
+    assert (kind, reason, bars) == ("error", "unreadable payload", [])
+
+
+def test_whole_wrappers_are_parsed_once(spark):
+    rows = spark.createDataFrame([("A", "20240102", f'{{"data":[{R1}]}}')], "symbol string, date string, payload string")
+    parsed = p.read_records(rows)
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    envelope = [line for line in plan.splitlines() if "isError,StringType" in line]
+    assert len(envelope) == 1 and envelope[0].count("from_json") == 1
+    assert parsed.first().records[0].close == 10.4
+
+
 def test_offsets_move_to_exchange_time(outcome):
     *_, bars = outcome(f"[{R1}]".replace("T04:00:00.000", "T14:30:00Z"))
     assert bars[0].timestamp == dt.datetime(2024, 1, 2, 9, 30)

@@ -5,7 +5,9 @@ into slabs, and each slab again along the next component, until a tile fills a l
 has the least and greatest value of every component and of the label. For an anchor, the interval of each component times the
 anchor's own gives an interval of inner products, which no row of the box can leave. Boxes wait in a queue, the one with the highest
 bound first. A box is passed over if its interval misses all score windows asked for, if its bound lies strictly below the kth score so
-far of each, or if its labels cannot serve; the search ends when the best bound left is too low for all.
+far of each, or if its labels cannot serve; the search ends when the best bound left is too low for all. Leaves are scored in rounds, the
+first one alone and in each round twice as many as before, as they come from the queue: where bounds tell little and most leaves are scored, an anchor costs
+a few array operations and not one for each leaf and window, and where they tell much, at most about twice the leaves are scored.
 
 The job runs twice: first for the best rows of the anchor's own label, without a window, then for the others, with one window per
 positive. Anchors meet the blocks in groups of bounded size, and what the blocks found is merged by a ranked window.
@@ -84,7 +86,8 @@ class PackedTree:
         low, high, self.first_label, self.last_label = zip(*boxes, strict=True)
         self.low, self.high = np.stack(low), np.stack(high)
         self.first_label, self.last_label = np.array(self.first_label), np.array(self.last_label)
-        self.opened = self.scored = 0  # boxes and rows looked into, for measurements
+        self.places = np.arange(len(order))
+        self.opened = self.scored = self.rounds = 0  # boxes and rows looked into, and rounds, for measurements
 
     def _box(self, a: int, b: int) -> tuple:
         rows, labels = self.vectors[a:b], self.labels[a:b]
@@ -103,28 +106,41 @@ class PackedTree:
         floor = [low for low, _ in windows]  # what a score must reach
         top = len(bound) - 1
         queue = [(-bound[top], top)] if serves[top] else []
+        ahead = 1  # leaves of the next round
         while queue:
-            reach, node = heappop(queue)
-            reach = -reach
-            if reach < min(floor):
-                break
-            wanted = [w for w, (_, high) in enumerate(windows) if least[node] <= high and reach >= floor[w]]
-            if not wanted:
-                continue
-            self.opened += 1
-            a, b = self.children[node]
-            if node >= self.leaves:
+            leaves: list[tuple[int, int]] = []
+            least_floor = min(floor)
+            while queue and len(leaves) < ahead:
+                reach, node = heappop(queue)
+                reach = -reach
+                if reach < least_floor:
+                    queue.clear()
+                    break
+                if not any(least[node] <= high and reach >= floor[w] for w, (_, high) in enumerate(windows)):
+                    continue
+                self.opened += 1
+                a, b = self.children[node]
+                if node < self.leaves:
+                    leaves.append((a, b))
+                    continue
                 for child in range(a, b):
-                    if serves[child] and bound[child] >= min(floor):
+                    if serves[child] and bound[child] >= least_floor:
                         heappush(queue, (-bound[child], child))
-                continue
-            self.scored += b - a
-            scores = self.vectors[a:b] @ query
-            fits = (self.ids[a:b] != anchor_id) & ((self.labels[a:b] == label) == same)
-            for w in wanted:
-                at = np.flatnonzero(fits & (scores >= floor[w]) & (scores <= windows[w][1]))
+            if not leaves:
+                break
+            self.rounds += 1
+            ahead *= 2
+            scores = np.concatenate([self.vectors[a:b] @ query for a, b in leaves])
+            places = np.concatenate([self.places[a:b] for a, b in leaves])
+            self.scored += len(places)
+            high_enough = np.flatnonzero(scores >= least_floor)
+            scores, places = scores[high_enough], places[high_enough]
+            fits = (self.ids[places] != anchor_id) & ((self.labels[places] == label) == same)
+            scores, found = scores[fits], self.ids[places[fits]]
+            for w, (_, high) in enumerate(windows):
+                at = np.flatnonzero((scores >= floor[w]) & (scores <= high))
                 if len(at):
-                    ids, values = np.r_[best[w][0], self.ids[a:b][at]], np.r_[best[w][1], scores[at]]
+                    ids, values = np.r_[best[w][0], found[at]], np.r_[best[w][1], scores[at]]
                     if len(ids) >= k:
                         order = np.lexsort((ids, -values))[:k]
                         ids, values = ids[order], values[order]

@@ -85,3 +85,22 @@ def test_boxes_hold_their_rows_and_are_passed_over():
         want = sorted(may, key=lambda k: (-scores[k], ids[k]))[:5]
         assert found.tolist() == [ids[k] for k in want] and values.tolist() == [scores[k] for k in want]
     assert tree.scored < 1_500  # of 2 * 4,000
+
+
+@pytest.mark.parametrize("same", [True, False])
+def test_leaves_are_scored_in_few_rounds_where_bounds_tell_little(same):
+    """Independent components: nearly every leaf is scored, in rounds that double. Ties and narrow windows are kept."""
+    rng = np.random.default_rng(8)
+    vectors = rng.integers(-4, 5, (6_000, 24)).astype(np.float64)
+    ids, labels = rng.permutation(6_000), rng.integers(0, 3, 6_000)
+    for k in range(0, 6_000, 500):
+        tree = hard_negatives.PackedTree(ids, labels, vectors)
+        scores = vectors @ vectors[k]
+        may = np.flatnonzero((ids != ids[k]) & ((labels == labels[k]) == same))
+        top = int(scores[may].max())
+        windows = [hard_negatives.EVERY, (top // 2, top * 9 // 10), (top // 2, top // 2), (top * 9 // 10, top)]
+        got = tree.search(int(ids[k]), int(labels[k]), vectors[k], windows, 3, same)
+        for (low, high), (found, values) in zip(windows, got, strict=True):
+            want = sorted((-scores[j], ids[j]) for j in may if low <= scores[j] <= high)[:3]
+            assert sorted(zip(-values, found, strict=True)) == want
+        assert tree.rounds <= np.log2(tree.leaves) + 1

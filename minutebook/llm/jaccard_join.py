@@ -6,9 +6,10 @@ one-deletion neighbours (worth two). If the worths add up to more than H, two si
 of either kind a band gets is a matter of cost: signatures to store against chance meetings of (nearly) empty segments.
 A set also probes the band below, as far as sets there can be similar to it.
 
-``near_duplicates_by_prefix`` is for lower limits, at which so many tokens may differ that segments hold few of them and nearly all signatures would
-be neighbours. There a set is indexed by its first tokens in one order of all tokens, those that a sample finds common last: of two similar sets, the
-first token they share is among the first (100 - percent) % of either (and one). Any order is exact; the sample only keeps buckets small.
+``near_duplicates_by_segments`` is the same for lower limits, at which so many tokens may differ that segments hold few of them: there a band gets
+more segments than two similar sets can differ in. They then agree in more than one, and each set leaves out as many as that allows, those without tokens
+or with common ones first, in an order that depends on nothing but the segment: of the segments that two sets agree in, both leave out the last ones, so
+one always remains. A sample tells which tokens are common. Any order is exact; the sample only keeps buckets small.
 
 Signatures with the same members are one bucket. Members are compared by parity sketches, which grow with the sets: the number of
 differing bits never exceeds the number of differing
@@ -40,6 +41,8 @@ PERCENT = 90  # 100 * intersection >= PERCENT * union
 SKETCH_WORDS = 16  # 64-bit words of a parity sketch, at least
 TOKEN_BITS = 0.5  # of a sketch, rounded up to a power of two
 BAND_RATIO = 1.25
+WIDE_BAND_RATIO = 3.0  # where segments are left out: fewer sets then probe the band below
+SEGMENT_TOKENS = 2.75  # in the largest sets of such a band; those kept then seldom hold fewer than two
 BAND_SHARE = 1 / 16  # share of all sets supposed in one band when costs are weighed
 MEETING_COST = 3.0  # of a chance meeting, in signatures
 TILE = 4_096  # members compared in one group; larger buckets are compared tile by tile
@@ -90,12 +93,12 @@ def _word_code(word: bytes, kept: dict[bytes, int]) -> int:
     return code
 
 
-def bands(highest: int, percent: int) -> list[int]:
+def bands(highest: int, percent: int, ratio: float = BAND_RATIO) -> list[int]:
     """First sizes of the bands up to a size. A partner of a set is in its own band or the next."""
     starts = [1]
     while starts[-1] <= highest:
         start = starts[-1]
-        starts.append(max(start * 100 // percent + 1, int(start * BAND_RATIO)))
+        starts.append(max(start * 100 // percent + 1, int(start * ratio)))
     return starts
 
 
@@ -159,13 +162,81 @@ def first_tokens(tokens: np.ndarray, percent: int, common: np.ndarray, ranks: np
     if not size:
         return np.empty(0, np.int64)
     least = -(-size * percent // 100)  # tokens that a similar set has at least
-    rank = np.zeros(size, np.int64)
-    if len(common):
-        at = np.minimum(np.searchsorted(common, tokens), len(common) - 1)
-        rank = np.where(common[at] == tokens, ranks[at], 0)
+    rank = _ranks_of(tokens, common, ranks)
     return tokens[np.argsort(rank, kind="stable")[:size - least + 1]].view(np.int64)
 
 
+def _ranks_of(tokens: np.ndarray, common: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+    """The rank of each token, 0 if it is not common."""
+    if not len(common):
+        return np.zeros(len(tokens), np.int64)
+    at = np.minimum(np.searchsorted(common, tokens), len(common) - 1)
+    return np.where(common[at] == tokens, ranks[at], 0)
+
+
+def spare_allocation(start: int, end: int, percent: int, sets: int) -> tuple[int, int]:
+    """Exact and one-deletion segments for sets of a band [start, end), of which sets leave out what their sizes allow."""
+    largest = end - 1
+    differing = most_differing(largest, largest * 100 // percent, percent)
+    size, crowd, best = (start + end) / 2, sets * BAND_SHARE, None
+    for deletions in range((differing + 2) // 2 + 1):
+        parts = max(differing + 1 - deletions, int(largest / SEGMENT_TOKENS), 1)
+        exact = parts - deletions
+        spare = exact + 2 * deletions - differing - 1
+        none = (1 - 1 / parts) ** size
+        few = none + size / parts * (1 - 1 / parts) ** (size - 1)
+        stored = max(0, exact - spare) + deletions * (1 + size / parts)
+        cost = stored + MEETING_COST * crowd * (max(0, exact * none - spare) * none + deletions * few**2)
+        if best is None or cost < best[0]:
+            best = (cost, exact, deletions)
+        if deletions > 64 and cost > 4 * best[0]:
+            break
+    return best[1], best[2]
+
+
+def kept_segments(
+    tokens: np.ndarray, percent: int, sets: int, plans: dict[int, tuple[int, int]], common: np.ndarray, ranks: np.ndarray
+) -> np.ndarray:
+    """Signatures of a set like those of ``signatures``, but for the exact segments that it may leave out.
+
+    Two similar sets that differ in at most H tokens agree in segments worth more than all less H. Segments with the fewest tokens that are not common
+    come last, then those whose rarest token is the most common (``common`` and ``ranks``, as in ``first_tokens``), then those with the fewest.
+    """
+    size = len(tokens)
+    if not size:
+        return np.empty(0, np.int64)
+    starts = bands(size, percent, WIDE_BAND_RATIO)
+    own = int(np.searchsorted(starts, size, side="right")) - 1
+    sums = np.r_[np.uint64(0), np.cumsum(_mixed(tokens), dtype=np.uint64)]
+    rank = _ranks_of(tokens, common, ranks)
+    rare = np.r_[0, np.cumsum(rank == 0)]
+    found = []
+    for band, partner in ((own, size * 100 // percent), (own - 1, starts[own] - 1)):  # the largest partner that meets it there
+        if band < 0 or (band < own and size * percent > partner * 100):
+            continue
+        if band not in plans:
+            plans[band] = spare_allocation(starts[band], starts[band + 1], percent, sets)
+        exact, deletions = plans[band]
+        parts = exact + deletions
+        cuts = np.searchsorted(tokens, (np.arange(1, parts, dtype=np.uint64) * np.uint64(((1 << 64) - 1) // parts)))
+        cuts = np.r_[0, cuts, size]
+        held = np.diff(cuts)
+        whole = sums[cuts[1:]] - sums[cuts[:-1]]
+        place = _mixed(np.arange(parts, dtype=np.uint64) + np.uint64(band << 32))
+        rarest = np.zeros(parts, np.int64)
+        rarest[held > 0] = np.minimum.reduceat(rank, cuts[:-1][held > 0])
+        order = np.lexsort((-held[:exact], rarest[:exact], -(rare[cuts[1:]] - rare[cuts[:-1]])[:exact]))
+        spare = exact + 2 * deletions - 1 - most_differing(size, partner, percent)
+        kept = order[:max(0, exact - spare)]
+        found.append(_mixed(whole[kept] + place[kept]))
+        if deletions:
+            part = np.repeat(np.arange(parts), held)
+            part = part[cuts[exact]:]
+            found.append(_mixed(whole[exact:] + place[exact:]))
+            found.append(_mixed(whole[part] - _mixed(tokens[cuts[exact]:]) + place[part]))
+    return np.unique(np.concatenate(found)).astype(np.int64)
+
+
 def common_tokens(docs: DataFrame, n_docs: int, words: int) -> tuple[np.ndarray, np.ndarray]:
     """The tokens that are common in a sample, ascending, and their ranks from 1, the most common last."""
     share = min(1.0, SAMPLE_DOCS / max(1, n_docs))
@@ -444,20 +515,24 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, words: int = WORDS)
     return _connected(docs, lambda tokens: signatures(tokens, percent, sets, plans), percent, words)
 
 
-def near_duplicates_by_prefix(docs: DataFrame, percent: int, words: int) -> DataFrame:
-    """The same rows, by the first tokens of each set: for limits at which universe partition would store every token twice or more."""
-    common = common_tokens(docs, docs.count(), words)
-    return _connected(docs, lambda tokens: first_tokens(tokens, percent, *common), percent, words)
+def near_duplicates_by_segments(docs: DataFrame, percent: int, words: int) -> DataFrame:
+    """The same rows, by universe partition with segments to spare: for limits at which ``near_duplicates`` would store every token twice or more."""
+    plans: dict[int, tuple[int, int]] = {}
+    sets = docs.count()
+    common = common_tokens(docs, sets, words)
+    return _connected(docs, lambda tokens: kept_segments(tokens, percent, sets, plans, *common), percent, words)
 
 
 def _connected(docs: DataFrame, index: Callable[[np.ndarray], np.ndarray], percent: int, words: int) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets = staged(document_sets(docs, index, words), "sets")
-    named = sets.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first_id"))
+    ids = staged(sets.select("doc_id", "n_shingles", "node"), "ids")
+    named = ids.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first_id"))
     work = staged(shared_buckets(sets), "members")
     shared = work.select("node").distinct()
     known = sets.where("sketch is not null").select("node", "n_shingles", "sketch").join(shared, "node", "left_semi").dropDuplicates(["node"])
     known = staged(known.join(named, "node"), "nodes")
+    discard(sets)  # signatures take more room than all else
     stars, apart, texts, nearest = None, None, None, 0
     while True:
         state = known.select("node", "n_shingles", "sketch")
@@ -494,7 +569,7 @@ def _connected(docs: DataFrame, index: Callable[[np.ndarray], np.ndarray], perce
     else:
         named = named.withColumnRenamed("first_id", "component_id")
     discard(texts, work, known)
-    return sets.select("doc_id", "n_shingles", "node").join(named, "node", "left").select(
+    return ids.join(named, "node", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     )
 

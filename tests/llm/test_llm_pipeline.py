@@ -127,3 +127,63 @@ def test_clean_rows_stay_whatever_their_id(spark):
     assert sorted(((r["doc_id"] or 0), (r["text"] or "")) for r in got) == [
         (0, ""), (0, "clean without an id"), (1, "clean with an id"), (3, "clean alone"),
     ]
+
+
+def similar_sets(rng, most, n):
+    """Pairs of token sets, n of them just or well similar at 80 %, some at the borders of the wide bands."""
+    base = np.unique(rng.integers(0, 1 << 63, 4 * most, dtype=np.int64).astype(np.uint64) * np.uint64(2))
+    borders = jaccard_join.bands(most // 2, 80, jaccard_join.WIDE_BAND_RATIO)
+    while n:
+        size = max(1, int(rng.choice(borders) + rng.integers(-3, 4)) if rng.random() < 0.5 else int(rng.integers(1, most)))
+        x = rng.choice(base, size, replace=False)
+        y = np.r_[x[int(rng.integers(0, size // 5 + 2)):], rng.choice(base, int(rng.integers(0, size // 4 + 2)), replace=False)]
+        x, y = np.unique(x), np.unique(y)
+        both = len(np.intersect1d(x, y))
+        if 100 * both >= 80 * (len(x) + len(y) - both):
+            n -= 1
+            yield x, y
+
+
+@pytest.mark.parametrize("n_common", [0, 50, 400])
+@pytest.mark.parametrize("share", [None, 0.0, 0.3, 1.0])
+def test_similar_sets_share_a_kept_segment(n_common, share):
+    """``share`` of the differences go to one-deletion segments; without it, what costs say."""
+    rng, starts = np.random.default_rng(8), jaccard_join.bands(400, 80, jaccard_join.WIDE_BAND_RATIO)
+    plans = {}
+    for band, (start, end) in enumerate(zip(starts, starts[1:], strict=False)):
+        if share is not None:
+            differing = jaccard_join.most_differing(end - 1, (end - 1) * 100 // 80, 80)
+            deletions = int(share * (differing + 2) / 2)
+            plans[band] = (max(0, differing + 1 - 2 * deletions) + int(rng.integers(0, end // 3 + 1)), deletions)
+    for x, y in similar_sets(rng, 300, 800):
+        common = np.unique(rng.choice(x, min(len(x), n_common * len(x) // 400), replace=False))
+        ranks = rng.permutation(len(common)) + 1
+        a, b = (jaccard_join.kept_segments(t, 80, 1_000, plans, common, ranks) for t in (x, y))
+        assert len(np.intersect1d(a, b))
+
+
+def test_kept_segments_are_few_and_say_more_than_a_token():
+    rng, none, meet = np.random.default_rng(9), np.empty(0, np.uint64), [0, 0]
+    for _ in range(300):
+        shared, *rest = np.split(rng.integers(0, 1 << 63, 200, dtype=np.int64).astype(np.uint64) * np.uint64(2), [20, 110])
+        x, y = (np.unique(np.r_[shared, r]) for r in rest)  # 20 of 110 tokens
+        kept = [jaccard_join.kept_segments(t, 80, 1_000, {}, none, none) for t in (x, y)]
+        first = [jaccard_join.first_tokens(t, 80, none, none) for t in (x, y)]
+        assert max(map(len, kept)) <= 0.25 * 110 + 1
+        meet = [meet[0] + (len(np.intersect1d(*kept)) > 0), meet[1] + (len(np.intersect1d(*first)) > 0)]
+    assert meet[0] < 0.3 * 300 < 0.9 * 300 < meet[1]
+
+
+def test_near_duplicates_go_by_universe_partition(spark, monkeypatch):
+    """Also where a text and its copy lie in two wide bands, which begin at 81 and 243 shingles."""
+    rng, rows, called = random.Random(12), [], []
+    for length in (84, 88, 246, 250):
+        for _ in range(6):
+            base = [f"w{rng.randrange(5_000)}" for _ in range(length)]
+            rows += [(len(rows) + k, " ".join(base[cut:])) for k, cut in enumerate((0, 1, 3, 5, 9, 14, 20, 30))]
+    by_segments = jaccard_join.near_duplicates_by_segments
+    monkeypatch.setattr(jaccard_join, "near_duplicates_by_segments", lambda *given: called.append(given[1:]) or by_segments(*given))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(r["doc_id"] for r in pipeline.near_duplicates(spark, docs, SF).collect())
+    assert got == sorted(min(group) for group in groups_of(rows, 5, 80))
+    assert called == [(80, 5)]
